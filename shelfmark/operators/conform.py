@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -19,17 +18,6 @@ def select_present(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[name for name in wanted if name in df.columns])
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Exactly the columns of ``schema``: absent ones as typed NULLs, bad casts as NULL."""
-    return df.select(
-        *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in df.columns
-             else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema
-        ]
-    )
-
-
 def schema_drift(table: str, expected: StructType, actual: DataFrame) -> DataFrame:
     """One row per column: expected and found type, and how they compare.
 

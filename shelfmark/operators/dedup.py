@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "__rank"
 
 
-def one_per_key(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = ()) -> DataFrame:
-    """Keep the first row of every key under ``prefer``, then under all other columns.
+def one_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """Keep one row of every key: the highest in ``newest``, then the lowest in the rest.
 
     The order is total up to fully equal rows, so re-run tasks keep the same
     row. Spark plans ``rank = 1`` with a group limit below the shuffle: every
     task sends at most one row per key, however many copies a hot key has.
     """
-    rest = [F.col(f"`{name}`").asc_nulls_last() for name in df.columns if name not in keys]
-    order = [*prefer, *rest]
+    rest = [name for name in df.columns if name not in keys and name not in newest]
+    order = [F.col(name).desc_nulls_last() for name in newest]
+    order += [F.col(f"`{name}`").asc_nulls_last() for name in rest]
     if not order:
         return df.dropDuplicates(list(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -27,9 +30,9 @@ def one_per_key(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = (
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """Keep the newest row of every key; rows without a version lose."""
-    return one_per_key(df, keys, prefer=[F.col(version).desc_nulls_last()])
+    return one_per_key(df, keys, newest=[version])
 
 
 def having_keys(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows where all the named columns are present. Pushed down to the scan."""
-    return df.dropna(subset=list(columns))
+    """Rows where all the named columns are present. Reaches the scan on stored columns."""
+    return df.filter(reduce(and_, [F.col(name).isNotNull() for name in columns]))

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.dedup import latest_per_key
+from shelfmark.operators.dedup import having_keys, latest_per_key
 
 # Fixed value: the mark of a source that was never loaded.
 FIRST_WATERMARK = "1900-01-01"
@@ -27,12 +27,12 @@ def delta_since(df: DataFrame, column: str, watermark: Any, inclusive: bool = Fa
 def delta_or_full(df: DataFrame, column: str, watermark: Any) -> DataFrame:
     """The delta, or the whole table when nothing is newer than the mark.
 
-    The newest stamp is one scalar, computed by a partial aggregate over one
-    column before the scan starts; no branch on the driver, no second copy.
+    Whether there is a delta is asked first, with a job that stops at the first
+    row it finds. Either plan that follows has only what the scan can use: the
+    pushed comparison, or no filter.
     """
-    newest = df.agg(F.max(column)).scalar()
-    nothing_new = F.coalesce(newest <= F.lit(watermark), F.lit(True))
-    return df.filter((F.col(column) > F.lit(watermark)) | nothing_new)
+    delta = delta_since(df, column, watermark)
+    return df if delta.isEmpty() else delta
 
 
 def watermark_of(control: DataFrame, source: str) -> DataFrame:
@@ -56,14 +56,15 @@ def upsert(snapshot: DataFrame, delta: DataFrame, keys: Sequence[str], version:
     """The snapshot with the newest delta row of every key put in place.
 
     ``snapshot`` holds one row per key (an earlier upsert's result, or
-    ``latest_per_key``). A delta row that is older than the stored one loses.
+    ``latest_per_key``). A delta row that is older than the stored one loses;
+    one without a key has nothing to replace and is left out.
 
     Written as anti joins against the delta's keys instead of a re-ranking of
     both tables: a delta small enough for Spark's broadcast threshold replaces
     rows without shuffling the snapshot, and a larger one falls back to a
     sort-merge join on the key.
     """
-    newest = latest_per_key(delta, keys, version)
+    newest = latest_per_key(having_keys(delta, *keys), keys, version)
     incoming = newest.select(
         *[F.col(k).alias(f"__new_{k}") for k in keys], F.col(version).alias("__new_version")
     )

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators.dedup import latest_per_key
+from shelfmark.operators.dedup import having_keys, latest_per_key
 from shelfmark.operators.incremental import delta_since, upsert
 from shelfmark.sinks.files import write_parquet
 from shelfmark.sources.control import Commit, append_commit, last_commit
@@ -46,7 +46,7 @@ def extract_increment(
     """
     last = last_commit(spark, control, source)
     if last.version == 0:
-        merged = latest_per_key(read(), keys, changed)
+        merged = latest_per_key(having_keys(read(), *keys), keys, changed)
     else:
         stored = spark.read.parquet(snapshot_path(root, source, last.version))
         mark = F.lit(last.watermark.isoformat()).cast("timestamp_ntz")

@@ -22,17 +22,16 @@ def _delivery(raw: DataFrame) -> list[str]:
 
 def _newest(df: DataFrame, keys: list[str], *versions: str) -> DataFrame:
     """One row per key: the newest delivery where the landing noted it, then ``versions``."""
-    newest_first = [F.col(name).desc_nulls_last() for name in (*_delivery(df), *versions)]
-    return one_per_key(df, keys, prefer=newest_first).drop(DELIVERED)
+    return one_per_key(df, keys, newest=[*_delivery(df), *versions]).drop(DELIVERED)
 
 
 def stage_customers(raw: DataFrame) -> DataFrame:
-    named = raw.select(
+    named = having_keys(raw, "customer_id").select(
         text_key("customer_id").alias("customer_id"),
         F.col("customer_unique_id").alias("customer_name"),
         *_delivery(raw),
     )
-    return _newest(having_keys(named, "customer_id"), ["customer_id"]).select(
+    return _newest(named, ["customer_id"]).select(
         "customer_id",
         "customer_name",
         contact_email("customer_name").alias("email"),
@@ -54,12 +53,12 @@ def stage_products(raw: DataFrame, order_items: DataFrame) -> DataFrame:
     each line once. Copies of a product are dropped before the join, and both
     sides are then spread by product_id, so the join adds no shuffle.
     """
-    described = raw.select(
+    described = having_keys(raw, "product_id").select(
         text_key("product_id").alias("product_id"),
         F.col("product_category_name").alias("category"),
         *_delivery(raw),
     )
-    products = _newest(having_keys(described, "product_id"), ["product_id"])
+    products = _newest(described, ["product_id"])
     return products.join(average_prices(order_items), "product_id", "left").select(
         "product_id",
         product_label("category", "product_id").alias("product_name"),
@@ -70,19 +69,19 @@ def stage_products(raw: DataFrame, order_items: DataFrame) -> DataFrame:
 
 def stage_orders(raw: DataFrame) -> DataFrame:
     """An unreadable purchase time gives a NULL order_date; the order is kept."""
-    dated = raw.select(
+    dated = having_keys(raw, "order_id").select(
         text_key("order_id").alias("order_id"),
         text_key("customer_id").alias("customer_id"),
         F.col("order_status").alias("status"),
         parsed_date(raw, "order_purchase_timestamp", TIMESTAMP_PATTERN).alias("order_date"),
         *_delivery(raw),
     )
-    return _newest(having_keys(dated, "order_id"), ["order_id"])
+    return _newest(dated, ["order_id"])
 
 
 def stage_order_items(raw: DataFrame) -> DataFrame:
     """One row per order line. Lines without an order id stay, for the gate to report."""
-    lines = raw.select(
+    lines = having_keys(raw, "order_item_id").select(
         text_key("order_id").alias("order_id"),
         "order_item_id",
         text_key("product_id").alias("product_id"),
@@ -91,7 +90,7 @@ def stage_order_items(raw: DataFrame) -> DataFrame:
         "freight_value",
         *_delivery(raw),
     )
-    return _newest(having_keys(lines, "order_item_id"), ["order_id", "order_item_id"])
+    return _newest(lines, ["order_id", "order_item_id"])
 
 
 def stage_sellers(raw: DataFrame, filter_after: bool = False) -> DataFrame:
@@ -121,6 +120,5 @@ def stage_inventory(raw: DataFrame, filter_after: bool = False) -> DataFrame:
 
 def stage_product_metadata(raw: DataFrame) -> DataFrame:
     """All source columns under ``product_id``, one row per product."""
-    named = rename_present(data_columns(raw), {"id": "product_id"})
-    keyed = having_keys(named, "product_id").withColumn("product_id", text_key("product_id"))
-    return _newest(keyed, ["product_id"])
+    named = having_keys(rename_present(data_columns(raw), {"id": "product_id"}), "product_id")
+    return _newest(named.withColumn("product_id", text_key("product_id")), ["product_id"])

@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,13 +26,9 @@ class Commit:
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
-    """All commits; no rows when nothing was committed yet."""
-    try:
-        return spark.read.schema(CONTROL).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], CONTROL)
+    """All commits; the table is created without rows where there is none."""
+    spark.createDataFrame([], CONTROL).write.mode("ignore").parquet(path)
+    return spark.read.schema(CONTROL).parquet(path)
 
 
 def last_commit(spark: SparkSession, path: str, source: str) -> Commit:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -34,9 +34,8 @@ def read_csv(
     """CSV with a header, matched by column name.
 
     A cell that does not fit its type becomes NULL and the whole line is kept in
-    ``_corrupt_record``. Columns of ``schema`` the file lacks are left out;
-    ``conform`` adds them where a plan needs them. Multi-line files cannot be
-    split, so large extracts should come as many files.
+    ``_corrupt_record``. Columns of ``schema`` the file lacks are left out.
+    Multi-line files cannot be split, so large extracts should come as many files.
     """
     in_order = csv_schema(spark, path, schema, multiline)
     return (
@@ -58,7 +57,7 @@ def data_columns(df: DataFrame) -> DataFrame:
     return df.drop(CORRUPT, SOURCE_FILE)
 
 
-def bad_record_count(df: DataFrame):
+def bad_record_count() -> Column:
     """Aggregate expression: lines with a cell that did not fit its type."""
     return F.count_if(F.col(CORRUPT).isNotNull()).alias("bad_records")
 

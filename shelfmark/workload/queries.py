@@ -167,9 +167,10 @@ def sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact by month, then one year of it written again in place."""
-    path = scratch_dir(spark, "fact_sales")
-    months = ("year", "month")
-    fact = fact_sales(spark, sf_dir)
+    path, months = scratch_dir(spark, "fact_by_month"), ("year", "month")
+    whole = scratch_dir(spark, "fact_sales")
+    write_parquet(fact_sales(spark, sf_dir), whole)
+    fact = read_parquet(spark, whole)
     write_parquet(fact, path, partition_by=months)
     write_parquet(
         fact.filter(F.col("year") == 1998), path, partition_by=months, only_touched_partitions=True

@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(root / "scratch"),
             "spark.sql.warehouse.dir": str(root / "warehouse"),
             "spark.driver.memory": "8g",
+            "spark.ui.showConsoleProgress": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
