@@ -1,0 +1,194 @@
+"""Files, payloads, landing and sinks (FIXTURES.md E8, E13, E16)."""
+
+import datetime
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+from shelfmark.operators.quality import nulls_metric
+from shelfmark.schemas import RAW
+from shelfmark.sinks.files import write_csv, write_parquet
+from shelfmark.sources.files import (
+    bad_record_count,
+    data_columns,
+    inferred_csv,
+    read_csv,
+    read_parquet,
+)
+from shelfmark.sources.payloads import read_payloads
+from shelfmark.streaming.landing import land_csv
+
+
+def put(path: Path, text: str) -> str:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+    return str(path)
+
+
+def test_csv_is_matched_by_header_name(spark, rows, tmp_path):
+    path = put(
+        tmp_path / "i.csv",
+        "price,order_id,extra,order_item_id,product_id,seller_id,freight_value\n"
+        "1.5,007,x,2,p,s,0.5\n",
+    )
+    df = data_columns(read_csv(spark, path, RAW["order_items"]))
+    assert dict(df.dtypes)["extra"] == "string"
+    assert rows(df, "order_id", "order_item_id", "price", "extra") == [("007", 2, 1.5, "x")]
+
+
+def test_bad_cell_is_null_and_counted(spark, rows, tmp_path):
+    path = put(
+        tmp_path / "i.csv",
+        "order_id,order_item_id,product_id,seller_id,price,freight_value\n"
+        "o1,1,p,s,cheap,0.5\no2,one,p,s,2.0,0.5\no3,3,p,s,3.0,\n",
+    )
+    out = str(tmp_path / "out")
+    written = write_parquet(
+        read_csv(spark, path, RAW["order_items"]), out, metrics=[bad_record_count()]
+    )
+    assert written == {"row_count": 3, "bad_records": 2}
+    assert rows(read_parquet(spark, out), "order_id", "order_item_id", "price") == [
+        ("o1", 1, None), ("o2", None, 2.0), ("o3", 3, 3.0),
+    ]
+
+
+def test_dirty_cells_survive(spark, rows, tmp_path):
+    cities = ["lages - sc", "04482255", "a@b.com", "sao miguel d'oeste", "back\\slash", 'say "hi"', "a,b"]
+    path = str(tmp_path / "sellers")
+    table = spark.createDataFrame(
+        [(str(i), "n", c, "SP") for i, c in enumerate(cities)], RAW["sellers"]
+    )
+    write_csv(table, path)
+    assert rows(data_columns(read_csv(spark, path, RAW["sellers"]))) == rows(table)
+
+
+def test_cell_with_newline_and_quotes_is_one_record(spark, rows, tmp_path):
+    path = put(
+        tmp_path / "m.csv",
+        'id,brand,description\n1,Acme,"two\nlines, ""quoted"""\n2,,plain\n',
+    )
+    df = data_columns(read_csv(spark, path, RAW["product_metadata"], multiline=True))
+    assert rows(df) == [("1", "Acme", 'two\nlines, "quoted"'), ("2", None, "plain")]
+
+
+def test_files_with_other_headers_fail(spark, tmp_path):
+    put(tmp_path / "d" / "a.csv", "customer_id,customer_unique_id\nc1,u1\n")
+    put(tmp_path / "d" / "b.csv", "customer_unique_id,customer_id\nu2,c2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_csv(spark, str(tmp_path / "d"), RAW["customers"]).collect()
+
+
+def test_inference_sees_the_data(spark, tmp_path):
+    path = put(tmp_path / "c.csv", "a,b\n1,2\n2,x\n")
+    assert dict(inferred_csv(spark, path).dtypes) == {"a": "int", "b": "string"}
+
+
+def test_missing_input_is_an_error(spark, tmp_path):
+    gone = str(tmp_path / "gone.csv")
+    with pytest.raises(AnalysisException):
+        read_csv(spark, gone, RAW["customers"])
+    with pytest.raises(AnalysisException):
+        land_csv(spark, gone, str(tmp_path / "t"), str(tmp_path / "c"), RAW["customers"])
+
+
+def test_payload_keeps_nested_types(spark, rows, tmp_path):
+    element = StructType(
+        [StructField("id", LongType()), StructField("tags", ArrayType(StringType()))]
+    )
+    answer = {"products": [{"id": 1, "tags": ["a", "b"], "ignored": 3}, {"id": 2}], "total": 2}
+    path = put(tmp_path / "p" / "a.json", json.dumps(answer, indent=2))
+    df = read_payloads(spark, path, element, whole_files=True)
+    assert rows(df) == [(1, ["a", "b"]), (2, None)]
+
+
+@pytest.mark.parametrize("text", ["<html>", "{}", '{"products": 3}', '{"products": null}', "[]"])
+def test_broken_payload_fails(spark, tmp_path, text):
+    good = '{"products": [{"id": 1}]}'
+    path = put(tmp_path / "p.json", f"{good}\n{text}\n")
+    with pytest.raises(PySparkException, match="payload without a products list"):
+        read_payloads(spark, path).collect()
+
+
+def test_empty_products_list_is_no_row(spark, tmp_path):
+    assert read_payloads(spark, put(tmp_path / "p.json", '{"products": []}\n')).count() == 0
+
+
+def test_only_new_files_are_landed(spark, rows, tmp_path):
+    drop, target, state = (str(tmp_path / n) for n in ("drop", "landed", "state"))
+
+    def run():
+        land_csv(spark, drop, target, state, RAW["customers"])
+        return rows(read_parquet(spark, target), "customer_id")
+
+    put(tmp_path / "drop" / "1.csv", "customer_id,customer_unique_id\na,u\nb,u\n")
+    assert run() == [("a",), ("b",)]
+    assert run() == [("a",), ("b",)]
+    put(tmp_path / "drop" / "2.csv", "customer_id,customer_unique_id\nc,u\n")
+    assert run() == [("a",), ("b",), ("c",)]
+    files = rows(read_parquet(spark, target).select("_source_file").distinct())
+    assert [f.rsplit("/", 1)[1] for (f,) in files] == ["1.csv", "2.csv"]
+
+
+def test_write_metrics_of_empty_and_filled_tables(spark, tmp_path):
+    df = spark.createDataFrame([("a",), (None,)], "k string")
+    path = str(tmp_path / "t")
+    assert write_parquet(df, path, metrics=[nulls_metric("k")]) == {"row_count": 2, "null_count": 1}
+    assert write_parquet(df.limit(0), path) == {"row_count": 0}
+    assert read_parquet(spark, path).columns == ["k"]
+    assert write_parquet(df, path, mode="append") == {"row_count": 2}
+    assert read_parquet(spark, path).count() == 2
+
+
+def test_one_month_again_leaves_the_others(spark, rows, tmp_path):
+    path = str(tmp_path / "fact")
+    months = ("year", "month")
+    first = spark.createDataFrame(
+        [(1, 2018, 1), (2, 2018, 2), (3, 2018, 2), (4, None, None)], "n int, year int, month int"
+    )
+    write_parquet(first, path, partition_by=months)
+    again = spark.createDataFrame([(9, 2018, 2)], first.schema)
+    write_parquet(again, path, partition_by=months, only_touched_partitions=True)
+    assert rows(read_parquet(spark, path), "n", "year", "month") == [
+        (1, 2018, 1), (4, None, None), (9, 2018, 2),
+    ]
+    write_parquet(again, path, partition_by=months)
+    assert rows(read_parquet(spark, path), "n") == [(9,)]
+
+
+def test_partitions_are_pruned(spark, tmp_path, capsys):
+    path = str(tmp_path / "fact")
+    df = spark.range(100).withColumns({"year": F.lit(2018), "month": (F.col("id") % 12).cast("int")})
+    write_parquet(df, path, partition_by=("year", "month"))
+    assert len(list(Path(path).glob("year=2018/month=*/*.parquet"))) == 12
+    read_parquet(spark, path).filter("month = 3").explain()
+    assert "PartitionFilters: [isnotnull(month" in capsys.readouterr().out
+
+
+def test_scratch_follows_the_session(spark):
+    from shelfmark.session import scratch_dir
+
+    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert one != two
+    assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_dates_survive_the_csv_sink(spark, rows, tmp_path):
+    path = str(tmp_path / "inv")
+    df = spark.createDataFrame(
+        [("p", 3, "WH1", datetime.date(2017, 1, 2)), ("q", None, None, None)],
+        "product_id string, stock_quantity int, warehouse_location string, last_updated date",
+    )
+    assert write_csv(df, path) == {"row_count": 2}
+    assert rows(data_columns(read_csv(spark, path, RAW["inventory"]))) == [
+        ("p", 3, "WH1", "2017-01-02"), ("q", None, None, None),
+    ]

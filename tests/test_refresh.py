@@ -1,0 +1,150 @@
+"""The daily run from files to the star."""
+
+import datetime
+import json
+
+import pytest
+
+from shelfmark.operators.quality import DataQualityError
+from shelfmark.plans.refresh import STAR_TABLES, Layout, run_daily
+from shelfmark.sinks.files import write_csv
+from shelfmark.schemas import RAW
+
+DAY = datetime.date
+
+
+class Shop:
+    """Small sources in a folder, and the daily run over them."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, root
+        self.layout = Layout(str(root / "lake"))
+        self.loaded = {}
+        self.csv = {
+            "customers": [("c1", "u1"), ("c1", "u1"), ("c2", "u2")],
+            "products": [("p1", "toys"), ("p2", None)],
+            "orders": [("o1", "c1", "done", "2018-01-05 10:00:00"),
+                       ("o2", "c2", "done", "2018-02-05 10:00:00")],
+            "order_items": [("o1", 1, "p1", "s1", 10.0, 1.0), ("o1", 2, "p1", "s1", 20.0, 1.0),
+                            ("o2", 1, "p2", "s1", 5.0, 1.0), ("o9", 1, "p2", "s1", 5.0, 1.0)],
+        }
+        self.inventory = [("p1", 5, "WH1", DAY(2017, 1, 1)), ("p2", 50, "WH1", DAY(2017, 1, 2))]
+        self.metadata = [{"id": 1, "brand": "Acme", "rating": 4.5, "stock": 9, "category": "x"}]
+
+    def table(self, name):
+        if name == "sellers":
+            return self.spark.createDataFrame([("s1", "Seller_s1", "city", "SP")], RAW["sellers"])
+        return self.spark.createDataFrame(
+            self.inventory,
+            "product_id string, stock_quantity int, warehouse_location string, last_updated date",
+        )
+
+    def run(self, **options):
+        for name, rows in self.csv.items():
+            write_csv(
+                self.spark.createDataFrame(rows, RAW[name]), str(self.root / "in" / f"{name}.csv")
+            )
+        (self.root / "in" / "answers").mkdir(exist_ok=True)
+        (self.root / "in" / "answers" / "1.json").write_text(json.dumps({"products": self.metadata}))
+        return run_daily(
+            self.spark, self.layout, str(self.root / "in"), self.table,
+            str(self.root / "in" / "answers"), **options,
+        )
+
+    def star(self, name):
+        return self.spark.read.parquet(self.layout.star(name))
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    return Shop(spark, tmp_path)
+
+
+def test_star_from_sources(shop, rows):
+    written = shop.run()
+    assert written["customers"]["row_count"] == 2
+    assert written["orders"] == {"row_count": 2, "undated": 0}
+    assert written["fact_sales"]["row_count"] == 3
+    assert rows(shop.star("fact_sales"), "order_id", "quantity", "sale_amount", "year", "month") == [
+        ("o1", 1, 10.0, 2018, 1), ("o1", 2, 40.0, 2018, 1), ("o2", 1, 5.0, 2018, 2),
+    ]
+    assert rows(shop.star("dim_products"), "product_id", "price", "stock_status", "brand") == [
+        ("p1", 15.0, "LOW_STOCK", None), ("p2", 5.0, "IN_STOCK", None),
+    ]
+
+
+def test_running_again_gives_the_same(shop, rows):
+    shop.run()
+    before = {t: rows(shop.star(t)) for t in STAR_TABLES}
+    shop.run()
+    assert before == {t: rows(shop.star(t)) for t in STAR_TABLES}
+
+
+def test_changed_stock_is_merged(shop, rows):
+    shop.run()
+    shop.inventory = [("p1", 0, "WH1", DAY(2017, 1, 3))]
+    shop.run()
+    assert rows(shop.star("dim_products"), "product_id", "stock_status") == [
+        ("p1", "OUT_OF_STOCK"), ("p2", "IN_STOCK"),
+    ]
+
+
+def test_gate_stops_before_the_star(shop, rows):
+    shop.run()
+    shop.csv["order_items"].append((None, 1, "p1", "s1", 1.0, 1.0))
+    with pytest.raises(DataQualityError, match="order_items.order_id has 1 null"):
+        shop.run(sink=lambda df, name: pytest.fail("loaded"))
+    assert shop.star("fact_sales").count() == 3
+
+
+def test_load_gets_every_star_table(shop):
+    def sink(df, name):
+        shop.loaded[name] = df.count()
+        return shop.loaded[name]
+
+    shop.run(sink=sink)
+    assert shop.loaded == {"dim_customers": 2, "dim_sellers": 1, "dim_products": 2, "fact_sales": 3}
+
+
+def test_missing_file_stops_the_run(shop):
+    del shop.csv["orders"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        shop.run()
+
+
+def test_deliveries_add_up(shop, rows):
+    """A second delivery brings a new order and a newer state of a known one."""
+    import time
+
+    from shelfmark.plans.refresh import land, stage
+
+    def deliver(name, text):
+        folder = shop.root / "drop" / f"{name}.csv"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{len(list(folder.iterdir()))}.csv").write_text(text)
+
+    def run():
+        land(
+            shop.spark, shop.layout, str(shop.root / "drop"), shop.table,
+            str(shop.root / "in" / "answers"), new_files_only=True,
+        )
+        stage(shop.spark, shop.layout)
+        return rows(
+            shop.spark.read.parquet(shop.layout.staging("orders")), "order_id", "status"
+        )
+
+    (shop.root / "in" / "answers").mkdir()
+    (shop.root / "in" / "answers" / "1.json").write_text(json.dumps({"products": shop.metadata}))
+    head = "order_id,customer_id,order_status,order_purchase_timestamp\n"
+    deliver("customers", "customer_id,customer_unique_id\nc1,u1\n")
+    deliver("products", "product_id,product_category_name\np1,toys\n")
+    deliver(
+        "order_items",
+        "order_id,order_item_id,product_id,seller_id,price,freight_value\no1,1,p1,s1,10.0,1.0\n",
+    )
+    deliver("orders", head + "o1,c1,paid,2018-01-05 10:00:00\n")
+    assert run() == [("o1", "paid")]
+    time.sleep(1.1)
+    deliver("orders", head + "o1,c1,shipped,2018-01-05 10:00:00\no2,c1,paid,\n")
+    assert run() == [("o1", "shipped"), ("o2", "paid")]

@@ -1,0 +1,138 @@
+"""Missing, dirty and repeated rows in the raw tables (FIXTURES.md E1-E8)."""
+
+import datetime
+
+import pytest
+
+from shelfmark.plans import staging
+from shelfmark.schemas import RAW, STAGING
+
+DAY = datetime.date
+
+
+def raw(spark, name, rows):
+    return spark.createDataFrame(rows, RAW[name])
+
+
+def test_repeated_customer_has_one_fixed_winner(spark, rows):
+    data = [("c1", "zoe"), ("c1", None), ("c1", "ann"), (None, "x"), (None, "y"), ("c2", None)]
+    for given in (data, data[::-1]):
+        staged = staging.stage_customers(raw(spark, "customers", given).repartition(4))
+        assert rows(staged) == [
+            ("c1", "ann", "ann@email.com", DAY(2017, 1, 1)),
+            ("c2", None, None, DAY(2017, 1, 1)),
+        ]
+
+
+def test_product_without_category_or_sale_is_kept(spark, rows):
+    products = raw(
+        spark, "products", [("abcdefghij", "toys"), ("p2", None), (None, "lost"), ("p2", None)]
+    )
+    items = raw(
+        spark,
+        "order_items",
+        [("o1", 1, "abcdefghij", "s", 10.0, 0.0), ("o1", 1, "abcdefghij", "s", 20.5, 0.0),
+         ("o2", 1, "abcdefghij", "s", None, 0.0), ("o3", 1, None, "s", 99.0, 0.0)],
+    )
+    assert rows(staging.stage_products(products, items)) == [
+        ("abcdefghij", "toys_abcdefgh", "toys", 15.25),
+        ("p2", None, None, None),
+    ]
+    once = staging.stage_products(products, staging.stage_order_items(items))
+    assert rows(once, "product_id", "price") == [("abcdefghij", 10.0), ("p2", None)]
+
+
+def test_average_does_not_depend_on_row_order(spark, rows):
+    prices = [0.1, 0.2, 0.3, 1e9, 7.77] * 200
+    items = [("o", i, "p", "s", price, 0.0) for i, price in enumerate(prices)]
+    means = {
+        rows(staging.average_prices(raw(spark, "order_items", given).repartition(parts)))[0][1]
+        for given in (items, sorted(items, key=lambda r: r[4]))
+        for parts in (1, 7)
+    }
+    assert len(means) == 1
+
+
+def test_prices_that_are_no_money_are_ignored(spark, rows):
+    items = [("o", 1, "p", "s", float("nan"), 0.0), ("o", 2, "p", "s", 4.0, 0.0),
+             ("o", 3, "q", "s", None, 0.0)]
+    assert rows(staging.average_prices(raw(spark, "order_items", items))) == [
+        ("p", 4.0), ("q", None),
+    ]
+
+
+def test_repeated_order_line_is_staged_once(spark, rows):
+    lines = [("o1", 1, "p", "s", 20.0, 1.0), ("o1", 1, "p", "s", 10.0, 1.0),
+             ("o1", 2, "p", "s", 10.0, 1.0), ("o1", None, "p", "s", 5.0, 1.0),
+             (None, 1, "p", "s", 5.0, 1.0)]
+    staged = staging.stage_order_items(raw(spark, "order_items", lines))
+    assert rows(staged, "order_id", "order_item_id", "price") == [
+        (None, 1, 5.0), ("o1", 1, 10.0), ("o1", 2, 10.0),
+    ]
+
+
+def test_unreadable_purchase_time_is_null(spark, rows):
+    orders = [("o1", "c", "done", "2018-02-03 10:11:12"), ("o2", "c", "done", "soon"),
+              ("o3", "c", "done", None), ("o4", "c", "done", "2018-02-30 00:00:00"),
+              (None, "c", "done", "2018-02-03 10:11:12")]
+    assert rows(staging.stage_orders(raw(spark, "orders", orders)), "order_id", "order_date") == [
+        ("o1", DAY(2018, 2, 3)), ("o2", None), ("o3", None), ("o4", None),
+    ]
+
+
+def test_typed_purchase_time_is_cast(spark, rows):
+    orders = raw(spark, "orders", [("o1", "c", "done", "2018-02-03 23:59:59")])
+    for kind in ("timestamp", "timestamp_ntz", "date"):
+        typed = orders.selectExpr(
+            "order_id", "customer_id", "order_status",
+            f"cast(order_purchase_timestamp as {kind}) order_purchase_timestamp",
+        )
+        assert rows(staging.stage_orders(typed), "order_date") == [(DAY(2018, 2, 3),)]
+
+
+@pytest.mark.parametrize("filter_after, kept", [(False, ["s1", "s2"]), (True, ["s2"])])
+def test_unnamed_copy_of_a_seller(spark, rows, filter_after, kept):
+    """The order puts the row with the empty city first among named rows only."""
+    sellers = spark.createDataFrame(
+        [("s1", "aa", "Ann"), ("s1", "aa", None), ("s2", "bb", "Bob"), ("s3", "cc", None)],
+        "seller_id string, city string, seller_name string",
+    )
+    if filter_after:
+        sellers = sellers.withColumn("city", sellers.seller_name.isNull().cast("int") * -1)
+    staged = staging.stage_sellers(sellers, filter_after=filter_after)
+    assert [r[0] for r in rows(staged, "seller_id")] == kept
+
+
+@pytest.mark.parametrize("filter_after, stock", [(False, [(5,)]), (True, [])])
+def test_newest_inventory_row_with_a_stock_wins(spark, rows, filter_after, stock):
+    inventory = [("p1", 5, "WH1", "2017-01-02"), ("p1", 9, "WH1", "2017-01-01"),
+                 ("p1", None, "WH1", "2017-01-03"), (None, 4, "WH1", "2017-01-01")]
+    staged = staging.stage_inventory(raw(spark, "inventory", inventory), filter_after=filter_after)
+    assert rows(staged, "stock_quantity") == stock
+
+
+def test_metadata_keeps_every_column_under_product_id(spark, rows):
+    metadata = spark.createDataFrame(
+        [(7, "b", ["x"]), (7, "a", ["y"]), (None, "c", [])], "id long, brand string, tags array<string>"
+    )
+    staged = staging.stage_product_metadata(metadata)
+    assert staged.columns == ["product_id", "brand", "tags"]
+    assert rows(staged) == [("7", "a", ["y"])]
+
+
+def test_newest_delivery_wins(spark, rows):
+    landed = spark.createDataFrame(
+        [("o1", "c1", "paid", "2018-01-01 00:00:00", 1), ("o1", "c1", "shipped", None, 2)],
+        "order_id string, customer_id string, order_status string, "
+        "order_purchase_timestamp string, _delivered_at int",
+    )
+    assert rows(staging.stage_orders(landed)) == [("o1", "c1", "shipped", None)]
+
+
+def test_staged_columns(spark):
+    empty = {name: spark.createDataFrame([], schema) for name, schema in RAW.items()}
+    from shelfmark.plans.refresh import staged_tables
+
+    for name, df in staged_tables(empty).items():
+        assert dict(df.dtypes) == {f.name: f.dataType.simpleString() for f in STAGING[name]}
+        assert df.count() == 0
