@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators.quality import gate, key_report
 from shelfmark.plans import staging, star
 from shelfmark.plans.incremental import current_snapshot, extract_increment
-from shelfmark.schemas import PRODUCT_ELEMENT, RAW
+from shelfmark.schemas import RAW
 from shelfmark.sinks.files import write_parquet
 from shelfmark.sources.files import bad_record_count, read_csv
 from shelfmark.sources.payloads import read_payloads
@@ -61,13 +61,13 @@ class Layout:
         return f"{self.root}/landing/{table}"
 
 
-def _write_each(jobs: Mapping[str, Callable[[], Any]]) -> dict[str, Any]:
-    """Run independent write jobs side by side; the first failure is raised."""
+def _write_each(write: Callable[[str], Any], tables: Iterable[str]) -> dict[str, Any]:
+    """Write independent tables side by side; the first failure is raised."""
     with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
-        results = {name: job.result() for name, job in running.items()}
-    for name, metrics in results.items():
-        log.info("%s: %s", name, metrics)
+        running = {table: pool.submit(write, table) for table in tables}
+        results = {table: job.result() for table, job in running.items()}
+    for table, metrics in results.items():
+        log.info("%s: %s", table, metrics)
     return results
 
 
@@ -91,70 +91,70 @@ def land(
     ``inventory`` from its last mark on.
     """
 
-    def csv(table):
+    def write(table):
+        if table == "sellers":
+            return write_parquet(source_table(table), layout.raw(table))
+        if table == "inventory":
+            return extract_increment(
+                spark, table, lambda: source_table(table), layout.snapshots, layout.control,
+                ["product_id"], "last_updated",
+            )
+        if table == "product_metadata":
+            return write_parquet(read_payloads(spark, payload_path), layout.raw(table))
         path = f"{csv_root}/{table}.csv"
         if new_files_only:
-            return land_csv(
-                spark, path, layout.raw(table), layout.checkpoint(table), RAW[table]
-            )
+            return land_csv(spark, path, layout.raw(table), layout.checkpoint(table), RAW[table])
         return write_parquet(
             read_csv(spark, path, RAW[table]), layout.raw(table), metrics=[bad_record_count()]
         )
 
-    jobs = {table: (lambda table=table: csv(table)) for table in CSV_TABLES}
-    jobs["sellers"] = lambda: write_parquet(source_table("sellers"), layout.raw("sellers"))
-    jobs["inventory"] = lambda: extract_increment(
-        spark, "inventory", lambda: source_table("inventory"), layout.snapshots, layout.control,
-        ["product_id"], "last_updated",
-    )
-    jobs["product_metadata"] = lambda: write_parquet(
-        read_payloads(spark, payload_path, PRODUCT_ELEMENT), layout.raw("product_metadata")
-    )
-    _write_each(jobs)
-
-
-def staged_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The seven staging tables as plans over the raw ones."""
-    return {
-        "customers": staging.stage_customers(raw["customers"]),
-        "products": staging.stage_products(raw["products"], raw["order_items"]),
-        "orders": staging.stage_orders(raw["orders"]),
-        "order_items": staging.stage_order_items(raw["order_items"]),
-        "sellers": staging.stage_sellers(raw["sellers"]),
-        "inventory": staging.stage_inventory(raw["inventory"]),
-        "product_metadata": staging.stage_product_metadata(raw["product_metadata"]),
-    }
-
-
-def star_tables(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The four warehouse tables as plans over the staged ones."""
-    return {
-        "dim_customers": star.dim_customers(staged["customers"]),
-        "dim_sellers": star.dim_sellers(staged["sellers"]),
-        "dim_products": star.dim_products(
-            staged["products"], staged["inventory"], staged["product_metadata"]
-        ),
-        "fact_sales": star.fact_sales(staged["order_items"], staged["orders"]),
-    }
+    _write_each(write, STAGED_TABLES)
+
+
+# How each table is made, and from which tables of the layer before.
+STAGED_FROM = {
+    "customers": (staging.stage_customers, ("customers",)),
+    "products": (staging.stage_products, ("products", "order_items")),
+    "orders": (staging.stage_orders, ("orders",)),
+    "order_items": (staging.stage_order_items, ("order_items",)),
+    "sellers": (staging.stage_sellers, ("sellers",)),
+    "inventory": (staging.stage_inventory, ("inventory",)),
+    "product_metadata": (staging.stage_product_metadata, ("product_metadata",)),
+}
+STAR_FROM = {
+    "dim_customers": (star.dim_customers, ("customers",)),
+    "dim_sellers": (star.dim_sellers, ("sellers",)),
+    "dim_products": (star.dim_products, ("products", "inventory", "product_metadata")),
+    "fact_sales": (star.fact_sales, ("order_items", "orders")),
+}
+
+
+def staged_table(name: str, raw: Callable[[str], DataFrame]) -> DataFrame:
+    """The plan of a staging table over the raw tables it needs."""
+    make, needs = STAGED_FROM[name]
+    return make(*map(raw, needs))
+
+
+def star_table(name: str, staged: Callable[[str], DataFrame]) -> DataFrame:
+    """The plan of a warehouse table over the staging tables it needs."""
+    make, needs = STAR_FROM[name]
+    return make(*map(staged, needs))
 
 
 def stage(spark: SparkSession, layout: Layout) -> Metrics:
-    raw = {t: spark.read.parquet(layout.raw(t)) for t in STAGED_TABLES if t != "inventory"}
-    raw["inventory"] = current_snapshot(spark, layout.snapshots, layout.control, "inventory")
     undated = {"orders": "order_date", "inventory": "last_updated"}
 
-    def metrics(table):
+    def raw(table):
+        if table == "inventory":
+            return current_snapshot(spark, layout.snapshots, layout.control, table)
+        return spark.read.parquet(layout.raw(table))
+
+    def write(table):
         date = undated.get(table)
-        return [F.count_if(F.col(date).isNull()).alias("undated")] if date else []
+        metrics = [F.count_if(F.col(date).isNull()).alias("undated")] if date else []
+        return write_parquet(staged_table(table, raw), layout.staging(table), metrics=metrics)
 
-    return _write_each(
-        {
-            table: (lambda df=df, table=table: write_parquet(
-                df, layout.staging(table), metrics=metrics(table)
-            ))
-            for table, df in staged_tables(raw).items()
-        }
-    )
+    return _write_each(write, STAGED_FROM)
 
 
 def check(spark: SparkSession, layout: Layout) -> None:
@@ -163,17 +163,12 @@ def check(spark: SparkSession, layout: Layout) -> None:
 
 
 def build_star(spark: SparkSession, layout: Layout) -> Metrics:
-    tables = star_tables({t: spark.read.parquet(layout.staging(t)) for t in STAGED_TABLES})
-    return _write_each(
-        {
-            name: (lambda df=df, name=name: write_parquet(
-                df,
-                layout.star(name),
-                partition_by=("year", "month") if name == "fact_sales" else (),
-            ))
-            for name, df in tables.items()
-        }
-    )
+    def write(table):
+        df = star_table(table, lambda name: spark.read.parquet(layout.staging(name)))
+        months = ("year", "month") if table == "fact_sales" else ()
+        return write_parquet(df, layout.star(table), partition_by=months)
+
+    return _write_each(write, STAR_FROM)
 
 
 def load(

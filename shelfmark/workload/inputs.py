@@ -91,6 +91,15 @@ def product_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RAW_TABLES = {
+    read.__name__: read
+    for read in (customers, products, orders, order_items, sellers, inventory, product_metadata)
+}
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return RAW_TABLES[name](spark, sf_dir)
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    readers = (customers, products, orders, order_items, sellers, inventory, product_metadata)
-    return {read.__name__: read(spark, sf_dir) for read in readers}
+    return {name: read(spark, sf_dir) for name, read in RAW_TABLES.items()}

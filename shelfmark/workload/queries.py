@@ -7,7 +7,7 @@ executor can reach.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from shelfmark.functions.cleaning import DATE_PATTERN, TIMESTAMP_PATTERN
 from shelfmark.operators import conform, incremental, quality, synth
 from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
 from shelfmark.plans import refresh, staging, star
-from shelfmark.plans.refresh import staged_tables, star_tables
+from shelfmark.plans.refresh import staged_table, star_table
 from shelfmark.schemas import RAW
 from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import write_csv, write_parquet
@@ -66,8 +66,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.table(spark, sf_dir, "events")
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return staged_tables(inputs.raw_tables(spark, sf_dir))
+def _staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return staged_table(name, partial(inputs.raw_table, spark, sf_dir))
 
 
 def _stored(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
@@ -191,13 +191,14 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def observed_write_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What three writes report about themselves, without reading anything back."""
-    staged = _staged(spark, sf_dir)
     rows = []
     for name, column in (
         ("orders", "order_date"), ("order_items", "order_id"), ("products", "category")
     ):
         written = write_parquet(
-            staged[name], scratch_dir(spark, name), metrics=[quality.nulls_metric(column)]
+            _staged(spark, sf_dir, name),
+            scratch_dir(spark, name),
+            metrics=[quality.nulls_metric(column)],
         )
         rows.append((name, column, written["row_count"], written["null_count"]))
     return spark.createDataFrame(
@@ -398,7 +399,7 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.key_report(_staged(spark, sf_dir))
+    return quality.key_report({t: _staged(spark, sf_dir, t) for t in refresh.STAGED_TABLES})
 
 
 @query
@@ -414,10 +415,10 @@ def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _register_tables() -> None:
     def staged(name):
-        return lambda spark, sf_dir: _staged(spark, sf_dir)[name]
+        return lambda spark, sf_dir: _staged(spark, sf_dir, name)
 
     def starred(name):
-        return lambda spark, sf_dir: star_tables(_staged(spark, sf_dir))[name]
+        return lambda spark, sf_dir: star_table(name, partial(_staged, spark, sf_dir))
 
     QUERIES.update({f"stage_{name}": staged(name) for name in refresh.STAGED_TABLES})
     QUERIES.update({name: starred(name) for name in refresh.STAR_TABLES if name != "fact_sales"})
@@ -429,18 +430,18 @@ _register_tables()
 @query
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From stored staging tables, so that AQE can split an order with very many lines."""
-    staged = _staged(spark, sf_dir)
-    return star.fact_sales(
-        _stored(spark, "order_items", staged["order_items"]),
-        _stored(spark, "orders", staged["orders"]),
+    return star_table(
+        "fact_sales", lambda name: _stored(spark, name, _staged(spark, sf_dir, name))
     )
 
 
 @query
 def dim_products_no_metadata_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir)
-    ids_only = staged["product_metadata"].select("product_id")
-    return star.dim_products(staged["products"], staged["inventory"], ids_only)
+    return star.dim_products(
+        _staged(spark, sf_dir, "products"),
+        _staged(spark, sf_dir, "inventory"),
+        _staged(spark, sf_dir, "product_metadata").select("product_id"),
+    )
 
 
 @query
