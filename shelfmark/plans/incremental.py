@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +17,10 @@ def snapshot_path(root: str, source: str, version: int) -> str:
     return f"{root}/{source}/version={version}"
 
 
+def delta_path(root: str, source: str, version: int) -> str:
+    return f"{root}/{source}/delta={version}"
+
+
 def current_snapshot(spark: SparkSession, root: str, control: str, source: str) -> DataFrame:
     """The committed snapshot; files of an unfinished run are never read."""
     commit = last_commit(spark, control, source)
@@ -37,14 +40,17 @@ def extract_increment(
 ) -> Commit:
     """Upsert what changed since the last mark into the snapshot, then commit.
 
-    The new snapshot goes to its own directory, so the one being read is not
-    overwritten. The mark becomes the newest stamp that was loaded, and rows
-    stamped exactly at the mark are read again, so rows written later with the
-    same stamp are not missed. Rows without a stamp are part of the first load
-    only. The commit is the last step: a run that dies before it is repeated as
-    a whole.
+    The delta is stored before it is merged: the source is asked once, so the
+    merge cannot see it in two states. The new snapshot goes to its own
+    directory, so the one being read is not overwritten; without changed rows
+    the old one stays in force. The mark becomes the newest stamp that was
+    loaded, and rows stamped exactly at the mark are read again, so rows written
+    later with the same stamp are not missed. Rows without a stamp are part of
+    the first load only. The commit is the last step: a run that dies before it
+    is repeated as a whole.
     """
     last = last_commit(spark, control, source)
+    version = last.version + 1
     if last.version == 0:
         merged = latest_per_key(having_keys(read(), *keys), keys, changed)
     else:
@@ -52,20 +58,13 @@ def extract_increment(
         mark = F.lit(last.watermark.isoformat()).cast("timestamp_ntz")
         stamp_type = stored.schema[changed].dataType
         delta = delta_since(read(), changed, mark.cast(stamp_type), inclusive=True)
-        merged = upsert(stored, delta, keys, changed)
+        path = delta_path(root, source, version)
+        if write_parquet(delta, path)["row_count"] == 0:
+            return last
+        merged = upsert(stored, spark.read.parquet(path), keys, changed)
     newest = F.max(F.col(changed).cast("timestamp_ntz")).alias("newest")
-    written = write_parquet(
-        merged, snapshot_path(root, source, last.version + 1), metrics=[newest]
-    )
-    commit = Commit(
-        source,
-        max(filter(None, [last.watermark, _naive(written["newest"])])),
-        last.version + 1,
-        written["row_count"],
-    )
+    written = write_parquet(merged, snapshot_path(root, source, version), metrics=[newest])
+    watermark = max(filter(None, [last.watermark, written["newest"]]))
+    commit = Commit(source, watermark, version, written["row_count"])
     append_commit(spark, control, commit)
     return commit
-
-
-def _naive(stamp: datetime | None) -> datetime | None:
-    return stamp.replace(tzinfo=None) if stamp else None

@@ -111,10 +111,26 @@ def test_first_load_then_upserts(spark, rows, extract):
 def test_empty_delta_keeps_snapshot_and_mark(spark, rows, extract):
     extract(stock(spark, ("a", 1, "W", day(3))))
     again = extract(stock(spark))
-    assert (again.version, again.rows, again.watermark) == (2, 1, datetime.datetime(2017, 1, 3))
+    assert (again.version, again.rows, again.watermark) == (1, 1, datetime.datetime(2017, 1, 3))
     assert rows(extract.current(), "product_id") == [("a",)]
 
 
+def test_source_is_asked_once_per_load(spark, rows, tmp_path):
+    """Every look at the source shows another stock, as a live table may."""
+    looks = []
+
+    def read():
+        looks.append(1)
+        return stock(spark, ("a", len(looks), "W", day(len(looks))), ("b", 1, "W", day(1)))
+
+    where = (str(tmp_path / "snap"), str(tmp_path / "control"))
+    for load in (1, 2, 3):
+        extract_increment(spark, "i", read, *where, ["product_id"], "last_updated")
+        assert len(looks) == load
+        current = current_snapshot(spark, *where, "i")
+        assert rows(current, "product_id", "stock_quantity") == [("a", load), ("b", 1)]
+
+
 def test_unfinished_load_is_not_read_and_is_repeated(spark, rows, extract):
     extract(stock(spark, ("a", 1, "W", day(3))))
     root, control = extract.paths
