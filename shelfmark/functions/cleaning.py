@@ -40,7 +40,13 @@ def lenient_double(column: str) -> Column:
 
 
 def parsed_date(df: DataFrame, column: str, pattern: str) -> Column:
-    """The date of a text column, NULL where it does not parse; typed columns are cast."""
+    """The date of a column, NULL where a text does not parse.
+
+    Texts are read by the pattern, else as any time Spark can cast, so a file
+    with fractions of a second or another ISO form keeps its dates.
+    """
+    text = F.col(column)
     if isinstance(df.schema[column].dataType, StringType):
-        return F.try_to_timestamp(F.col(column), F.lit(pattern)).cast("date")
-    return F.col(column).cast("date")
+        stamp = F.coalesce(F.try_to_timestamp(text, F.lit(pattern)), text.try_cast("timestamp"))
+        return stamp.cast("date")
+    return text.cast("date")

@@ -10,11 +10,12 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfmark.operators.quality import gate, key_report
 from shelfmark.plans import staging, star
 from shelfmark.plans.incremental import current_snapshot, extract_increment
-from shelfmark.schemas import RAW
+from shelfmark.schemas import PRODUCT_ELEMENT, RAW
 from shelfmark.sinks.files import write_parquet
 from shelfmark.sources.files import bad_record_count, read_csv
 from shelfmark.sources.payloads import read_payloads
@@ -78,6 +79,7 @@ def land(
     source_table: Callable[[str], DataFrame],
     payload_path: str,
     new_files_only: bool = False,
+    product_element: StructType = PRODUCT_ELEMENT,
 ) -> None:
     """Bring all sources into the raw layer as Parquet.
 
@@ -88,7 +90,9 @@ def land(
 
     ``source_table`` gives a database table by name, such as
     ``partial(read_table, spark, connection)``: ``sellers`` is read whole,
-    ``inventory`` from its last mark on.
+    ``inventory`` from its last mark on. ``payload_path`` holds the product
+    service's answers, one per line; ``product_element`` names what is kept of a
+    product, down to nested fields.
     """
 
     def write(table):
@@ -100,7 +104,8 @@ def land(
                 ["product_id"], "last_updated",
             )
         if table == "product_metadata":
-            return write_parquet(read_payloads(spark, payload_path), layout.raw(table))
+            products = read_payloads(spark, payload_path, product_element)
+            return write_parquet(products, layout.raw(table))
         path = f"{csv_root}/{table}.csv"
         if new_files_only:
             return land_csv(spark, path, layout.raw(table), layout.checkpoint(table), RAW[table])
@@ -186,9 +191,10 @@ def run_daily(
     payload_path: str,
     sink: Callable[[DataFrame, str], int] | None = None,
     new_files_only: bool = False,
+    product_element: StructType = PRODUCT_ELEMENT,
 ) -> Metrics:
     """All steps in order; a failed check stops the run before the star is touched."""
-    land(spark, layout, csv_root, source_table, payload_path, new_files_only)
+    land(spark, layout, csv_root, source_table, payload_path, new_files_only, product_element)
     written = dict(stage(spark, layout))
     check(spark, layout)
     written.update(build_star(spark, layout))

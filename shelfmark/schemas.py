@@ -69,9 +69,10 @@ STAR = {
     ),
 }
 
-# One element of the product service's answer, and the answer itself. Callers
-# that need more of the element pass a wider struct; staging keeps every column.
-PRODUCT_ELEMENT = _struct(id=LONG, brand=STRING, rating=DOUBLE, stock=INT, category=STRING)
+# One element of the product service's answer, and the answer itself. The id is
+# text whether it is sent as text or number. Callers that need more of the
+# element pass a wider struct; staging keeps every column.
+PRODUCT_ELEMENT = RAW["product_metadata"]
 
 
 def payload_of(element: StructType) -> StructType:

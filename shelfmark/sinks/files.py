@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 
@@ -23,7 +24,7 @@ def write_parquet(
     mode: str = "overwrite",
     only_touched_partitions: bool = False,
     metrics: Sequence[Column] = (),
-) -> Mapping[str, int]:
+) -> Mapping[str, Any]:
     """Write Parquet and return ``row_count`` and any further metrics.
 
     Partitioned output is rebalanced on its partition columns first: a small
@@ -36,16 +37,15 @@ def write_parquet(
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     observed, observation = _observed(df, metrics)
-    writer = observed.write.mode(mode)
+    replaced = "dynamic" if only_touched_partitions else "static"
+    writer = observed.write.mode(mode).option("partitionOverwriteMode", replaced)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if only_touched_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return observation.get
 
 
-def write_csv(df: DataFrame, path: str, metrics: Sequence[Column] = ()) -> Mapping[str, int]:
+def write_csv(df: DataFrame, path: str, metrics: Sequence[Column] = ()) -> Mapping[str, Any]:
     """CSV with a header line in every file."""
     observed, observation = _observed(df, metrics)
     options = {k: CSV_OPTIONS[k] for k in ("header", "escape")}

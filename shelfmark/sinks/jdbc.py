@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 
 from shelfmark.operators.quality import rows_metric
 from shelfmark.sources.jdbc import read_table
@@ -37,6 +37,12 @@ def table_writer(
     )
 
 
+def stored_rows(spark: SparkSession, connection: Mapping[str, str], table: str) -> int:
+    """The table's row count, counted by the database."""
+    counted = f"(SELECT COUNT(*) AS stored FROM {table}) counted"
+    return int(read_table(spark, connection, counted).first()[0])
+
+
 def load_table(
     df: DataFrame, connection: Mapping[str, str], table: str, connections: int = 8
 ) -> int:
@@ -52,7 +58,7 @@ def load_table(
     observed = df.observe(observation, rows_metric())
     table_writer(observed, connection, table, connections=connections).save()
     sent = observation.get["row_count"]
-    stored = read_table(df.sparkSession, connection, table).count()
+    stored = stored_rows(df.sparkSession, connection, table)
     if stored != sent:
         raise LoadMismatch(f"{table}: sent {sent} rows, found {stored}")
     return sent

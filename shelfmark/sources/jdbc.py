@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 from typing import Any
@@ -71,8 +71,18 @@ def read_since(
     )
 
 
-def date_predicates(column: str, first: date, last: date, days: int) -> list[str]:
-    """Conditions that put every row in exactly one slice, for ``spark.read.jdbc(predicates=)``.
+def read_slices(
+    spark: SparkSession, connection: Mapping[str, str], table: str, slices: Sequence[str]
+) -> DataFrame:
+    """The table over one connection per slice, for keys or dates that are not spread evenly."""
+    properties = {k: v for k, v in connection.items() if k != "url"}
+    return spark.read.jdbc(
+        connection["url"], table, predicates=list(slices), properties=properties
+    )
+
+
+def date_slices(column: str, first: date, last: date, days: int) -> list[str]:
+    """Conditions that put every row in exactly one slice.
 
     The outer slices are open and rows without a date go to the first, so no
     row falls outside however far the real dates reach.

@@ -247,7 +247,7 @@ ORACLES: dict[str, str] = {
     ),
     "src_parquet": "SELECT * FROM lineitem",
     "api_products_explode": """
-        SELECT p_partkey * 3 + i AS id, p_brand AS brand,
+        SELECT CAST(p_partkey * 3 + i AS VARCHAR) AS id, p_brand AS brand,
                p_size / CAST(10.0 AS DOUBLE) AS rating, CAST(p_size + i AS INTEGER) AS stock,
                lower(p_type) AS category
         FROM part, (VALUES (0), (1), (2)) AS copies(i)""",

@@ -17,9 +17,9 @@ from shelfmark.functions import (
     lenient_double,
     parsed_date,
     product_label,
-    stock_status,
     text_key,
 )
+from shelfmark.functions import stock_status as status_of
 from shelfmark.functions.cleaning import DATE_PATTERN, TIMESTAMP_PATTERN
 from shelfmark.operators import conform, incremental, quality, synth
 from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
@@ -325,15 +325,12 @@ def fn_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def fn_stock_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stock_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.inventory(spark, sf_dir).select(
-        "product_id", "stock_quantity", stock_status("stock_quantity").alias("stock_status")
+        "product_id", "stock_quantity", status_of("stock_quantity").alias("stock_status")
     )
 
 
-QUERIES["stock_status"] = QUERIES.pop("fn_stock_status")
-
-
 @query
 def synth_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synth.named_sellers(inputs.sellers(spark, sf_dir))

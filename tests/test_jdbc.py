@@ -31,6 +31,9 @@ class Recorder:
         self.set.update(options)
         return self
 
+    def jdbc(self, url, table, **options):
+        return self.options(url=url, table=table, **options)
+
     def save(self):
         self.saved = True
 
@@ -56,6 +59,15 @@ def test_split_table_options():
     assert session.read.set["numPartitions"] == "16"
 
 
+def test_sliced_table_options():
+    session = Session()
+    source.read_slices(session, CONNECTION, "inventory", ["a < 1", "a >= 1"])
+    assert session.read.set == {
+        "url": CONNECTION["url"], "table": "inventory", "predicates": ["a < 1", "a >= 1"],
+        "properties": {"user": "u", "driver": "org.postgresql.Driver"},
+    }
+
+
 def test_load_options():
     class Table:
         write = Recorder()
@@ -75,12 +87,19 @@ def test_load_compares_row_counts(spark, monkeypatch, stored, fails):
         return df.write.format("noop").mode("overwrite")
 
     monkeypatch.setattr(sink, "table_writer", run_only)
-    monkeypatch.setattr(sink, "read_table", lambda *_: spark.range(stored))
+    asked = []
+
+    def count(_, connection, table):
+        asked.append(table)
+        return spark.createDataFrame([(stored,)], "stored long")
+
+    monkeypatch.setattr(sink, "read_table", count)
     if fails:
         with pytest.raises(sink.LoadMismatch, match="sent 3 rows, found 4"):
             sink.load_table(spark.range(3), CONNECTION, "t")
     else:
         assert sink.load_table(spark.range(3), CONNECTION, "t") == 3
+    assert asked == ["(SELECT COUNT(*) AS stored FROM t) counted"]
 
 
 def test_read_since_filters_at_the_source(spark, sf_dir, monkeypatch, rows):
@@ -101,6 +120,6 @@ def test_slices_hold_every_row_once(spark, sf_dir, days):
     table = inputs.inventory(spark, sf_dir).withColumn(
         "last_updated", F.when(F.col("stock_quantity") != 7, F.col("last_updated"))
     )
-    slices = source.date_predicates("last_updated", first, last, days)
+    slices = source.date_slices("last_updated", first, last, days)
     hits = sum(F.coalesce(F.expr(s).cast("int"), F.lit(0)) for s in slices)
     assert [r.hits for r in table.select(hits.alias("hits")).distinct().collect()] == [1]

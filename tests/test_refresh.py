@@ -4,11 +4,12 @@ import datetime
 import json
 
 import pytest
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from shelfmark.operators.quality import DataQualityError
 from shelfmark.plans.refresh import STAR_TABLES, Layout, run_daily
 from shelfmark.sinks.files import write_csv
-from shelfmark.schemas import RAW
+from shelfmark.schemas import PRODUCT_ELEMENT, RAW
 
 DAY = datetime.date
 
@@ -74,6 +75,14 @@ def test_star_from_sources(shop, rows):
     ]
 
 
+def test_more_of_a_product_is_kept_when_named(shop, rows):
+    shop.metadata[0]["tags"] = ["red", "new"]
+    element = StructType([*PRODUCT_ELEMENT, StructField("tags", ArrayType(StringType()))])
+    shop.run(product_element=element)
+    staged = shop.spark.read.parquet(shop.layout.staging("product_metadata"))
+    assert rows(staged, "product_id", "brand", "tags") == [("1", "Acme", ["red", "new"])]
+
+
 def test_running_again_gives_the_same(shop, rows):
     shop.run()
     before = {t: rows(shop.star(t)) for t in STAR_TABLES}

@@ -81,6 +81,16 @@ def test_unreadable_purchase_time_is_null(spark, rows):
     ]
 
 
+def test_other_forms_of_a_time_are_read(spark, rows):
+    orders = [("o1", "c", "done", "2018-02-03 10:11:12.345"), ("o2", "c", "done", "2018-02-03"),
+              ("o3", "c", "done", "2018-02-03T10:11:12")]
+    staged = staging.stage_orders(raw(spark, "orders", orders))
+    assert rows(staged.select("order_date").distinct()) == [(DAY(2018, 2, 3),)]
+    stock = [("p", 1, "WH1", "2017-01-02 03:04:05")]
+    staged = staging.stage_inventory(raw(spark, "inventory", stock))
+    assert rows(staged, "last_updated") == [(DAY(2017, 1, 2),)]
+
+
 def test_typed_purchase_time_is_cast(spark, rows):
     orders = raw(spark, "orders", [("o1", "c", "done", "2018-02-03 23:59:59")])
     for kind in ("timestamp", "timestamp_ntz", "date"):
