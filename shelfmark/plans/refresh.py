@@ -10,15 +10,13 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from shelfmark.operators.quality import gate, key_report
 from shelfmark.plans import staging, star
 from shelfmark.plans.incremental import current_snapshot, extract_increment
-from shelfmark.schemas import PRODUCT_ELEMENT, RAW
+from shelfmark.schemas import RAW
 from shelfmark.sinks.files import write_parquet
 from shelfmark.sources.files import bad_record_count, read_csv
-from shelfmark.sources.payloads import read_payloads
 from shelfmark.streaming.landing import land_csv
 
 log = logging.getLogger(__name__)
@@ -77,9 +75,8 @@ def land(
     layout: Layout,
     csv_root: str,
     source_table: Callable[[str], DataFrame],
-    payload_path: str,
+    product_metadata: Callable[[], DataFrame],
     new_files_only: bool = False,
-    product_element: StructType = PRODUCT_ELEMENT,
 ) -> None:
     """Bring all sources into the raw layer as Parquet.
 
@@ -90,9 +87,9 @@ def land(
 
     ``source_table`` gives a database table by name, such as
     ``partial(read_table, spark, connection)``: ``sellers`` is read whole,
-    ``inventory`` from its last mark on. ``payload_path`` holds the product
-    service's answers, one per line; ``product_element`` names what is kept of a
-    product, down to nested fields.
+    ``inventory`` from its last mark on. ``product_metadata`` gives the products
+    of the service, such as ``partial(read_payloads, spark, path)`` over landed
+    answers, or ``read_csv`` with ``multiline`` over a CSV file made from them.
     """
 
     def write(table):
@@ -104,8 +101,7 @@ def land(
                 ["product_id"], "last_updated",
             )
         if table == "product_metadata":
-            products = read_payloads(spark, payload_path, product_element)
-            return write_parquet(products, layout.raw(table))
+            return write_parquet(product_metadata(), layout.raw(table))
         path = f"{csv_root}/{table}.csv"
         if new_files_only:
             return land_csv(spark, path, layout.raw(table), layout.checkpoint(table), RAW[table])
@@ -188,13 +184,12 @@ def run_daily(
     layout: Layout,
     csv_root: str,
     source_table: Callable[[str], DataFrame],
-    payload_path: str,
+    product_metadata: Callable[[], DataFrame],
     sink: Callable[[DataFrame, str], int] | None = None,
     new_files_only: bool = False,
-    product_element: StructType = PRODUCT_ELEMENT,
 ) -> Metrics:
     """All steps in order; a failed check stops the run before the star is touched."""
-    land(spark, layout, csv_root, source_table, payload_path, new_files_only, product_element)
+    land(spark, layout, csv_root, source_table, product_metadata, new_files_only)
     written = dict(stage(spark, layout))
     check(spark, layout)
     written.update(build_star(spark, layout))

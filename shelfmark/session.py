@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings for spark-submit or a session builder. Partition counts are left to
-# AQE: it coalesces small shuffle partitions and splits skewed ones towards the
+# Settings the jobs were tuned with. Partition counts are left to AQE: it coalesces small shuffle partitions and splits skewed ones towards the
 # advisory size, so the same settings hold from a laptop to a large cluster
 # (raise spark.sql.shuffle.partitions there, AQE merges what is not needed).
 RECOMMENDED_CONF = {
@@ -19,17 +18,22 @@ RECOMMENDED_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
 }
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
+    """A session with ``conf``; the recommended settings fill in what nobody else set."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RECOMMENDED_CONF, **conf}.items():
+    for key, value in {"spark.ui.enabled": "false", **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in RECOMMENDED_CONF.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -455,7 +455,11 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).write.text(f"{root}/source/answers")
     layout = refresh.Layout(root)
     refresh.run_daily(
-        spark, layout, f"{root}/source", raw.__getitem__, f"{root}/source/answers"
+        spark,
+        layout,
+        csv_root=f"{root}/source",
+        source_table=raw.__getitem__,
+        product_metadata=partial(read_payloads, spark, f"{root}/source/answers"),
     )
     written = {
         **{f"staging.{t}": layout.staging(t) for t in refresh.STAGED_TABLES},

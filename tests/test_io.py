@@ -202,3 +202,12 @@ def test_dates_survive_the_csv_sink(spark, rows, tmp_path):
     assert rows(data_columns(read_csv(spark, path, RAW["inventory"]))) == [
         ("p", 3, "WH1", "2017-01-02"), ("q", None, None, None),
     ]
+
+
+def test_recommended_settings_do_not_override(spark):
+    from shelfmark.session import RECOMMENDED_CONF, build_session
+
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "128m"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert build_session("again") is spark
+    assert "spark.sql.shuffle.partitions" not in RECOMMENDED_CONF

@@ -2,14 +2,17 @@
 
 import datetime
 import json
+from functools import partial
 
 import pytest
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from shelfmark.operators.quality import DataQualityError
 from shelfmark.plans.refresh import STAR_TABLES, Layout, run_daily
-from shelfmark.sinks.files import write_csv
 from shelfmark.schemas import PRODUCT_ELEMENT, RAW
+from shelfmark.sinks.files import write_csv
+from shelfmark.sources.files import read_csv
+from shelfmark.sources.payloads import read_payloads
 
 DAY = datetime.date
 
@@ -40,17 +43,21 @@ class Shop:
             "product_id string, stock_quantity int, warehouse_location string, last_updated date",
         )
 
-    def run(self, **options):
+    def products(self, element=PRODUCT_ELEMENT):
+        return read_payloads(self.spark, str(self.root / "in" / "answers"), element)
+
+    def write_sources(self):
         for name, rows in self.csv.items():
             write_csv(
                 self.spark.createDataFrame(rows, RAW[name]), str(self.root / "in" / f"{name}.csv")
             )
         (self.root / "in" / "answers").mkdir(exist_ok=True)
         (self.root / "in" / "answers" / "1.json").write_text(json.dumps({"products": self.metadata}))
-        return run_daily(
-            self.spark, self.layout, str(self.root / "in"), self.table,
-            str(self.root / "in" / "answers"), **options,
-        )
+
+    def run(self, **options):
+        self.write_sources()
+        options = {"product_metadata": self.products, **options}
+        return run_daily(self.spark, self.layout, str(self.root / "in"), self.table, **options)
 
     def star(self, name):
         return self.spark.read.parquet(self.layout.star(name))
@@ -78,11 +85,24 @@ def test_star_from_sources(shop, rows):
 def test_more_of_a_product_is_kept_when_named(shop, rows):
     shop.metadata[0]["tags"] = ["red", "new"]
     element = StructType([*PRODUCT_ELEMENT, StructField("tags", ArrayType(StringType()))])
-    shop.run(product_element=element)
+    shop.run(product_metadata=partial(shop.products, element))
     staged = shop.spark.read.parquet(shop.layout.staging("product_metadata"))
     assert rows(staged, "product_id", "brand", "tags") == [("1", "Acme", ["red", "new"])]
 
 
+def test_products_from_a_csv_file(shop, rows):
+    path = shop.root / "products.csv"
+    path.write_text('id,brand,category\np1,"Acme ""A""","two\nlines"\n')
+    shop.run(
+        product_metadata=partial(
+            read_csv, shop.spark, str(path), RAW["product_metadata"], multiline=True
+        )
+    )
+    assert rows(shop.star("dim_products"), "product_id", "brand", "rating", "api_category") == [
+        ("p1", 'Acme "A"', None, "two\nlines"), ("p2", None, None, None),
+    ]
+
+
 def test_running_again_gives_the_same(shop, rows):
     shop.run()
     before = {t: rows(shop.star(t)) for t in STAR_TABLES}
@@ -136,7 +156,7 @@ def test_deliveries_add_up(shop, rows):
     def run():
         land(
             shop.spark, shop.layout, str(shop.root / "drop"), shop.table,
-            str(shop.root / "in" / "answers"), new_files_only=True,
+            shop.products, new_files_only=True,
         )
         stage(shop.spark, shop.layout)
         return rows(
