@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.dedup import having_keys, latest_per_key
+from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
 
 # Fixed value: the mark of a source that was never loaded.
 FIRST_WATERMARK = "1900-01-01"
 
+_INCOMING = "__incoming"
+
 
 def delta_since(df: DataFrame, column: str, watermark: Any, inclusive: bool = False) -> DataFrame:
     """Rows changed after the mark; a plain comparison, pushed down to the source.
@@ -56,21 +60,30 @@ def upsert(snapshot: DataFrame, delta: DataFrame, keys: Sequence[str], version:
     """The snapshot with the newest delta row of every key put in place.
 
     ``snapshot`` holds one row per key (an earlier upsert's result, or
-    ``latest_per_key``). A delta row that is older than the stored one loses;
-    one without a key has nothing to replace and is left out.
+    ``latest_per_key``). A delta row older than the stored one loses, one of the
+    same version wins, and one without a key has nothing to replace and is left
+    out. Both tables are shuffled once.
+    """
+    both = snapshot.withColumn(_INCOMING, F.lit(False)).unionByName(
+        having_keys(delta, *keys).withColumn(_INCOMING, F.lit(True))
+    )
+    return one_per_key(both, keys, newest=[version, _INCOMING]).drop(_INCOMING)
+
+
+def upsert_few(
+    snapshot: DataFrame, delta: DataFrame, keys: Sequence[str], version: str
+) -> DataFrame:
+    """As ``upsert``, without shuffling the snapshot, for a delta known to be small.
 
-    Written as anti joins against the delta's keys instead of a re-ranking of
-    both tables: a delta small enough for Spark's broadcast threshold replaces
-    rows without shuffling the snapshot, and a larger one falls back to a
-    sort-merge join on the key.
+    The snapshot is read twice and filtered by the delta's keys, which Spark
+    broadcasts when they are below its threshold; above it the joins would
+    shuffle the snapshot twice, and ``upsert`` is the cheaper plan.
     """
     newest = latest_per_key(having_keys(delta, *keys), keys, version)
     incoming = newest.select(
         *[F.col(k).alias(f"__new_{k}") for k in keys], F.col(version).alias("__new_version")
     )
-    same_key = F.lit(True)
-    for k in keys:
-        same_key = same_key & (F.col(k) == F.col(f"__new_{k}"))
+    same_key = reduce(and_, [F.col(k) == F.col(f"__new_{k}") for k in keys])
     replaced = F.col(version).isNull() | F.coalesce(
         F.col("__new_version") >= F.col(version), F.lit(False)
     )

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators.dedup import having_keys, latest_per_key
-from shelfmark.operators.incremental import delta_since, upsert
+from shelfmark.operators.incremental import delta_since, upsert, upsert_few
 from shelfmark.sinks.files import write_parquet
 from shelfmark.sources.control import Commit, append_commit, last_commit
 
+# Up to this many changed rows, their keys are small enough to be broadcast.
+FEW_CHANGES = 100_000
+
 
 def snapshot_path(root: str, source: str, version: int) -> str:
     return f"{root}/{source}/version={version}"
@@ -59,9 +62,11 @@ def extract_increment(
         stamp_type = stored.schema[changed].dataType
         delta = delta_since(read(), changed, mark.cast(stamp_type), inclusive=True)
         path = delta_path(root, source, version)
-        if write_parquet(delta, path)["row_count"] == 0:
+        changes = write_parquet(delta, path)["row_count"]
+        if changes == 0:
             return last
-        merged = upsert(stored, spark.read.parquet(path), keys, changed)
+        merge = upsert_few if changes <= FEW_CHANGES else upsert
+        merged = merge(stored, spark.read.parquet(path), keys, changed)
     newest = F.max(F.col(changed).cast("timestamp_ntz")).alias("newest")
     written = write_parquet(merged, snapshot_path(root, source, version), metrics=[newest])
     watermark = max(filter(None, [last.watermark, written["newest"]]))

@@ -7,9 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the jobs were tuned with. Partition counts are left to AQE: it coalesces small shuffle partitions and splits skewed ones towards the
-# advisory size, so the same settings hold from a laptop to a large cluster
-# (raise spark.sql.shuffle.partitions there, AQE merges what is not needed).
+# Settings the jobs were tuned with. Partition counts are left to AQE: it
+# coalesces small shuffle partitions and splits skewed ones towards the advisory
+# size, so the same settings hold from a laptop to a large cluster.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

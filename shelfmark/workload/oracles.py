@@ -360,6 +360,7 @@ ORACLES: dict[str, str] = {
         for mark in ("2024-01-15", "2100-01-01")
     ),
     "upsert_snapshot": LATEST_EVENTS,
+    "upsert_small_delta": LATEST_EVENTS,
     # data quality
     "dq_report": with_staged(DQ),
     "dq_gate": with_staged(DQ),

@@ -38,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 WATERMARK = "2024-01-15"
+LAST_DAYS = "2024-01-29"
 LATER_THAN_ALL = "2100-01-01"
 NEVER_LOADED = "returns"
 
@@ -62,6 +63,11 @@ def _ntz(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
+def _clock_text(column: str, pattern: str):
+    """The time as text in no time zone; both patterns are prefixes of Spark's own form."""
+    return F.substring(F.col(column).cast("string"), 1, len(pattern))
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.table(spark, sf_dir, "events")
 
@@ -84,7 +90,7 @@ def _union(parts) -> DataFrame:
 def _purchase_text(raw_orders: DataFrame) -> DataFrame:
     """Orders as a raw file holds them, with the purchase time as text."""
     return raw_orders.withColumn(
-        "order_purchase_timestamp", F.date_format("order_purchase_timestamp", TIMESTAMP_PATTERN)
+        "order_purchase_timestamp", _clock_text("order_purchase_timestamp", TIMESTAMP_PATTERN)
     )
 
 
@@ -305,13 +311,13 @@ def fn_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fn_parse_ts_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = _mixed_text(spark, sf_dir, F.date_format("ts", TIMESTAMP_PATTERN))
+    texts = _mixed_text(spark, sf_dir, _clock_text("ts", TIMESTAMP_PATTERN))
     return texts.select("event_id", parsed_date(texts, "text", TIMESTAMP_PATTERN).alias("day"))
 
 
 @query
 def fn_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = _mixed_text(spark, sf_dir, F.date_format("ts", DATE_PATTERN))
+    texts = _mixed_text(spark, sf_dir, _clock_text("ts", DATE_PATTERN))
     return texts.select("event_id", parsed_date(texts, "text", DATE_PATTERN).alias("day"))
 
 
@@ -391,6 +397,15 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.upsert(snapshot, delta, ["user_id"], "ts")
 
 
+@query
+def upsert_small_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last two days into the snapshot of all days before, by the plan for few changes."""
+    events = _events(spark, sf_dir)
+    snapshot = latest_per_key(events.filter(F.col("ts") <= _ntz(LAST_DAYS)), ["user_id"], "ts")
+    delta = incremental.delta_since(events, "ts", _ntz(LAST_DAYS), inclusive=True)
+    return incremental.upsert_few(snapshot, delta, ["user_id"], "ts")
+
+
 # --- data quality
 
 

@@ -4,8 +4,6 @@ import datetime
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from shelfmark.operators import incremental
 from shelfmark.operators.dedup import latest_per_key
 from shelfmark.plans.incremental import current_snapshot, extract_increment, snapshot_path
@@ -38,7 +36,11 @@ def extract(spark, tmp_path):
     return run
 
 
-def test_upsert_equals_reranking_everything(spark, rows):
+BOTH_WAYS = pytest.mark.parametrize("merge", [incremental.upsert, incremental.upsert_few])
+
+
+@BOTH_WAYS
+def test_upsert_equals_replacing_row_by_row(spark, rows, merge):
     draw = random.Random(7)
 
     def some(n):
@@ -51,24 +53,23 @@ def test_upsert_equals_reranking_everything(spark, rows):
     for _ in range(3):
         snapshot = latest_per_key(stock(spark, *some(80)), ["product_id"], "last_updated")
         delta = stock(spark, *some(50))
-        merged = incremental.upsert(snapshot, delta, ["product_id"], "last_updated")
-        ranked = latest_per_key(
-            snapshot.withColumn("new", F.lit(0)).unionByName(delta.withColumn("new", F.lit(1))),
-            ["product_id"], "last_updated",
-        )
-        assert rows(merged, "product_id", "last_updated") == rows(
-            ranked, "product_id", "last_updated"
-        )
-        assert merged.count() == merged.select("product_id").distinct().count()
+        expected = {r[0]: tuple(r) for r in snapshot.collect()}
+        for row in latest_per_key(delta, ["product_id"], "last_updated").collect():
+            old = expected.get(row[0])
+            if old is None or old[3] is None or (row[3] is not None and row[3] >= old[3]):
+                expected[row[0]] = tuple(row)
+        merged = merge(snapshot, delta, ["product_id"], "last_updated")
+        assert rows(merged) == rows(stock(spark, *expected.values()))
 
 
-def test_older_delta_row_does_not_replace(spark, rows):
+@BOTH_WAYS
+def test_older_delta_row_does_not_replace(spark, rows, merge):
     snapshot = stock(spark, ("a", 1, "W", day(5)), ("b", 1, "W", day(5)), ("c", 1, "W", None))
     delta = stock(
         spark, ("a", 2, "W", day(4)), ("b", 2, "W", day(5)), ("c", 2, "W", None),
         ("d", 2, "W", day(1)), (None, 2, "W", day(9)),
     )
-    merged = incremental.upsert(snapshot, delta, ["product_id"], "last_updated")
+    merged = merge(snapshot, delta, ["product_id"], "last_updated")
     assert rows(merged, "product_id", "stock_quantity") == [("a", 1), ("b", 2), ("c", 2), ("d", 2)]
 
 
@@ -141,7 +142,9 @@ def test_unfinished_load_is_not_read_and_is_repeated(spark, rows, extract):
     assert read_control(spark, control).count() == 2
 
 
-def test_increments_end_where_a_full_load_ends(spark, rows, extract):
+@pytest.mark.parametrize("few", [0, 1_000])
+def test_increments_end_where_a_full_load_ends(spark, rows, extract, monkeypatch, few):
+    monkeypatch.setattr("shelfmark.plans.incremental.FEW_CHANGES", few)
     draw = random.Random(3)
     table = {}
     for step in range(1, 6):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.dedup import latest_per_key, one_per_key
-from shelfmark.operators.incremental import delta_since, upsert
+from shelfmark.operators.incremental import delta_since, upsert, upsert_few
 from shelfmark.operators.quality import table_profile
 from shelfmark.plans import staging, star
 from shelfmark.sinks.files import write_parquet
@@ -109,7 +109,7 @@ def test_small_delta_does_not_shuffle_the_snapshot(spark, tmp_path, plan):
     )
     table.write.parquet(snapshot)
     table.limit(10).withColumn("d", F.lit("2024-01-02").cast("date")).write.parquet(delta)
-    merged = upsert(spark.read.parquet(snapshot), spark.read.parquet(delta), ["k"], "d")
+    merged = upsert_few(spark.read.parquet(snapshot), spark.read.parquet(delta), ["k"], "d")
     text = plan(merged)
     first = text[text.index("LeftAnti"):text.index("LeftAnti") + 400]
     assert "BuildRight" in first and "SortMergeJoin" not in text
@@ -119,6 +119,12 @@ def test_small_delta_does_not_shuffle_the_snapshot(spark, tmp_path, plan):
     assert merged.count() == 200_000
 
 
+def test_large_delta_shuffles_the_snapshot_once(spark, sf_dir, plan, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    events = inputs.table(spark, sf_dir, "events")
+    assert exchanges(plan(upsert(events, events, ["event_id"], "ts"))) == ["hashpartitioning"]
+
+
 def test_hot_key_is_cut_down_before_the_shuffle(spark):
     """A third of the rows share a key; each task sends at most one of them."""
     copies = spark.range(0, 90_000, 1, 6).select(
