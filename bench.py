@@ -8,7 +8,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from shelfmark.session import build_session
@@ -37,7 +36,6 @@ def main(names):
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -14,6 +14,8 @@ TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 DATE_PATTERN = "yyyy-MM-dd"
 ID_PREFIX_LENGTH = 8
 
+FULL_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+
 
 def text_key(column: str) -> Column:
     """A key as text, so ids inferred or typed as numbers join with text ids."""
@@ -42,11 +44,14 @@ def lenient_double(column: str) -> Column:
 def parsed_date(df: DataFrame, column: str, pattern: str) -> Column:
     """The date of a column, NULL where a text does not parse.
 
-    Texts are read by the pattern, else as any time Spark can cast, so a file
-    with fractions of a second or another ISO form keeps its dates.
+    Texts are read by the pattern, else as a full date with any time Spark can
+    cast, so a file with fractions of a second or another ISO form keeps its
+    dates. A date is the one written, whatever zone follows.
     """
     text = F.col(column)
-    if isinstance(df.schema[column].dataType, StringType):
-        stamp = F.coalesce(F.try_to_timestamp(text, F.lit(pattern)), text.try_cast("timestamp"))
-        return stamp.cast("date")
-    return text.cast("date")
+    if not isinstance(df.schema[column].dataType, StringType):
+        return text.cast("date")
+    other = F.when(text.rlike(FULL_DATE), text.try_cast("timestamp_ntz"))
+    return F.coalesce(
+        F.try_to_timestamp(text, F.lit(pattern)).cast("date"), other.cast("date")
+    )

@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         master="local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
-            "spark.checkpoint.dir": str(root / "scratch"),
             "spark.sql.warehouse.dir": str(root / "warehouse"),
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",

@@ -17,6 +17,7 @@ from pyspark.sql.types import (
 
 from shelfmark.operators.quality import nulls_metric
 from shelfmark.schemas import RAW
+from shelfmark.session import RECOMMENDED_CONF, build_session, scratch_dir
 from shelfmark.sinks.files import write_csv, write_parquet
 from shelfmark.sources.files import (
     bad_record_count,
@@ -184,12 +185,36 @@ def test_partitions_are_pruned(spark, tmp_path, capsys):
     assert "PartitionFilters: [isnotnull(month" in capsys.readouterr().out
 
 
-def test_scratch_follows_the_session(spark):
-    from shelfmark.session import scratch_dir
-
+def test_scratch_follows_the_session(spark, tmp_path):
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert one != two
-    assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert one.startswith(named or spark.sparkContext.getCheckpointDir())
+    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared/")
+    try:
+        assert scratch_dir(spark, "x").startswith(f"{tmp_path}/shared/x-")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", named) if named else spark.conf.unset(
+            "spark.checkpoint.dir"
+        )
+
+
+def test_no_local_scratch_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
 
 
 def test_dates_survive_the_csv_sink(spark, rows, tmp_path):
@@ -205,8 +230,6 @@ def test_dates_survive_the_csv_sink(spark, rows, tmp_path):
 
 
 def test_recommended_settings_do_not_override(spark):
-    from shelfmark.session import RECOMMENDED_CONF, build_session
-
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "128m"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     assert build_session("again") is spark

@@ -1,6 +1,8 @@
 """Missing, dirty and repeated rows in the raw tables (FIXTURES.md E1-E8)."""
 
 import datetime
+import random
+from decimal import Decimal
 
 import pytest
 
@@ -54,6 +56,19 @@ def test_average_does_not_depend_on_row_order(spark, rows):
     assert len(means) == 1
 
 
+def test_average_is_exact(spark, rows):
+    draw = random.Random(11)
+    prices = {
+        f"p{places}": [
+            Decimal(draw.randrange(-10**9, 10**11)).scaleb(-places) for _ in range(50)
+        ]
+        for places in (0, 1, 2, 4, 6)
+    }
+    items = [("o", i, p, "s", float(v), 0.0) for p, vs in prices.items() for i, v in enumerate(vs)]
+    means = dict(rows(staging.average_prices(raw(spark, "order_items", items))))
+    assert means == {p: float(sum(vs)) / len(vs) for p, vs in prices.items()}
+
+
 def test_prices_that_are_no_money_are_ignored(spark, rows):
     items = [("o", 1, "p", "s", float("nan"), 0.0), ("o", 2, "p", "s", 4.0, 0.0),
              ("o", 3, "q", "s", None, 0.0)]
@@ -83,9 +98,15 @@ def test_unreadable_purchase_time_is_null(spark, rows):
 
 def test_other_forms_of_a_time_are_read(spark, rows):
     orders = [("o1", "c", "done", "2018-02-03 10:11:12.345"), ("o2", "c", "done", "2018-02-03"),
-              ("o3", "c", "done", "2018-02-03T10:11:12")]
+              ("o3", "c", "done", "2018-02-03T10:11:12"),
+              ("o4", "c", "done", "2018-02-03T23:11:12-03:00")]
     staged = staging.stage_orders(raw(spark, "orders", orders))
     assert rows(staged.select("order_date").distinct()) == [(DAY(2018, 2, 3),)]
+    unclear = [(f"o{i}", "c", "done", text) for i, text in enumerate(
+        ["10:11:12", "T10:11", "2018", "2018-02", "2018-02-03 25:00:00", "2018-02-03 later", "", "now"]
+    )]
+    staged = staging.stage_orders(raw(spark, "orders", unclear))
+    assert rows(staged.select("order_date").distinct()) == [(None,)]
     stock = [("p", 1, "WH1", "2017-01-02 03:04:05")]
     staged = staging.stage_inventory(raw(spark, "inventory", stock))
     assert rows(staged, "last_updated") == [(DAY(2017, 1, 2),)]
