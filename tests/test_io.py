@@ -185,48 +185,35 @@ def test_partitions_are_pruned(spark, tmp_path, capsys):
     assert "PartitionFilters: [isnotnull(month" in capsys.readouterr().out
 
 
-def test_scratch_follows_the_session(spark, tmp_path):
-    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert one != two
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert one.startswith(named or spark.sparkContext.getCheckpointDir())
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared/")
-    try:
-        assert scratch_dir(spark, "x").startswith(f"{tmp_path}/shared/x-")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", named) if named else spark.conf.unset(
-            "spark.checkpoint.dir"
-        )
-
+class FakeSession:
+    """A session as far as ``scratch_dir`` looks at it."""
 
-def test_no_local_scratch_on_a_cluster():
-    class Context:
-        master = "spark://host:7077"
+    def __init__(self, master, named=None):
+        self.conf = {} if named is None else {"spark.checkpoint.dir": named}
+        self.sparkContext = self
+        self.master = master
+        self.own = None
 
-        def getCheckpointDir(self):
-            return None
+    def getCheckpointDir(self):
+        return self.own
 
-    class Conf:
-        def get(self, key, default):
-            return default
+    def setCheckpointDir(self, path):
+        self.own = path
 
-    class Session:
-        conf, sparkContext = Conf(), Context()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_dir(Session(), "x")
+def test_scratch_follows_the_session(spark):
+    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert one != two
+    cluster = FakeSession("spark://host:7077", "s3a://shared/scratch/")
+    assert scratch_dir(cluster, "x").startswith("s3a://shared/scratch/x-")
+    assert cluster.own is None
 
 
-def test_dates_survive_the_csv_sink(spark, rows, tmp_path):
-    path = str(tmp_path / "inv")
-    df = spark.createDataFrame(
-        [("p", 3, "WH1", datetime.date(2017, 1, 2)), ("q", None, None, None)],
-        "product_id string, stock_quantity int, warehouse_location string, last_updated date",
-    )
-    assert write_csv(df, path) == {"row_count": 2}
-    assert rows(data_columns(read_csv(spark, path, RAW["inventory"]))) == [
-        ("p", 3, "WH1", "2017-01-02"), ("q", None, None, None),
-    ]
+def test_local_scratch_only_with_a_local_master():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession("spark://host:7077"), "x")
+    local = FakeSession("local[2]")
+    assert scratch_dir(local, "x").startswith(local.own)
 
 
 def test_recommended_settings_do_not_override(spark):
