@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,10 +61,16 @@ class Layout:
         return f"{self.root}/landing/{table}"
 
 
-def _write_each(write: Callable[[str], Any], tables: Iterable[str]) -> dict[str, Any]:
-    """Write independent tables side by side; the first failure is raised."""
+def _write_each(
+    spark: SparkSession, write: Callable[[str], Any], tables: Iterable[str]
+) -> dict[str, Any]:
+    """Write independent tables side by side; the first failure is raised.
+
+    The caller's job group and scheduler pool hold for all of them.
+    """
     with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-        running = {table: pool.submit(write, table) for table in tables}
+        task = inheritable_thread_target(spark)(write)
+        running = {table: pool.submit(task, table) for table in tables}
         results = {table: job.result() for table, job in running.items()}
     for table, metrics in results.items():
         log.info("%s: %s", table, metrics)
@@ -109,7 +116,7 @@ def land(
             read_csv(spark, path, RAW[table]), layout.raw(table), metrics=[bad_record_count()]
         )
 
-    _write_each(write, STAGED_TABLES)
+    _write_each(spark, write, STAGED_TABLES)
 
 
 # How each table is made, and from which tables of the layer before.
@@ -155,7 +162,7 @@ def stage(spark: SparkSession, layout: Layout) -> Metrics:
         metrics = [F.count_if(F.col(date).isNull()).alias("undated")] if date else []
         return write_parquet(staged_table(table, raw), layout.staging(table), metrics=metrics)
 
-    return _write_each(write, STAGED_FROM)
+    return _write_each(spark, write, STAGED_FROM)
 
 
 def check(spark: SparkSession, layout: Layout) -> None:
@@ -169,7 +176,7 @@ def build_star(spark: SparkSession, layout: Layout) -> Metrics:
         months = ("year", "month") if table == "fact_sales" else ()
         return write_parquet(df, layout.star(table), partition_by=months)
 
-    return _write_each(write, STAR_FROM)
+    return _write_each(spark, write, STAR_FROM)
 
 
 def load(

@@ -411,7 +411,10 @@ def upsert_small_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.key_report({t: _staged(spark, sf_dir, t) for t in refresh.STAGED_TABLES})
+    raw = inputs.raw_tables(spark, sf_dir)
+    return quality.key_report(
+        {t: staged_table(t, raw.__getitem__) for t in refresh.STAGED_TABLES}
+    )
 
 
 @query
