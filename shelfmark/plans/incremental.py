@@ -1,4 +1,4 @@
-"""Incremental extract of a source into versioned snapshots."""
+"""Incremental extract of a source: a base snapshot and the deltas loaded since."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from shelfmark.operators.dedup import having_keys, latest_per_key
+from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
 from shelfmark.operators.incremental import delta_since, upsert, upsert_few
 from shelfmark.sinks.files import write_parquet
 from shelfmark.sources.control import Commit, append_commit, last_commit
@@ -15,21 +16,46 @@ from shelfmark.sources.control import Commit, append_commit, last_commit
 # Up to this many changed rows, their keys are small enough to be broadcast.
 FEW_CHANGES = 100_000
 
+# The base is written anew when the deltas since hold this share of its rows, or
+# when there are this many of them.
+REBASE_SHARE = 0.1
+REBASE_DELTAS = 50
 
-def snapshot_path(root: str, source: str, version: int) -> str:
-    return f"{root}/{source}/version={version}"
+_LOAD = "delta"
+
+
+def base_path(root: str, source: str, version: int) -> str:
+    return f"{root}/{source}/base={version}"
 
 
 def delta_path(root: str, source: str, version: int) -> str:
-    return f"{root}/{source}/delta={version}"
+    return f"{root}/{source}/{_LOAD}={version}"
+
+
+def _state(
+    spark: SparkSession, root: str, commit: Commit, keys: Sequence[str], changed: str
+) -> DataFrame:
+    """The base with the committed deltas merged into it."""
+    base = spark.read.parquet(base_path(root, commit.source, commit.base))
+    loads = range(commit.base + 1, commit.version + 1)
+    if not loads:
+        return base
+    deltas = spark.read.option("basePath", f"{root}/{commit.source}").parquet(
+        *[delta_path(root, commit.source, load) for load in loads]
+    )
+    newest = one_per_key(having_keys(deltas, *keys), keys, newest=[changed, _LOAD]).drop(_LOAD)
+    merge = upsert_few if commit.changes <= FEW_CHANGES else upsert
+    return merge(base, newest, keys, changed)
 
 
-def current_snapshot(spark: SparkSession, root: str, control: str, source: str) -> DataFrame:
-    """The committed snapshot; files of an unfinished run are never read."""
+def current_snapshot(
+    spark: SparkSession, root: str, control: str, source: str, keys: Sequence[str], changed: str
+) -> DataFrame:
+    """One row per key as of the last commit; files of an unfinished run are never read."""
     commit = last_commit(spark, control, source)
     if commit.version == 0:
         raise LookupError(f"{source} was never loaded")
-    return spark.read.parquet(snapshot_path(root, source, commit.version))
+    return _state(spark, root, commit, keys, changed)
 
 
 def extract_increment(
@@ -41,35 +67,42 @@ def extract_increment(
     keys: Sequence[str],
     changed: str,
 ) -> Commit:
-    """Upsert what changed since the last mark into the snapshot, then commit.
-
-    The delta is stored before it is merged: the source is asked once, so the
-    merge cannot see it in two states. The new snapshot goes to its own
-    directory, so the one being read is not overwritten; without changed rows
-    the old one stays in force. The mark becomes the newest stamp that was
-    loaded, and rows stamped exactly at the mark are read again, so rows written
-    later with the same stamp are not missed. Rows without a stamp are part of
-    the first load only. The commit is the last step: a run that dies before it
-    is repeated as a whole.
+    """Store what changed since the last mark, then commit.
+
+    The first load is the base. Later ones are stored as deltas, so a load costs
+    what changed and not what is there; readers merge them, and once they add up
+    the base is written anew next to the old one. A delta is stored before
+    anything is made from it: the source is asked once and seen in one state.
+
+    The mark becomes the newest stamp that was loaded, and rows stamped exactly
+    at the mark are read again, so rows written later with the same stamp are
+    not missed. Rows without a stamp are part of the first load only. The commit
+    is the last step: a run that dies before it is repeated as a whole.
     """
+    table = read()
+    stamp_type = table.schema[changed].dataType
+    if not isinstance(stamp_type, (DateType, TimestampType, TimestampNTZType)):
+        raise TypeError(f"{source}.{changed} is {stamp_type.simpleString()}, not a date or time")
     last = last_commit(spark, control, source)
     version = last.version + 1
+    newest = F.max(F.col(changed).cast("timestamp_ntz")).alias("newest")
     if last.version == 0:
-        merged = latest_per_key(having_keys(read(), *keys), keys, changed)
+        first = latest_per_key(having_keys(table, *keys), keys, changed)
+        written = write_parquet(first, base_path(root, source, version), metrics=[newest])
+        base, base_rows, changes = version, written["row_count"], 0
     else:
-        stored = spark.read.parquet(snapshot_path(root, source, last.version))
-        mark = F.lit(last.watermark.isoformat()).cast("timestamp_ntz")
-        stamp_type = stored.schema[changed].dataType
-        delta = delta_since(read(), changed, mark.cast(stamp_type), inclusive=True)
-        path = delta_path(root, source, version)
-        changes = write_parquet(delta, path)["row_count"]
-        if changes == 0:
+        mark = F.lit(last.watermark.isoformat()).cast("timestamp_ntz").cast(stamp_type)
+        delta = delta_since(table, changed, mark, inclusive=True)
+        written = write_parquet(delta, delta_path(root, source, version), metrics=[newest])
+        if written["row_count"] == 0:
             return last
-        merge = upsert_few if changes <= FEW_CHANGES else upsert
-        merged = merge(stored, spark.read.parquet(path), keys, changed)
-    newest = F.max(F.col(changed).cast("timestamp_ntz")).alias("newest")
-    written = write_parquet(merged, snapshot_path(root, source, version), metrics=[newest])
+        base, base_rows = last.base, last.base_rows
+        changes = last.changes + written["row_count"]
     watermark = max(filter(None, [last.watermark, written["newest"]]))
-    commit = Commit(source, watermark, version, written["row_count"])
+    commit = Commit(source, watermark, version, base, base_rows, changes)
+    if changes > REBASE_SHARE * base_rows or version - base > REBASE_DELTAS:
+        merged = _state(spark, root, commit, keys, changed)
+        rows = write_parquet(merged, base_path(root, source, version))["row_count"]
+        commit = Commit(source, watermark, version, version, rows, 0)
     append_commit(spark, control, commit)
     return commit

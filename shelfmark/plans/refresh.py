@@ -27,6 +27,9 @@ CSV_TABLES = ("customers", "products", "orders", "order_items")
 STAGED_TABLES = (*CSV_TABLES, "sellers", "inventory", "product_metadata")
 STAR_TABLES = ("dim_customers", "dim_sellers", "dim_products", "fact_sales")
 
+# The key and the change stamp of the incremental source.
+INVENTORY = {"keys": ["product_id"], "changed": "last_updated"}
+
 # Independent tables are written at the same time, so a small one does not leave
 # the cluster idle.
 TABLES_AT_ONCE = 4
@@ -105,7 +108,7 @@ def land(
         if table == "inventory":
             return extract_increment(
                 spark, table, lambda: source_table(table), layout.snapshots, layout.control,
-                ["product_id"], "last_updated",
+                **INVENTORY,
             )
         if table == "product_metadata":
             return write_parquet(product_metadata(), layout.raw(table))
@@ -154,7 +157,9 @@ def stage(spark: SparkSession, layout: Layout) -> Metrics:
 
     def raw(table):
         if table == "inventory":
-            return current_snapshot(spark, layout.snapshots, layout.control, table)
+            return current_snapshot(
+                spark, layout.snapshots, layout.control, table, **INVENTORY
+            )
         return spark.read.parquet(layout.raw(table))
 
     def write(table):

@@ -71,10 +71,10 @@ def dim_products(products: DataFrame, inventory: DataFrame, metadata: DataFrame)
 def fact_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order line that has an order.
 
-    Meant for stored staging tables, as ``build_star`` passes them. Both sides
-    are then shuffled by the join itself, and AQE splits the partition of an
-    order with very many lines; orders that come straight out of their own
-    dedup keep its partitioning, which AQE cannot split.
+    Meant for stored orders, as ``build_star`` passes them. Both sides are then
+    shuffled by the join itself, and AQE splits the partition of an order with
+    very many lines; orders that come straight out of their own dedup keep its
+    partitioning, and the lines joined to that cannot be split.
     """
     placed = orders.select("order_id", "customer_id", "order_date", "status")
     return order_items.join(placed, "order_id", "inner").select(

@@ -79,5 +79,9 @@ def payload_of(element: StructType) -> StructType:
     return _struct(products=ArrayType(element))
 
 
-# One row per committed load of an incremental source.
-CONTROL = _struct(source=STRING, watermark=TimestampNTZType(), version=LONG, rows=LONG)
+# One row per committed load of an incremental source: its number, the load that
+# is the base, the rows of that base, and the changed rows loaded since.
+CONTROL = _struct(
+    source=STRING, watermark=TimestampNTZType(), version=LONG,
+    base=LONG, base_rows=LONG, changes=LONG,
+)

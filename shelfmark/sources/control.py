@@ -1,4 +1,4 @@
-"""The control table: which version of an incremental source is current, and its mark.
+"""The control table: what of an incremental source is current, and its mark.
 
 One small Parquet row is appended per committed load, after the data is
 written. A crash in between leaves the old row in force, so the next run
@@ -7,7 +7,7 @@ repeats the load; loads upsert by key, so repeating one changes nothing.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,9 @@ class Commit:
     source: str
     watermark: datetime
     version: int
-    rows: int
+    base: int
+    base_rows: int
+    changes: int
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
@@ -42,9 +44,8 @@ def last_commit(spark: SparkSession, path: str, source: str) -> Commit:
     )
     if rows:
         return Commit(*(rows[0][name] for name in CONTROL.names))
-    return Commit(source, datetime.fromisoformat(FIRST_WATERMARK), 0, 0)
+    return Commit(source, datetime.fromisoformat(FIRST_WATERMARK), 0, 0, 0, 0)
 
 
 def append_commit(spark: SparkSession, path: str, commit: Commit) -> None:
-    row = (commit.source, commit.watermark, commit.version, commit.rows)
-    spark.createDataFrame([row], CONTROL).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([astuple(commit)], CONTROL).coalesce(1).write.mode("append").parquet(path)

@@ -444,9 +444,10 @@ _register_tables()
 
 @query
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From stored staging tables, so that AQE can split an order with very many lines."""
-    return star_table(
-        "fact_sales", lambda name: _stored(spark, name, _staged(spark, sf_dir, name))
+    """The orders are stored first, so that AQE can split one with very many lines."""
+    return star.fact_sales(
+        _staged(spark, sf_dir, "order_items"),
+        _stored(spark, "orders", _staged(spark, sf_dir, "orders")),
     )
 
 

@@ -136,7 +136,8 @@ def test_hot_key_is_cut_down_before_the_shuffle(spark):
     assert kept.count() == 60_001
 
 
-def test_many_lines_of_one_order_are_split_over_tasks(spark, conf, plan, tmp_path):
+@pytest.mark.parametrize("stored_lines", [True, False])
+def test_many_lines_of_one_order_are_split_over_tasks(spark, conf, plan, tmp_path, stored_lines):
     """The final plan marks the join as skewed, and the result is whole."""
     conf(
         autoBroadcastJoinThreshold="-1",
@@ -159,9 +160,12 @@ def test_many_lines_of_one_order_are_split_over_tasks(spark, conf, plan, tmp_pat
         F.lit("2018-01-01 00:00:00").alias("order_purchase_timestamp"),
     )
     items, placed = str(tmp_path / "items"), str(tmp_path / "orders")
-    write_parquet(staging.stage_order_items(lines), items)
     write_parquet(staging.stage_orders(orders), placed)
-    fact = star.fact_sales(read_parquet(spark, items), read_parquet(spark, placed))
+    staged = staging.stage_order_items(lines)
+    if stored_lines:
+        write_parquet(staged, items)
+        staged = read_parquet(spark, items)
+    fact = star.fact_sales(staged, read_parquet(spark, placed))
     summed = fact.agg(F.count("sale_amount").alias("n"), F.max("status"), F.max("unit_price"))
     assert summed.collect()[0].n == 120_000
     assert "SortMergeJoin(skew=true)" in plan(summed)
