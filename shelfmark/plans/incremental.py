@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +61,7 @@ def current_snapshot(
 def extract_increment(
     spark: SparkSession,
     source: str,
-    read: Callable[[], DataFrame],
+    table: DataFrame,
     root: str,
     control: str,
     keys: Sequence[str],
@@ -72,14 +72,13 @@ def extract_increment(
     The first load is the base. Later ones are stored as deltas, so a load costs
     what changed and not what is there; readers merge them, and once they add up
     the base is written anew next to the old one. A delta is stored before
-    anything is made from it: the source is asked once and seen in one state.
+    anything is made from it: ``table`` is read once and seen in one state.
 
     The mark becomes the newest stamp that was loaded, and rows stamped exactly
     at the mark are read again, so rows written later with the same stamp are
     not missed. Rows without a stamp are part of the first load only. The commit
     is the last step: a run that dies before it is repeated as a whole.
     """
-    table = read()
     stamp_type = table.schema[changed].dataType
     if not isinstance(stamp_type, (DateType, TimestampType, TimestampNTZType)):
         raise TypeError(f"{source}.{changed} is {stamp_type.simpleString()}, not a date or time")

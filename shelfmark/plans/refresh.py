@@ -107,8 +107,7 @@ def land(
             return write_parquet(source_table(table), layout.raw(table))
         if table == "inventory":
             return extract_increment(
-                spark, table, lambda: source_table(table), layout.snapshots, layout.control,
-                **INVENTORY,
+                spark, table, source_table(table), layout.snapshots, layout.control, **INVENTORY
             )
         if table == "product_metadata":
             return write_parquet(product_metadata(), layout.raw(table))

@@ -4,6 +4,8 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
 from shelfmark.operators import incremental
 from shelfmark.operators.dedup import latest_per_key
 from shelfmark.plans.incremental import (
@@ -37,11 +39,8 @@ class Extract:
         self.root, self.control = str(folder / "snap"), str(folder / "control")
 
     def __call__(self, table):
-        return self.read(lambda: table)
-
-    def read(self, read):
         return extract_increment(
-            self.spark, "inventory", read, self.root, self.control, **INVENTORY
+            self.spark, "inventory", table, self.root, self.control, **INVENTORY
         )
 
     def current(self):
@@ -161,18 +160,16 @@ def test_many_deltas_are_merged_into_a_new_base(spark, rows, extract, monkeypatc
     assert rows(extract.current(), "product_id") == [(f"p{i}",) for i in range(1, 6)]
 
 
-def test_source_is_asked_once_per_load(spark, rows, extract, rebase):
-    """Every look at the source shows another stock, as a live table may."""
-    looks = []
-
-    def read():
-        looks.append(1)
-        return stock(spark, ("a", len(looks), "W", day(len(looks))), ("b", 1, "W", day(1)))
-
+def test_state_does_not_follow_the_source(spark, rows, extract, rebase, tmp_path):
+    """Once loaded, rows are kept apart from a source that changes or goes away."""
+    path = str(tmp_path / "source")
     for load in (1, 2, 3):
-        extract.read(read)
-        assert len(looks) == load
-        assert rows(extract.current(), "product_id", "stock_quantity") == [("a", load), ("b", 1)]
+        stock(spark, ("a", load, "W", day(load)), ("b", 1, "W", day(1))).write.mode(
+            "overwrite"
+        ).parquet(path)
+        extract(spark.read.parquet(path))
+    stock(spark).write.mode("overwrite").parquet(path)
+    assert rows(extract.current(), "product_id", "stock_quantity") == [("a", 3), ("b", 1)]
 
 
 def test_unfinished_load_is_not_read_and_is_repeated(spark, rows, extract, rebase):
@@ -199,6 +196,23 @@ def test_increments_end_where_a_full_load_ends(spark, rows, extract, rebase, mon
     assert rows(extract.current()) == sorted(table.values())
 
 
+def test_stamps_must_be_times(extract, spark):
+    with pytest.raises(TypeError, match="inventory.last_updated is string"):
+        extract(stock(spark, ("a", 1, "W", day(1))).withColumn("last_updated", F.lit("soon")))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_stamps_with_a_time_of_day(extract, spark, rows, kind):
+    def at(*stamps):
+        table = spark.createDataFrame(list(stamps), "product_id string, last_updated string")
+        return table.withColumn("last_updated", F.col("last_updated").cast(kind))
+
+    extract(at(("a", "2017-01-01 10:00:00.000001"), ("b", "2017-01-01 09:00:00")))
+    commit = extract(at(("c", "2017-01-01 10:00:00.000001"), ("d", "2017-01-01 10:00:00")))
+    assert commit.watermark == datetime.datetime(2017, 1, 1, 10, 0, 0, 1)
+    assert rows(extract.current(), "product_id") == [("a",), ("b",), ("c",)]
+
+
 def test_mark_keeps_its_clock_in_other_time_zones(spark, rows, extract):
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
