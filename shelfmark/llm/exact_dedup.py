@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from shelfmark.llm.common import ascii_lower, free_name, row_hash, stored
 
-MEMORY_BYTES = 64 << 20
+MEMORY_BYTES = 96 << 20
 FAN_OUT = 16
 KEY, COPIES, TIES = "content_key", "copies", "ties"
 
@@ -164,22 +164,26 @@ def grace_distinct(
             if (kept := table.result()) is not None:
                 yield kept
             return
-        for writer, sink in files.values():
-            writer.close()
-            sink.close()
-        for bucket in sorted(files):
+        buckets = sorted(files)
+        _close(files)
+        for bucket in buckets:
             path = os.path.join(folder.name, str(bucket))
             with pa.OSFile(path) as source, pa.ipc.open_stream(source) as reader:
                 yield from grace_distinct(iter(reader), text, rank, tie, memory, depth + 1)
             os.remove(path)
     finally:
         if folder is not None:
-            for writer, sink in files.values():
-                writer.close()
-                sink.close()
+            _close(files)
             folder.cleanup()
 
 
+def _close(files: dict) -> None:
+    while files:
+        _, (writer, sink) = files.popitem()
+        writer.close()
+        sink.close()
+
+
 def _spill(batch, text, rank, tie, depth, folder, files) -> None:
     if KEY not in batch.schema.names:
         batch, contents, keys, _, _, copies, tied = _prepared(batch, text, rank, tie)
