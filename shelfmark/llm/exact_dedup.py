@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 
 from shelfmark.llm.common import ascii_lower, free_name, row_hash, stored
 
-MEMORY_BYTES = 96 << 20
+MEMORY_BYTES = 64 << 20
+SLICE_BYTES = 4 << 20
 FAN_OUT = 16
 KEY, COPIES, TIES = "content_key", "copies", "ties"
 
@@ -40,10 +41,10 @@ class ContentTable:
     below all others.
     """
 
-    def __init__(self):
+    def __init__(self, text: str):
+        self.text = text
         self.slots = np.full(1 << 10, -1, dtype=np.int64)
         self.hashes: list[int] = []
-        self.contents: list[bytes] = []
         self.keys: list[bytes] = []
         self.best: list[tuple] = []
         self.copies: list[int] = []
@@ -55,13 +56,19 @@ class ContentTable:
     def __len__(self) -> int:
         return len(self.hashes)
 
-    def _find(self, digest: int, content: bytes) -> tuple[int, int]:
+    def _content(self, entry: int) -> bytes:
+        batch, row = self.where[entry]
+        return _normalised(self.rows[batch].column(self.text)[row].as_py())
+
+    def _find(self, digest: int, content: bytes, fresh: dict[int, bytes]) -> tuple[int, int]:
         """The slot that the content has or would have, and its entry or -1."""
         mask = len(self.slots) - 1
         at = digest & mask
         while (entry := int(self.slots[at])) >= 0:
-            if self.hashes[entry] == digest and self.contents[entry] == content:
-                return at, entry
+            if self.hashes[entry] == digest:
+                known = fresh[entry] if entry in fresh else self._content(entry)
+                if known == content:
+                    return at, entry
             at = (at + 1) & mask
         return at, -1
 
@@ -76,22 +83,22 @@ class ContentTable:
 
     def add(self, batch: pa.RecordBatch, contents, keys, ranks, ties, copies, tied) -> None:
         winners: dict[int, int] = {}
+        fresh: dict[int, bytes] = {}
         for row, content in enumerate(contents):
             digest = int.from_bytes(keys[row][-8:], "little") >> 1
             order = (ranks[row] is not None, ranks[row] or 0, ties[row])
-            at, entry = self._find(digest, content)
+            at, entry = self._find(digest, content, fresh)
             if entry < 0:
                 entry = len(self.hashes)
                 self.slots[at] = entry
                 self.hashes.append(digest)
-                self.contents.append(content)
                 self.keys.append(keys[row])
                 self.best.append(order)
                 self.copies.append(copies[row])
                 self.ties.append(tied[row])
                 self.where.append((-1, -1))
-                self.bytes += len(content) + 200
-                winners[entry] = row
+                self.bytes += 300
+                winners[entry], fresh[entry] = row, content
                 if 2 * len(self.hashes) > len(self.slots):
                     self._grow()
                 continue
@@ -102,7 +109,7 @@ class ContentTable:
                 self.ties[entry] = tied[row]
             if order > self.best[entry]:
                 self.best[entry] = order
-                winners[entry] = row
+                winners[entry], fresh[entry] = row, content
         if winners:
             kept = batch.take(pa.array(list(winners.values()), pa.int64()))
             for place, entry in enumerate(winners):
@@ -110,27 +117,41 @@ class ContentTable:
             self.rows.append(kept)
             self.bytes += kept.nbytes
 
-    def result(self) -> pa.RecordBatch | None:
+    def result(self) -> Iterator[pa.RecordBatch]:
         """The row kept of each content, its columns followed by key, copies and ties."""
-        if not self.hashes:
-            return None
-        starts = np.concatenate([[0], np.cumsum([b.num_rows for b in self.rows])])
-        index = pa.array([int(starts[b]) + r for b, r in self.where], pa.int64())
-        table = pa.Table.from_batches(self.rows).take(index).combine_chunks()
-        columns = [table.column(i) for i in range(table.num_columns)]
-        arrays = [c.chunk(0) if c.num_chunks == 1 else pa.concat_arrays(c.chunks) for c in columns]
-        arrays += [
-            pa.array(self.keys, pa.binary()),
-            pa.array(self.copies, pa.int64()),
-            pa.array(self.ties, pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, [*table.column_names, KEY, COPIES, TIES])
+        by_batch: list[list[int]] = [[] for _ in self.rows]
+        for entry, (batch, _) in enumerate(self.where):
+            by_batch[batch].append(entry)
+        for number, entries in enumerate(by_batch):
+            rows, self.rows[number] = self.rows[number], None
+            if not entries:
+                continue
+            live = rows.take(pa.array([self.where[e][1] for e in entries], pa.int64()))
+            arrays = [
+                *live.columns,
+                pa.array([self.keys[e] for e in entries], pa.binary()),
+                pa.array([self.copies[e] for e in entries], pa.int64()),
+                pa.array([self.ties[e] for e in entries], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, [*live.schema.names, KEY, COPIES, TIES])
+
+
+def _normalised(text: str | None) -> bytes:
+    return b"" if text is None else text.encode().lower()
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut to about SLICE_BYTES."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def _prepared(batch: pa.RecordBatch, text: str, rank: str, tie: str):
     """The batch without its working columns, and what the table asks of each row."""
     texts = batch.column(text).to_pylist()
-    contents = [b"" if t is None else t.encode().lower() for t in texts]
+    contents = [_normalised(t) for t in texts]
     if KEY in batch.schema.names:
         keys = batch.column(KEY).to_pylist()
         copies, tied = batch.column(COPIES).to_pylist(), batch.column(TIES).to_pylist()
@@ -147,22 +168,21 @@ def grace_distinct(
     memory: int = MEMORY_BYTES, depth: int = 0,
 ) -> Iterator[pa.RecordBatch]:
     """The row kept of each content among ``batches``, with key, copies and ties."""
-    table = ContentTable()
+    table = ContentTable(text)
     folder, files = None, {}
     try:
-        for batch in batches:
-            if not batch.num_rows:
+        for batch in _slices(batches):
+            if folder is not None:
+                _spill(batch, text, rank, tie, depth, folder.name, files)
                 continue
-            if folder is None:
-                table.add(*_prepared(batch, text, rank, tie))
-                if table.bytes <= memory or len(table) < 2 or depth >= 31:
-                    continue
+            table.add(*_prepared(batch, text, rank, tie))
+            if table.bytes > memory and len(table) > 1 and depth < 31:
                 folder = tempfile.TemporaryDirectory(prefix="grace-")
-                batch, table = table.result(), ContentTable()
-            _spill(batch, text, rank, tie, depth, folder.name, files)
+                for kept in table.result():
+                    _spill(kept, text, rank, tie, depth, folder.name, files)
+                table = None
         if folder is None:
-            if (kept := table.result()) is not None:
-                yield kept
+            yield from table.result()
             return
         buckets = sorted(files)
         _close(files)
