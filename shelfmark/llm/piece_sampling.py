@@ -20,9 +20,8 @@ every text exactly.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
-from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +45,18 @@ SPACE = "▁"
 class PieceLattices:
     """The lattices of the words seen so far, as flat arrays of nodes and arcs.
 
-    Node k is a place in a word; its arcs are numbered consecutively and carry
-    their cumulated probability plus k, so one sorted array answers all draws.
+    Node k is a place in a word, after one of its characters, or between the
+    bytes of one. Its arcs lead back to earlier places; they are numbered
+    consecutively from ``first[k]`` and carry their cumulated probability, the
+    last one 1.
     """
 
     def __init__(self, model: bytes, theta: float = THETA):
         processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.weight: dict[str, tuple[int, float]] = {}
-        self.bytes = [0] * 256
+        pieces: dict[str, int] = {}
+        self.bytes = np.zeros(256, np.int32)
         self.text: list[bytes] = []
+        self.weight = np.zeros(processor.get_piece_size())
         for i in range(processor.get_piece_size()):
             piece, score = processor.id_to_piece(i), processor.get_score(i)
             if processor.is_byte(i):
@@ -65,99 +67,166 @@ class PieceLattices:
             else:
                 plain = piece.replace(SPACE, " ")
                 self.text.append(plain.encode())
-                self.weight[plain] = (i, theta * (score if score > LOWEST_SCORE else -len(self.text)))
-        self.longest = max(map(len, self.weight))
-        self.byte_weight = min(w for _, w in self.weight.values())
-        if any(re.search("[^ ] ", p) for p in self.weight):
+                pieces[plain] = i
+                self.weight[i] = theta * (score if score > LOWEST_SCORE else -i)
+        # A byte counts as much as the rarest piece.
+        self.byte_weight = self.weight.min()
+        if any(re.search("[^ ] ", p) for p in pieces):
             raise ValueError("a piece goes over the start of a word; the lattice does not fall into words")
-        alone = "\n" if not any("\n" in p for p in self.weight) else ""
+        alone = "\n" if not any("\n" in p for p in pieces) else ""
         self.parts = re.compile(f" +[^ {alone}]*|[^ {alone}]+" + ("|\n" if alone else "")).findall
+        self._build_trie(pieces)
         self.clear()
 
+    def _build_trie(self, pieces: dict[str, int]) -> None:
+        """The pieces' prefixes as states; a step is a state and a character."""
+        steps: dict[int, int] = {}
+        ends = [-1]
+        for piece, i in pieces.items():
+            state = 0
+            for c in piece:
+                step = state << 21 | ord(c)
+                if step not in steps:
+                    steps[step] = len(ends)
+                    ends.append(-1)
+                state = steps[step]
+            ends[state] = i
+        order = sorted(steps)
+        self.steps = np.array(order, np.int64)
+        self.after = np.array([steps[k] for k in order], np.int64)
+        self.ends = np.array(ends, np.int32)
+        self.longest = max(map(len, pieces))
+
     def clear(self) -> None:
         self.words: dict[str, int] = {}
-        self.nodes = 0
-        self.ends = array("q")
-        self.reach, self.back, self.piece = array("d"), array("q"), array("i")
-
-    def add(self, word: str) -> int:
-        """Builds the word's lattice: forward sums, then the arcs into each place."""
-        weight, longest = self.weight, self.longest
-        n = len(word)
-        total = [0.0] * (n + 1)  # logarithms of the forward sums
-        node = [-1] * (n + 1)
-        for end in range(1, n + 1):
-            arcs = []
-            for start in range(max(0, end - longest), end):
-                if (found := weight.get(word[start:end])) is not None:
-                    arcs.append((total[start] + found[1], node[start], found[0]))
-            if word[end - 1] not in weight:
-                # The bytes of a character without a piece: a chain with one arc per node.
-                last = node[end - 1]
-                codes = word[end - 1].encode()
-                for code in codes[:-1]:
-                    self.reach.append(self.nodes + 1.0)
-                    self.back.append(last)
-                    self.piece.append(self.bytes[code])
-                    last = self.nodes
-                    self.nodes += 1
-                arcs.append((total[end - 1] + len(codes) * self.byte_weight, last, self.bytes[codes[-1]]))
-            top = max(a[0] for a in arcs)
-            shares = [math.exp(a[0] - top) for a in arcs]
-            whole = math.fsum(shares)
-            total[end] = top + math.log(whole)
-            upto = 0.0
-            for share, (_, before, piece) in zip(shares, arcs):
-                upto += share / whole
-                self.reach.append(self.nodes + min(upto, 1.0))
-                self.back.append(before)
-                self.piece.append(piece)
-            self.reach[-1] = self.nodes + 1.0
-            node[end] = self.nodes
-            self.nodes += 1
-        self.words[word] = number = len(self.ends)
-        self.ends.append(node[n])
-        return number
+        self.last = np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.int64)
+        self.reach, self.back = np.zeros(0), np.zeros(0, np.int64)
+        self.piece = np.zeros(0, np.int32)
+
+    def _pieces_in(self, codes: np.ndarray, limit: np.ndarray):
+        """(start, length, piece) of every piece in the words; ``limit`` is where a character's word ends."""
+        start, state = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+        found = []
+        for length in range(1, self.longest + 1):
+            inside = start + length <= limit[start]
+            start, state = start[inside], state[inside]
+            step = state << 21 | codes[start + length - 1]
+            at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            there = self.steps[at] == step
+            start, state = start[there], self.after[at[there]]
+            piece = self.ends[state]
+            ends = piece >= 0
+            found.append((start[ends], np.full(int(ends.sum()), length), piece[ends]))
+            if not len(start):
+                break
+        return [np.concatenate(c) for c in zip(*found)]
+
+    def add(self, words: list[str]) -> None:
+        """Builds the lattices of new words: forward sums place by place, then the arcs' shares."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        sizes = np.array([len(w) for w in words], np.int64)
+        limit = np.repeat(np.cumsum(sizes), sizes)
+        begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        start, length, piece = self._pieces_in(codes, limit)
+        # Characters without a piece of their own: the pieces of their bytes, a chain with one arc per node.
+        known = np.zeros(len(codes), bool)
+        known[start[length == 1]] = True
+        rare = np.flatnonzero(~known)
+        encoded = [chr(c).encode() for c in codes[rare].tolist()]
+        hidden = np.zeros(len(codes), np.int64)
+        hidden[rare] = [len(e) - 1 for e in encoded]
+        base, arcs = len(self.first), len(self.reach)
+        node = base + np.cumsum(1 + hidden) - 1
+        weight = self.weight[piece]
+        start = np.concatenate([start, rare])
+        end = np.concatenate([start[: len(length)] + length - 1, rare])
+        weight = np.concatenate([weight, (hidden[rare] + 1) * self.byte_weight])
+        piece = np.concatenate([piece, self.bytes[[e[-1] for e in encoded]]]).astype(np.int32)
+        before = np.where(start > begin[start], node[start - 1], -1)
+        back = before.copy()
+        chained = np.arange(len(back)) >= len(length)
+        chained[chained] = hidden[rare] > 0
+        back[chained] = node[end[chained]] - 1
+
+        # Forward: the logarithm of the sum over all paths to each place, for all words at once.
+        order = np.lexsort((start, end, end - begin[end]))
+        start, end, weight, piece, back = start[order], end[order], weight[order], piece[order], back[order]
+        total = np.zeros(len(codes) + 1)  # the last one stands for the start of a word
+        source = np.where(start > begin[start], start - 1, len(codes))
+        level = end - begin[end]
+        cuts = np.flatnonzero(np.diff(level, prepend=-1)).tolist() + [len(level)]
+        for low, high in zip(cuts, cuts[1:]):
+            value = total[source[low:high]] + weight[low:high]
+            heads = np.flatnonzero(np.diff(end[low:high], prepend=-1))
+            top = np.maximum.reduceat(value, heads)
+            share = np.exp(value - np.repeat(top, np.diff(heads, append=high - low)))
+            total[end[low + heads]] = top + np.log(np.add.reduceat(share, heads))
+        share = np.exp(total[source] + weight - total[end])
+
+        # The chains' arcs, then all arcs in the order of their nodes.
+        owner = node[end]
+        if len(rare):
+            count = hidden[rare]
+            at = np.repeat(rare, count)
+            nth = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+            inner = node[at] - hidden[at] + nth
+            inner_back = np.where(nth > 0, inner - 1, np.where(at > begin[at], node[at - 1], -1))
+            inner_piece = self.bytes[[b for e in encoded for b in e[:-1]]] if len(at) else np.zeros(0, np.int32)
+            owner, back = np.concatenate([owner, inner]), np.concatenate([back, inner_back])
+            share, piece = np.concatenate([share, np.ones(len(at))]), np.concatenate([piece, inner_piece])
+        order = np.argsort(owner, kind="stable")
+        owner, back, share, piece = owner[order], back[order], share[order], piece[order]
+        heads = np.flatnonzero(np.diff(owner, prepend=-1))
+        upto = np.cumsum(share)
+        upto -= np.repeat(upto[heads] - share[heads], np.diff(heads, append=len(owner)))
+        upto[np.append(heads[1:], len(owner)) - 1] = 1.0
+
+        self.first = np.concatenate([self.first, arcs + heads])
+        self.reach = np.concatenate([self.reach, upto])
+        self.back = np.concatenate([self.back, back])
+        self.piece = np.concatenate([self.piece, piece.astype(np.int32)])
+        self.last = np.concatenate([self.last, node[np.cumsum(sizes) - 1]])
 
     def encode(self, texts: list[str], keys: list[int], seed: int = SEED) -> list[np.ndarray]:
         """The sampled piece ids of each text."""
         if len(self.words) > WORDS_KEPT:
             self.clear()
-        numbers, per_text = array("q"), []
-        known, add = self.words, self.add
+        known = self.words
+        held = len(known)
+        numbers, counts = [], []
         for text in texts:
             parts = self.parts(" " + text) if text else []
-            per_text.append(len(parts))
-            numbers.extend([known[p] if p in known else add(p) for p in parts])
-        counts = np.array(per_text, np.int64)
+            counts.append(len(parts))
+            numbers += [known.setdefault(p, len(known)) for p in parts]
+        if len(known) > held:
+            self.add(list(islice(reversed(known), len(known) - held))[::-1])
+        counts = np.array(counts, np.int64)
         key = np.repeat(np.array(keys, np.int64).view(np.uint64), counts)
-        starts = np.repeat(np.cumsum(counts) - counts, counts)
-        place = (np.arange(len(numbers)) - starts).astype(np.uint64)
-        drawn = self._draw(np.frombuffer(numbers, np.int64) if numbers else np.zeros(0, np.int64), key, place, seed)
-        pieces, lengths = drawn
-        bounds = np.concatenate([[0], np.cumsum(lengths)])
-        ends = bounds[np.cumsum(counts)]
+        place = (np.arange(len(numbers)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint64)
+        pieces, lengths = self._draw(np.array(numbers, np.int64), key, place, seed)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
         return np.split(pieces, ends[:-1]) if len(texts) else []
 
     def _draw(self, numbers, key, place, seed):
-        reach, back = np.frombuffer(self.reach), np.frombuffer(self.back, np.int64)
-        piece = np.frombuffer(self.piece, np.int32)
-        node = np.frombuffer(self.ends, np.int64)[numbers] if len(numbers) else numbers
+        """Pieces from the end of every word to its start, all words one step at a time."""
+        node = self.last[numbers]
         lengths = np.zeros(len(numbers), np.int64)
         active = np.arange(len(numbers))
         base = _mixed(_mixed(key + np.uint64(seed)) + place * np.uint64(0x9E3779B97F4A7C15))
         taken = []
-        step = 0
         while len(active):
-            # 28 bits: with up to 2^24 nodes, node + draw is exact.
-            draw = (_mixed(base + np.uint64(step)) >> np.uint64(36)).astype(np.float64) * 2.0**-28
-            arc = np.searchsorted(reach, node + draw, side="right")
-            taken.append((active, piece[arc]))
+            draw = (_mixed(base + np.uint64(len(taken))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+            arc = self.first[node]
+            on = np.flatnonzero(draw >= self.reach[arc])
+            while len(on):
+                arc[on] += 1
+                on = on[draw[on] >= self.reach[arc[on]]]
+            taken.append((active, self.piece[arc]))
             lengths[active] += 1
-            node = back[arc]
+            node = self.back[arc]
             more = node >= 0
             node, active, base = node[more], active[more], base[more]
-            step += 1
         ends = np.cumsum(lengths)
         out = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
         for step, (of, found) in enumerate(taken):
