@@ -35,7 +35,7 @@ MOST_LISTS = 4096
 LINKS = 16
 REPLICAS = 4
 BORDER = 0.08
-RECALL = 0.985
+RECALL = 0.97
 TEST_QUERIES = 256
 BLOCK_VECTORS = 8192
 BLOCK_QUERIES = 4096
