@@ -140,45 +140,54 @@ def linked_fingerprints(distinct: DataFrame, threshold: int = MAX_BITS) -> DataF
     return at_home.join(guests, "anchor").where((F.col("u") != F.col("v")) & near).select("u", "v").distinct()
 
 
+def _grouped(docs: DataFrame, text: str, keys: tuple[str, ...], words_per_shingle: int, max_bits: int) -> DataFrame:
+    """keys, fingerprint, root (a group's own least fingerprint), component_id (its least first key)."""
+    prints = stored(fingerprints(docs, text, keys, words_per_shingle), "fingerprints")
+    distinct = stored(prints.groupBy("fingerprint").agg(F.min(keys[0]).alias("least_id")), "distinct")
+    roots = connected_components(linked_fingerprints(distinct, max_bits))
+    rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root")
+    )
+    groups = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    member_of = rooted.join(groups, "root").select("fingerprint", "root", "component_id")
+    return prints.join(member_of, "fingerprint")
+
+
 def near_duplicate_groups(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-    words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, also: tuple[str, ...] = (),
+    words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """A row per document: doc_id, ``also``, fingerprint (16 hex digits), component_id.
+    """A row per document: doc_id, fingerprint (16 hex digits), component_id.
 
     component_id is the smallest id in the group of all documents that can be
     reached over links. Null and empty texts have fingerprint zero and are
     linked like others. Null ids take part but are nobody's component_id, which
     is null where a group has no other. Repeated rows are kept. No rows: no rows.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), *also, F.col(text).alias("text__"))
-    prints = stored(fingerprints(rows, "text__", ("doc_id", *also), words_per_shingle), "fingerprints")
-    distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "distinct")
-    roots = connected_components(linked_fingerprints(distinct, max_bits))
-    rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root")
-    )
-    groups = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    member_of = rooted.join(groups, "root").select("fingerprint", "component_id")
-    return prints.join(member_of, "fingerprint").select(
-        "doc_id", *also, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return _grouped(rows, "text", ("doc_id",), words_per_shingle, max_bits).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def near_dedup(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
+    words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+) -> DataFrame:
     """``docs`` with one document of each group, that with the smallest id; all columns kept.
 
-    In a group without any id one document of each fingerprint stays. Of rows
-    that repeat the smallest id one stays, by a hash over all columns.
+    Null ids are above all others. Of rows that repeat the smallest id one stays,
+    by a hash over all columns.
     """
-    mark, group = free_name(docs, "row_mark"), free_name(docs, "group_of")
+    mark = free_name(docs, "row_mark")
     marked = docs.withColumn(mark, row_hash(docs))
-    groups = near_duplicate_groups(marked, text, doc_id, also=(mark,))
+    rows = marked.select(F.col(doc_id).alias("id_"), F.col(text).alias("text_"), F.col(mark).alias("mark_"))
     chosen = (
-        groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("component_id").alias(group), F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("of"))
-        .agg(F.min(mark).alias(mark))
-        .select(F.col(group).alias("id_"), F.col(mark).alias("mark_"))
+        _grouped(rows, "text_", ("id_", "mark_"), words_per_shingle, max_bits)
+        .where(F.col("id_").eqNullSafe(F.col("component_id")))
+        .groupBy("root")
+        .agg(F.min(F.struct("mark_", "id_")).alias("one"))
+        .select("one.id_", "one.mark_")
     )
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("id_")) & (F.col(mark) == F.col("mark_"))
     kept = marked.join(chosen, same, "left_semi")
