@@ -7,26 +7,35 @@ from pyspark.sql import functions as F
 
 LOW_STOCK_BELOW = 20
 
-# A price is money: below this, and with at most six decimals.
-MONEY_BELOW = 1e12
-MICROS = 1_000_000
+MILLION = 1_000_000
+# Whole numbers below this are exact as doubles; a larger one is cut at this bit.
+EXACT_BELOW = float(1 << 53)
+LOW_BITS = 20
 
 
 def exact_mean(column: str) -> Column:
-    """Mean of a money column; NULLs, NaN and values that are no money are ignored.
-
-    Whole amounts and millionths are summed apart as integers, so the result
-    does not depend on the order in which tasks deliver their partial sums, as
-    an average of doubles does, and the sums stay as cheap. A total past what a
-    long holds is an error under ANSI mode, not a wrong number.
+    """Mean of all values of a column that are not NULL.
+
+    Values that are whole millionths, as money is, are summed as integers, in a
+    high and a low part, so the result does not depend on the order in which
+    tasks deliver their partial sums, as an average of doubles does, and stays
+    as cheap. All other values, such as 1e-7, 1e300, NaN and infinities, are
+    added as doubles, as ``avg`` adds them. Should the integers overflow, which
+    takes a billion of the largest ones, the doubles are averaged instead.
     """
-    money = F.when(F.abs(F.col(column)) < MONEY_BELOW, F.col(column))
-    whole = F.floor(money)
-    micros = F.floor((money - whole) * MICROS + 0.5)
-    total = F.sum(whole).cast("decimal(38,6)") + F.sum(micros).cast("decimal(38,6)") / F.lit(
-        MICROS
-    ).cast("decimal(7,0)")
-    return total.cast("double") / F.nullif(F.count(money), F.lit(0)).cast("double")
+    value = F.col(column).cast("double")
+    scaled = F.rint(value * MILLION)
+    whole = (F.abs(scaled) < EXACT_BELOW) & (scaled / MILLION == value)
+    millionths = F.when(whole, scaled).cast("long")
+    high = F.try_sum(F.shiftright(millionths, LOW_BITS)).cast("decimal(38,0)")
+    low = F.try_sum(millionths.bitwiseAND((1 << LOW_BITS) - 1)).cast("decimal(20,0)")
+    exact = (high * F.lit(1 << LOW_BITS).cast("decimal(10,0)") + low).cast("decimal(38,0)")
+    money = (exact / F.lit(MILLION).cast("decimal(7,0)")).cast("double")
+    other = F.sum(F.when(whole, F.lit(None)).otherwise(value))
+    overflowed = (F.count_if(whole) > 0) & (high.isNull() | low.isNull())
+    total = F.coalesce(money + other, money, other)
+    count = F.nullif(F.count(value), F.lit(0)).cast("double")
+    return F.when(overflowed, F.avg(value)).otherwise(total / count)
 
 
 def stock_status(quantity: str) -> Column:

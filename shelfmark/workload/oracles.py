@@ -56,7 +56,7 @@ def nulls_last(*columns: str) -> str:
 
 
 MEAN_PRICE = (
-    "CAST(SUM(CAST(price AS DECIMAL(20,6))) AS DOUBLE) / NULLIF(COUNT(price), 0)"
+    "CAST(SUM(CAST(CAST(price AS VARCHAR) AS DECIMAL(38,8))) AS DOUBLE) / NULLIF(COUNT(price), 0)"
 )
 
 AVG_PRICE = f"SELECT product_id, {MEAN_PRICE} AS price FROM raw_order_items GROUP BY product_id"

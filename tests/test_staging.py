@@ -1,6 +1,7 @@
 """Missing, dirty and repeated rows in the raw tables (FIXTURES.md E1-E8)."""
 
 import datetime
+import math
 import random
 from decimal import Decimal
 
@@ -69,12 +70,27 @@ def test_average_is_exact(spark, rows):
     assert means == {p: float(sum(vs)) / len(vs) for p, vs in prices.items()}
 
 
-def test_prices_that_are_no_money_are_ignored(spark, rows):
-    items = [("o", 1, "p", "s", float("nan"), 0.0), ("o", 2, "p", "s", 4.0, 0.0),
-             ("o", 3, "q", "s", None, 0.0)]
-    assert rows(staging.average_prices(raw(spark, "order_items", items))) == [
-        ("p", 4.0), ("q", None),
-    ]
+@pytest.mark.parametrize(
+    "prices, mean",
+    [
+        ([2e12, 4.0], 1_000_000_000_002.0), ([1e12], 1e12), ([-5e15, 1.0], -2499999999999999.5),
+        ([1e-7, 3e-7], 2e-7), ([1e300, 1e300], 1e300), ([None], None), ([None, 7.5], 7.5),
+        ([float("inf"), 1.0], float("inf")), ([9e9 + 0.01] * 3, 9e9 + 0.01), ([-0.01, -0.03], -0.02),
+    ],
+)
+def test_every_price_counts(spark, prices, mean):
+    items = [("o", i, "p", "s", v, 0.0) for i, v in enumerate(prices)]
+    assert staging.average_prices(raw(spark, "order_items", items)).first().price == mean
+
+
+def test_a_price_that_is_no_number_shows(spark):
+    items = [("o", 1, "p", "s", float("nan"), 0.0), ("o", 2, "p", "s", 4.0, 0.0)]
+    assert math.isnan(staging.average_prices(raw(spark, "order_items", items)).first().price)
+
+
+def test_many_large_prices_do_not_overflow(spark):
+    lines = spark.range(20_000_000).select(F.lit("p").alias("product_id"), F.lit(9e11).alias("price"))
+    assert staging.average_prices(lines).first().price == 9e11
 
 
 def test_repeated_order_line_is_staged_once(spark, rows):
