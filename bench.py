@@ -34,6 +34,8 @@ def main(names):
         master=f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
+            # Small inputs on one machine: all cores rather than full partitions.
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
             "spark.driver.memory": "16g",
             "spark.ui.showConsoleProgress": "false",
         },

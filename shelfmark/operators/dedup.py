@@ -6,12 +6,27 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 _RANK = "__rank"
 
 
+def _sortable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _sortable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_sortable(f.dataType) for f in kind)
+    return not isinstance(kind, (MapType, VariantType))
+
+
+def _order_of(df: DataFrame, name: str) -> Column:
+    """The column, or as text what Spark cannot sort."""
+    column = F.col(f"`{name}`")
+    return column if _sortable(df.schema[name].dataType) else F.to_json(F.struct(column))
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
     """Keep one row of every key: the highest in ``newest``, then the lowest in the rest.
 
@@ -21,7 +36,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ())
     """
     rest = [name for name in df.columns if name not in keys and name not in newest]
     order = [F.col(name).desc_nulls_last() for name in newest]
-    order += [F.col(f"`{name}`").asc_nulls_last() for name in rest]
+    order += [_order_of(df, name).asc_nulls_last() for name in rest]
     if not order:
         return df.dropDuplicates(list(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

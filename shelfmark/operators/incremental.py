@@ -10,13 +10,11 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
+from shelfmark.operators.dedup import having_keys, latest_per_key
 
 # Fixed value: the mark of a source that was never loaded.
 FIRST_WATERMARK = "1900-01-01"
 
-_INCOMING = "__incoming"
-
 
 def delta_since(df: DataFrame, column: str, watermark: Any, inclusive: bool = False) -> DataFrame:
     """Rows changed after the mark; a plain comparison, pushed down to the source.
@@ -56,30 +54,28 @@ def advanced_watermark(delta: DataFrame, column: str, watermark: Any) -> DataFra
     return delta.agg(F.greatest(newest, old).alias("watermark"))
 
 
-def upsert(snapshot: DataFrame, delta: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+def upsert(
+    snapshot: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    version: str,
+    one_row_per_key: bool = False,
+) -> DataFrame:
     """The snapshot with the newest delta row of every key put in place.
 
     ``snapshot`` holds one row per key (an earlier upsert's result, or
     ``latest_per_key``). A delta row older than the stored one loses, one of the
     same version wins, and one without a key has nothing to replace and is left
-    out. Both tables are shuffled once.
-    """
-    both = snapshot.withColumn(_INCOMING, F.lit(False)).unionByName(
-        having_keys(delta, *keys).withColumn(_INCOMING, F.lit(True))
-    )
-    return one_per_key(both, keys, newest=[version, _INCOMING]).drop(_INCOMING)
-
-
-def upsert_few(
-    snapshot: DataFrame, delta: DataFrame, keys: Sequence[str], version: str
-) -> DataFrame:
-    """As ``upsert``, without shuffling the snapshot, for a delta known to be small.
+    out. ``one_row_per_key`` says that the delta holds that already.
 
-    The snapshot is read twice and filtered by the delta's keys, which Spark
-    broadcasts when they are below its threshold; above it the joins would
-    shuffle the snapshot twice, and ``upsert`` is the cheaper plan.
+    Spark plans the joins: where the delta's keys are few, it broadcasts them
+    and the snapshot stays where it is, else both are shuffled by key, the
+    snapshot once whole and once its keys and versions. Pass a stored snapshot;
+    it is read twice.
     """
-    newest = latest_per_key(having_keys(delta, *keys), keys, version)
+    newest = having_keys(delta, *keys)
+    if not one_row_per_key:
+        newest = latest_per_key(newest, keys, version)
     incoming = newest.select(
         *[F.col(k).alias(f"__new_{k}") for k in keys], F.col(version).alias("__new_version")
     )

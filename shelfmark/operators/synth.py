@@ -35,9 +35,12 @@ def first_products(order_items: DataFrame, limit: int = INVENTORY_PRODUCTS) -> D
     return ids.orderBy("product_id").limit(limit)
 
 
-def drawn_inventory(order_items: DataFrame, limit: int = INVENTORY_PRODUCTS) -> DataFrame:
+def drawn_inventory(order_items: DataFrame, limit: int | None = None) -> DataFrame:
+    """A stock for every product sold, or for the first ``limit`` of them."""
     span = STOCK_TO - STOCK_FROM + 1
-    return first_products(order_items, limit).select(
+    every = order_items.select("product_id").dropna().distinct()
+    products = every if limit is None else first_products(order_items, limit)
+    return products.select(
         "product_id",
         (_draw("product_id", 1, span) + STOCK_FROM).cast("int").alias("stock_quantity"),
         F.concat(F.lit("WH"), (_draw("product_id", 9, WAREHOUSES) + 1).cast("string")).alias(

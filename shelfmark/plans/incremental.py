@@ -4,24 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
-from shelfmark.operators.incremental import delta_since, upsert, upsert_few
+from shelfmark.operators.incremental import upsert
 from shelfmark.sinks.files import write_parquet
 from shelfmark.sources.control import Commit, append_commit, last_commit
 
-# Up to this many changed rows, their keys are small enough to be broadcast.
-FEW_CHANGES = 100_000
-
-# The base is written anew when the deltas since hold this share of its rows, or
-# when there are this many of them.
+# By default the base is written anew when the deltas since hold this share of
+# its rows, or when there are this many of them.
 REBASE_SHARE = 0.1
 REBASE_DELTAS = 50
 
 _LOAD = "delta"
+_CONTENT = "__content"
 
 
 def base_path(root: str, source: str, version: int) -> str:
@@ -44,8 +42,13 @@ def _state(
         *[delta_path(root, commit.source, load) for load in loads]
     )
     newest = one_per_key(having_keys(deltas, *keys), keys, newest=[changed, _LOAD]).drop(_LOAD)
-    merge = upsert_few if commit.changes <= FEW_CHANGES else upsert
-    return merge(base, newest, keys, changed)
+    return upsert(base, newest, keys, changed, one_row_per_key=True)
+
+
+def _content(df: DataFrame) -> Column:
+    """A digest of all columns of a row."""
+    row = F.struct(*[F.col(f"`{name}`") for name in sorted(df.columns)])
+    return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
 
 
 def current_snapshot(
@@ -66,6 +69,8 @@ def extract_increment(
     control: str,
     keys: Sequence[str],
     changed: str,
+    rebase_share: float = REBASE_SHARE,
+    rebase_deltas: int = REBASE_DELTAS,
 ) -> Commit:
     """Store what changed since the last mark, then commit.
 
@@ -76,8 +81,14 @@ def extract_increment(
 
     The mark becomes the newest stamp that was loaded, and rows stamped exactly
     at the mark are read again, so rows written later with the same stamp are
-    not missed. Rows without a stamp are part of the first load only. The commit
-    is the last step: a run that dies before it is repeated as a whole.
+    not missed. Rows without a stamp say nothing of when they changed: all are
+    read by every load, and those that differ from what is stored are loaded; a
+    row with a stamp is never replaced by one without. The commit is the last
+    step: a run that dies before it is repeated as a whole.
+
+    The base is written anew when the deltas hold ``rebase_share`` of its rows,
+    or when there are more than ``rebase_deltas`` of them; what is read stays
+    the same.
     """
     stamp_type = table.schema[changed].dataType
     if not isinstance(stamp_type, (DateType, TimestampType, TimestampNTZType)):
@@ -91,7 +102,12 @@ def extract_increment(
         base, base_rows, changes = version, written["row_count"], 0
     else:
         mark = F.lit(last.watermark.isoformat()).cast("timestamp_ntz").cast(stamp_type)
-        delta = delta_since(table, changed, mark, inclusive=True)
+        delta = table.filter((F.col(changed) >= mark) | F.col(changed).isNull())
+        stored = _state(spark, root, last, keys, changed).filter(F.col(changed).isNull())
+        known = stored.select(_content(stored).alias(_CONTENT)).distinct()
+        delta = delta.withColumn(
+            _CONTENT, F.when(F.col(changed).isNull(), _content(delta))
+        ).join(known, _CONTENT, "left_anti").drop(_CONTENT)
         written = write_parquet(delta, delta_path(root, source, version), metrics=[newest])
         if written["row_count"] == 0:
             return last
@@ -99,7 +115,7 @@ def extract_increment(
         changes = last.changes + written["row_count"]
     watermark = max(filter(None, [last.watermark, written["newest"]]))
     commit = Commit(source, watermark, version, base, base_rows, changes)
-    if changes > REBASE_SHARE * base_rows or version - base > REBASE_DELTAS:
+    if changes > rebase_share * base_rows or version - base > rebase_deltas:
         merged = _state(spark, root, commit, keys, changed)
         rows = write_parquet(merged, base_path(root, source, version))["row_count"]
         commit = Commit(source, watermark, version, version, rows, 0)

@@ -9,15 +9,16 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators.quality import gate, key_report
+from shelfmark.operators.quality import gate, key_report, reject_report
 from shelfmark.plans import staging, star
 from shelfmark.plans.incremental import current_snapshot, extract_increment
 from shelfmark.schemas import RAW
 from shelfmark.sinks.files import write_parquet
-from shelfmark.sources.files import bad_record_count, read_csv
+from shelfmark.sources.control import claim_mode, landing_modes
+from shelfmark.sources.files import CORRUPT, bad_record_count, read_csv
 from shelfmark.streaming.landing import land_csv
 
 log = logging.getLogger(__name__)
@@ -30,6 +31,9 @@ STAR_TABLES = ("dim_customers", "dim_sellers", "dim_products", "fact_sales")
 # The key and the change stamp of the incremental source.
 INVENTORY = {"keys": ["product_id"], "changed": "last_updated"}
 
+# How files are landed: as the whole current extract, or as deliveries that add up.
+EXTRACT, DELIVERIES = "extract", "deliveries"
+
 # Independent tables are written at the same time, so a small one does not leave
 # the cluster idle.
 TABLES_AT_ONCE = 4
@@ -46,6 +50,9 @@ class Layout:
     def raw(self, table: str) -> str:
         return f"{self.root}/raw/{table}"
 
+    def deliveries(self, table: str) -> str:
+        return f"{self.root}/raw_deliveries/{table}"
+
     def staging(self, table: str) -> str:
         return f"{self.root}/staging/{table}"
 
@@ -60,6 +67,10 @@ class Layout:
     def control(self) -> str:
         return f"{self.root}/control"
 
+    @property
+    def modes(self) -> str:
+        return f"{self.root}/landing_modes"
+
     def checkpoint(self, table: str) -> str:
         return f"{self.root}/landing/{table}"
 
@@ -87,13 +98,16 @@ def land(
     source_table: Callable[[str], DataFrame],
     product_metadata: Callable[[], DataFrame],
     new_files_only: bool = False,
-) -> None:
+    delivered: Column | None = None,
+) -> Metrics:
     """Bring all sources into the raw layer as Parquet.
 
     ``csv_root`` holds a file or folder per table, ``<table>.csv``. By default
     it is taken as the whole current extract. ``new_files_only`` treats it as a
     folder of deliveries: only files not landed before are read, and where
-    deliveries repeat a key, staging keeps the newest.
+    deliveries repeat a key, staging keeps the newest; ``delivered`` orders them,
+    see ``land_csv``. A root keeps to the mode it began with: a change is an
+    error, raised before anything is written.
 
     ``source_table`` gives a database table by name, such as
     ``partial(read_table, spark, connection)``: ``sellers`` is read whole,
@@ -110,15 +124,30 @@ def land(
                 spark, table, source_table(table), layout.snapshots, layout.control, **INVENTORY
             )
         if table == "product_metadata":
-            return write_parquet(product_metadata(), layout.raw(table))
+            products = product_metadata()
+            unfit = [bad_record_count()] if CORRUPT in products.columns else []
+            return write_parquet(products, layout.raw(table), metrics=unfit)
         path = f"{csv_root}/{table}.csv"
         if new_files_only:
-            return land_csv(spark, path, layout.raw(table), layout.checkpoint(table), RAW[table])
+            target, done = layout.deliveries(table), layout.checkpoint(table)
+            return land_csv(spark, path, target, done, RAW[table], delivered=delivered)
         return write_parquet(
             read_csv(spark, path, RAW[table]), layout.raw(table), metrics=[bad_record_count()]
         )
 
-    _write_each(spark, write, STAGED_TABLES)
+    claim_mode(spark, layout.modes, CSV_TABLES, DELIVERIES if new_files_only else EXTRACT)
+    return _write_each(spark, write, STAGED_TABLES)
+
+
+def raw_reader(spark: SparkSession, layout: Layout) -> Callable[[str], DataFrame]:
+    """The landed tables by name, each from where its way of landing puts it."""
+    modes = landing_modes(spark, layout.modes)
+
+    def raw(table):
+        delivered = modes.get(table) == DELIVERIES
+        return spark.read.parquet(layout.deliveries(table) if delivered else layout.raw(table))
+
+    return raw
 
 
 # How each table is made, and from which tables of the layer before.
@@ -153,13 +182,14 @@ def star_table(name: str, staged: Callable[[str], DataFrame]) -> DataFrame:
 
 def stage(spark: SparkSession, layout: Layout) -> Metrics:
     undated = {"orders": "order_date", "inventory": "last_updated"}
+    landed = raw_reader(spark, layout)
 
     def raw(table):
         if table == "inventory":
             return current_snapshot(
                 spark, layout.snapshots, layout.control, table, **INVENTORY
             )
-        return spark.read.parquet(layout.raw(table))
+        return landed(table)
 
     def write(table):
         date = undated.get(table)
@@ -169,9 +199,16 @@ def stage(spark: SparkSession, layout: Layout) -> Metrics:
     return _write_each(spark, write, STAGED_FROM)
 
 
-def check(spark: SparkSession, layout: Layout) -> None:
-    """Raise when a staged table is empty or misses keys; nothing after this runs then."""
-    gate(key_report({t: spark.read.parquet(layout.staging(t)) for t in STAGED_TABLES}))
+def check(spark: SparkSession, layout: Layout, allowed_rejects: int = 0) -> None:
+    """Raise when a staged table is empty or misses keys; nothing after this runs then.
+
+    So do more than ``allowed_rejects`` raw lines of a table whose key could not
+    be read, which staging has dropped.
+    """
+    staged = key_report({t: spark.read.parquet(layout.staging(t)) for t in STAGED_TABLES})
+    raw = raw_reader(spark, layout)
+    landed = {t: raw(t) for t in (*CSV_TABLES, "product_metadata")}
+    gate(staged.unionByName(reject_report(landed, CORRUPT, allowed_rejects)))
 
 
 def build_star(spark: SparkSession, layout: Layout) -> Metrics:
@@ -198,11 +235,20 @@ def run_daily(
     product_metadata: Callable[[], DataFrame],
     sink: Callable[[DataFrame, str], int] | None = None,
     new_files_only: bool = False,
+    delivered: Column | None = None,
+    allowed_rejects: int = 0,
 ) -> Metrics:
-    """All steps in order; a failed check stops the run before the star is touched."""
-    land(spark, layout, csv_root, source_table, product_metadata, new_files_only)
-    written = dict(stage(spark, layout))
-    check(spark, layout)
+    """All steps in order; a failed check stops the run before the star is touched.
+
+    Returns what was written: of staging and star under the tables' names, of
+    the raw layer under ``raw.<table>``.
+    """
+    landed = land(
+        spark, layout, csv_root, source_table, product_metadata, new_files_only, delivered
+    )
+    written = {f"raw.{table}": metrics for table, metrics in landed.items()}
+    written.update(stage(spark, layout))
+    check(spark, layout, allowed_rejects)
     written.update(build_star(spark, layout))
     if sink:
         load(spark, layout, sink)

@@ -6,23 +6,48 @@ a key before anything is shuffled, then keeps one row per key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import contact_email, exact_mean, parsed_date, product_label, text_key
 from shelfmark.functions.cleaning import DATE_PATTERN, SIGNUP_DATE, TIMESTAMP_PATTERN
 from shelfmark.operators.conform import rename_present
 from shelfmark.operators.dedup import having_keys, one_per_key
-from shelfmark.sources.files import DELIVERED, data_columns
+from shelfmark.sources.files import CORRUPT, DELIVERED, SOURCE_FILE
+
+_RANK = "__rank"
 
 
 def _delivery(raw: DataFrame) -> list[str]:
-    return [DELIVERED] if DELIVERED in raw.columns else []
+    """The columns that order deliveries, where the landing noted them."""
+    if DELIVERED not in raw.columns:
+        return []
+    return [name for name in (DELIVERED, SOURCE_FILE) if name in raw.columns]
 
 
 def _newest(df: DataFrame, keys: list[str], *versions: str) -> DataFrame:
     """One row per key: the newest delivery where the landing noted it, then ``versions``."""
-    return one_per_key(df, keys, newest=[*_delivery(df), *versions]).drop(DELIVERED)
+    newest = one_per_key(df, keys, newest=[*_delivery(df), *versions])
+    return newest.drop(DELIVERED, SOURCE_FILE)
+
+
+def newest_delivered(raw: DataFrame, *keys: str) -> DataFrame:
+    """All rows of the newest file that has a key, so copies within a file count.
+
+    Rows of a key in older files are superseded. Rows without a key have nothing
+    to supersede and stay, as does everything where no delivery is noted.
+    """
+    versions = _delivery(raw)
+    if not versions:
+        return raw
+    order = [F.col(name).desc_nulls_last() for name in versions]
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(*order))
+    newest = having_keys(raw, *keys).withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
+    keyless = reduce(or_, [F.col(name).isNull() for name in keys])
+    return newest.unionByName(raw.filter(keyless))
 
 
 def stage_customers(raw: DataFrame) -> DataFrame:
@@ -40,7 +65,9 @@ def stage_customers(raw: DataFrame) -> DataFrame:
 
 
 def average_prices(order_items: DataFrame) -> DataFrame:
-    return order_items.groupBy(text_key("product_id").alias("product_id")).agg(
+    """The mean price of every product over all lines; of a line delivered again, the newest."""
+    lines = newest_delivered(order_items, "order_id", "order_item_id")
+    return lines.groupBy(text_key("product_id").alias("product_id")).agg(
         exact_mean("price").alias("price")
     )
 
@@ -99,7 +126,7 @@ def stage_sellers(raw: DataFrame, filter_after: bool = False) -> DataFrame:
     ``filter_after`` drops unnamed rows only after one row per seller was
     chosen, which loses a seller whose chosen row has no name.
     """
-    keyed = having_keys(data_columns(raw), "seller_id")
+    keyed = having_keys(raw.drop(CORRUPT), "seller_id")
     if filter_after:
         return having_keys(_newest(keyed, ["seller_id"]), "seller_name")
     return _newest(having_keys(keyed, "seller_name"), ["seller_id"])
@@ -107,7 +134,7 @@ def stage_sellers(raw: DataFrame, filter_after: bool = False) -> DataFrame:
 
 def stage_inventory(raw: DataFrame, filter_after: bool = False) -> DataFrame:
     """All source columns, the newest row with a stock per product; see ``stage_sellers``."""
-    keyed = having_keys(data_columns(raw), "product_id").withColumns(
+    keyed = having_keys(raw.drop(CORRUPT), "product_id").withColumns(
         {
             "product_id": text_key("product_id"),
             "last_updated": parsed_date(raw, "last_updated", DATE_PATTERN),
@@ -120,5 +147,5 @@ def stage_inventory(raw: DataFrame, filter_after: bool = False) -> DataFrame:
 
 def stage_product_metadata(raw: DataFrame) -> DataFrame:
     """All source columns under ``product_id``, one row per product."""
-    named = having_keys(rename_present(data_columns(raw), {"id": "product_id"}), "product_id")
+    named = having_keys(rename_present(raw.drop(CORRUPT), {"id": "product_id"}), "product_id")
     return _newest(named.withColumn("product_id", text_key("product_id")), ["product_id"])

@@ -90,3 +90,36 @@ def fact_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
         F.year("order_date").alias("year"),
         F.month("order_date").alias("month"),
     )
+
+
+def fact_sales_by_seller(order_items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The sales fact with the seller of each line, so that ``dim_sellers`` joins to it."""
+    placed = orders.select("order_id", "customer_id", "order_date", "status")
+    return order_items.join(placed, "order_id", "inner").select(
+        "order_id",
+        "order_item_id",
+        "seller_id",
+        "product_id",
+        "customer_id",
+        "order_date",
+        "status",
+        F.col("price").alias("unit_price"),
+        "freight_value",
+    )
+
+
+def fact_line_revenue(order_items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Revenue next to the ``sale_amount`` of the schema, which takes a line's number as its quantity.
+
+    Every line is one unit sold at its price: ``line_revenue`` is the price and
+    ``units`` is one.
+    """
+    return fact_sales(order_items, orders).select(
+        "order_id",
+        F.col("quantity").alias("order_item_id"),
+        "product_id",
+        "order_date",
+        "sale_amount",
+        F.lit(1).alias("units"),
+        F.col("unit_price").alias("line_revenue"),
+    )

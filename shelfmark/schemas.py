@@ -79,6 +79,9 @@ def payload_of(element: StructType) -> StructType:
     return _struct(products=ArrayType(element))
 
 
+# How each table of files is landed.
+MODES = _struct(table_name=STRING, mode=STRING)
+
 # One row per committed load of an incremental source: its number, the load that
 # is the base, the rows of that base, and the changed rows loaded since.
 CONTROL = _struct(

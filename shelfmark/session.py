@@ -7,22 +7,40 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the jobs were tuned with. Partition counts are left to AQE: it
-# coalesces small shuffle partitions and splits skewed ones towards the advisory
-# size, so the same settings hold from a laptop to a large cluster.
+# Settings the jobs were tuned with. AQE merges small shuffle partitions and
+# splits skewed ones towards the advisory size, but it does not split partitions
+# that are all too large: how many there are at first must follow the input, see
+# ``build_session``.
+ADVISORY_BYTES = 128 << 20
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
-def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
-    """A session with ``conf``; the recommended settings fill in what nobody else set."""
+def first_partitions(input_bytes: int) -> int:
+    """Shuffle partitions to begin with, for AQE to merge: as many as the input has advisory sizes."""
+    return max(200, -(-input_bytes // ADVISORY_BYTES))
+
+
+def build_session(
+    app_name: str, master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with ``conf``; the recommended settings fill in what nobody else set.
+
+    ``input_bytes``, about what a run reads, sets the number of shuffle
+    partitions that AQE begins with. On a large cluster give it, or set
+    ``spark.sql.shuffle.partitions``; the default of Spark is 200.
+    """
+    if input_bytes is not None:
+        initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        conf = {initial: str(first_partitions(input_bytes)), **conf}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

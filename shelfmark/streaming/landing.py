@@ -2,11 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from shelfmark.sources.files import CORRUPT, CSV_OPTIONS, DELIVERED, SOURCE_FILE, csv_schema
+from shelfmark.operators.quality import rows_metric
+from shelfmark.sources.files import (
+    CORRUPT,
+    CSV_OPTIONS,
+    DELIVERED,
+    SOURCE_FILE,
+    bad_record_count,
+    csv_schema,
+)
+
+_METRICS = "landed"
+
+
+def by_modification_time() -> Column:
+    """Deliveries in the order in which their files were last written."""
+    return F.col("_metadata.file_modification_time")
+
+
+def by_file_name() -> Column:
+    """Deliveries in the order of their files' names, for names that begin with a date or number.
+
+    Holds where files are copied or restored, which gives them new times.
+    """
+    return F.col("_metadata.file_name")
 
 
 def land_csv(
@@ -17,14 +42,20 @@ def land_csv(
     schema: StructType,
     multiline: bool = False,
     files_per_batch: int = 10_000,
-) -> None:
+    delivered: Column | None = None,
+) -> Mapping[str, int]:
     """Append the CSV files below ``path`` that were not landed yet to a Parquet table.
 
     The stream's checkpoint records which files are done and the Parquet sink's
     own log which output files count, so a run that is cut off and repeated
     lands each file exactly once. Files count as the same by path: a delivery
-    must not reuse a name. Each row notes its file and when that was delivered.
-    A missing input path is an error.
+    must not reuse a name. Each row notes its file and ``delivered``, which
+    orders the deliveries, by default the file's modification time; files that
+    tie are ordered by path. A missing input path is an error.
+
+    Returns ``row_count`` and ``bad_records`` of the files landed by this run, as
+    the tasks counted them while writing. Spark keeps the counts of a run's last
+    hundred batches.
     """
     in_order = csv_schema(spark, path, schema, multiline)
     files = (
@@ -38,8 +69,8 @@ def land_csv(
     landed = files.select(
         "*",
         F.col("_metadata.file_path").alias(SOURCE_FILE),
-        F.col("_metadata.file_modification_time").alias(DELIVERED),
-    )
+        (by_modification_time() if delivered is None else delivered).alias(DELIVERED),
+    ).observe(_METRICS, rows_metric(), bad_record_count())
     query = (
         landed.writeStream.format("parquet")
         .option("path", target)
@@ -48,3 +79,8 @@ def land_csv(
         .start()
     )
     query.awaitTermination()
+    counted = [p.observedMetrics.get(_METRICS) for p in query.recentProgress]
+    return {
+        name: sum(batch[name] or 0 for batch in counted if batch is not None)
+        for name in ("row_count", "bad_records")
+    }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from shelfmark.operators.quality import KEY_RULES
+from shelfmark.operators.quality import KEY_RULES, RANGES, REFERENCES, UNIQUE_KEYS
+from shelfmark.schemas import STAGING
+from shelfmark.schemas import STAR as STAR_TYPES
 from shelfmark.workload.inputs import UNCATEGORIZED_TYPE, UNCOUNTED_SIZE, UNLISTED_BRAND
 
 # --- the raw tables, as in inputs.py
@@ -237,6 +239,55 @@ _MISSING = [
     ("product_metadata", "id", "0"),
 ]
 
+def _checksum(schema) -> str:
+    """The sum, over all rows, of a number made from the row's values as text."""
+    texts = [
+        f"CAST(CAST(floor({f.name} * 10000 + 0.5) AS DECIMAL(38,0)) AS VARCHAR)"
+        if f.dataType.simpleString() == "double"
+        else f"CAST({f.name} AS VARCHAR)"
+        for f in sorted(schema, key=lambda f: f.name)
+    ]
+    row = ", ".join(f"coalesce({t}, '-')" for t in texts)
+    return f"CAST(SUM(CAST('0x' || substr(md5(concat_ws('|', {row})), 1, 8) AS BIGINT)) AS BIGINT)"
+
+
+def _finding(table: str, column: str, rule: str, metric: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{column}' AS key_column, '{rule}' AS rule,
+        CAST(metric AS BIGINT) AS metric, metric = 0 AS passed FROM ({metric})"""
+
+
+# The staged tables as the integrity query changes them.
+_CHANGED = {
+    **_WITH_NAMES,
+    "orders": "(SELECT * FROM orders_staged WHERE status <> 'P')",
+    "products": "(SELECT * FROM products UNION ALL SELECT * FROM products WHERE category IS NULL)",
+    "product_metadata": "(SELECT * REPLACE (rating + 1 AS rating) FROM product_metadata)",
+}
+_ORPHANS = [
+    _finding(
+        child, column, "orphan",
+        f"SELECT COUNT(*) AS metric FROM {_CHANGED[child]} WHERE {column} IS NOT NULL "
+        f"AND {column} NOT IN (SELECT {key} FROM {_CHANGED[parent]} WHERE {key} IS NOT NULL)",
+    )
+    for child, column, parent, key in REFERENCES
+]
+_REPEATED = [
+    _finding(
+        table, ",".join(keys), "unique",
+        f"SELECT COUNT(*) - COUNT(DISTINCT ({', '.join(keys)})) AS metric FROM {_CHANGED[table]} "
+        f"WHERE {' AND '.join(f'{k} IS NOT NULL' for k in keys)}",
+    )
+    for table, keys in UNIQUE_KEYS
+]
+_OUTSIDE = [
+    _finding(
+        table, column, "range",
+        f"SELECT COUNT(*) FILTER (NOT {column} BETWEEN {low} AND CAST('{high}' AS DOUBLE)) AS metric "
+        f"FROM {_CHANGED[table]}",
+    )
+    for table, column, low, high in RANGES
+]
+
 ORACLES: dict[str, str] = {
     # sources
     "src_csv": RAW["order_items"],
@@ -249,7 +300,8 @@ ORACLES: dict[str, str] = {
     "api_products_explode": """
         SELECT CAST(p_partkey * 3 + i AS VARCHAR) AS id, p_brand AS brand,
                p_size / CAST(10.0 AS DOUBLE) AS rating, CAST(p_size + i AS INTEGER) AS stock,
-               lower(p_type) AS category
+               lower(p_type) AS category, p_name AS title, CAST(p_size AS BIGINT) AS box_width,
+               p_brand AS box_made_by
         FROM part, (VALUES (0), (1), (2)) AS copies(i)""",
     "land_files": with_raw(
         """SELECT order_id, customer_id, order_status,
@@ -337,7 +389,7 @@ ORACLES: dict[str, str] = {
         f"""SELECT product_id, CAST({_drawn(1, 491)} + 10 AS INTEGER) AS stock_quantity,
                    'WH' || CAST({_drawn(9, 5)} + 1 AS VARCHAR) AS warehouse_location,
                    DATE '2017-01-01' AS last_updated
-            FROM ({FIRST_PRODUCTS})"""
+            FROM (SELECT DISTINCT product_id FROM raw_order_items WHERE product_id IS NOT NULL)"""
     ),
     # incremental load
     "delta_since_watermark": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15'",
@@ -375,14 +427,34 @@ ORACLES: dict[str, str] = {
             LEFT JOIN inventory i ON p.product_id = i.product_id
             LEFT JOIN product_metadata m ON p.product_id = m.product_id"""
     ),
+    "dq_rejects": with_raw(
+        """SELECT 'order_items' AS table_name, 'order_item_id' AS key_column, 'key_readable' AS rule,
+                  COUNT(*) FILTER (order_item_id = 7) AS metric,
+                  COUNT(*) FILTER (order_item_id = 7) = 0 AS passed,
+                  COUNT(*) FILTER (order_item_id IN (3, 7)) AS bad_records
+           FROM raw_order_items"""
+    ),
+    "dq_orphans": with_staged(_union([*_ORPHANS, *_REPEATED, *_OUTSIDE])),
+    "fact_sales_by_seller": with_staged(
+        """SELECT oi.order_id, oi.order_item_id, oi.seller_id, oi.product_id, o.customer_id,
+                  o.order_date, o.status, oi.price AS unit_price, oi.freight_value
+           FROM order_items oi JOIN orders_staged o ON oi.order_id = o.order_id"""
+    ),
+    "fact_line_revenue": with_staged(
+        """SELECT oi.order_id, oi.order_item_id, oi.product_id, o.order_date,
+                  oi.order_item_id * oi.price AS sale_amount, 1 AS units, oi.price AS line_revenue
+           FROM order_items oi JOIN orders_staged o ON oi.order_id = o.order_id"""
+    ),
     "full_refresh": with_staged(
         _union(
             [
-                f"SELECT 'staging.{t}' AS table_name, COUNT(*) AS row_count FROM {_WITH_NAMES[t]}"
+                f"SELECT 'staging.{t}' AS table_name, COUNT(*) AS row_count, {_checksum(STAGING[t])} AS checksum "
+                f"FROM {_WITH_NAMES[t]}"
                 for t in STAGED
             ]
             + [
-                f"SELECT 'star.{t}' AS table_name, COUNT(*) AS row_count FROM ({sql})"
+                f"SELECT 'star.{t}' AS table_name, COUNT(*) AS row_count, {_checksum(STAR_TYPES[t])} AS checksum "
+                f"FROM ({sql})"
                 for t, sql in STAR.items()
             ]
         )

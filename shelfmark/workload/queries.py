@@ -11,6 +11,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from shelfmark.functions import (
     id_prefix,
@@ -28,7 +29,14 @@ from shelfmark.plans.refresh import staged_table, star_table
 from shelfmark.schemas import RAW
 from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import write_csv, write_parquet
-from shelfmark.sources.files import data_columns, inferred_csv, read_csv, read_parquet
+from shelfmark.sources.files import (
+    CORRUPT,
+    bad_record_count,
+    data_columns,
+    inferred_csv,
+    read_csv,
+    read_parquet,
+)
 from shelfmark.sources.payloads import read_payloads
 from shelfmark.streaming.landing import land_csv
 from shelfmark.workload import inputs
@@ -41,6 +49,8 @@ WATERMARK = "2024-01-15"
 LAST_DAYS = "2024-01-29"
 LATER_THAN_ALL = "2100-01-01"
 NEVER_LOADED = "returns"
+# The order lines that get an unreadable number and an unreadable price.
+DIRTY_LINE, DIRTY_PRICE = 7, 3
 
 # For each raw table a column and a value that counts as missing there.
 MISSING_VALUES = (
@@ -121,7 +131,7 @@ def src_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def api_products_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers of three products each, landed as one JSON line per answer."""
+    """Answers of three products each, landed as one JSON line per answer, with all their fields."""
     path = scratch_dir(spark, "product_answers")
     answers = inputs.table(spark, sf_dir, "part").select(
         F.to_json(
@@ -134,13 +144,18 @@ def api_products_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("p_size") / F.lit(10.0)).alias("rating"),
                         (F.col("p_size") + i).alias("stock"),
                         F.lower("p_type").alias("category"),
+                        F.col("p_name").alias("title"),
+                        F.struct(F.col("p_size").alias("width"), F.col("p_brand").alias("made_by")).alias("box"),
                     ),
                 ).alias("products")
             )
         ).alias("value")
     )
     answers.write.text(path)
-    return read_payloads(spark, path)
+    products = data_columns(read_payloads(spark, path, element=None))
+    return products.select(
+        *RAW["product_metadata"].names, "title", F.col("box.width").alias("box_width"), F.col("box.made_by").alias("box_made_by")
+    )
 
 
 @query
@@ -392,18 +407,20 @@ def advance_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     before = events.filter(F.col("ts") <= _ntz(WATERMARK))
-    snapshot = latest_per_key(before, ["user_id"], "ts")
+    snapshot = _stored(spark, "snapshot", latest_per_key(before, ["user_id"], "ts"))
     delta = incremental.delta_since(events, "ts", _ntz(WATERMARK), inclusive=True)
     return incremental.upsert(snapshot, delta, ["user_id"], "ts")
 
 
 @query
 def upsert_small_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last two days into the snapshot of all days before, by the plan for few changes."""
+    """The last two days into the stored snapshot of all days before."""
     events = _events(spark, sf_dir)
-    snapshot = latest_per_key(events.filter(F.col("ts") <= _ntz(LAST_DAYS)), ["user_id"], "ts")
+    before = latest_per_key(events.filter(F.col("ts") <= _ntz(LAST_DAYS)), ["user_id"], "ts")
+    snapshot = _stored(spark, "snapshot", before)
     delta = incremental.delta_since(events, "ts", _ntz(LAST_DAYS), inclusive=True)
-    return incremental.upsert_few(snapshot, delta, ["user_id"], "ts")
+    newest = latest_per_key(delta, ["user_id"], "ts")
+    return incremental.upsert(snapshot, newest, ["user_id"], "ts", one_row_per_key=True)
 
 
 # --- data quality
@@ -425,6 +442,39 @@ def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report
 
 
+@query
+def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed order lines of which some have a number or a price that can't be read."""
+    lines = inputs.order_items(spark, sf_dir)
+    dirty = lines.withColumns(
+        {
+            "order_item_id": F.when(F.col("order_item_id") == DIRTY_LINE, F.concat(F.lit("x"), "order_item_id"))
+            .otherwise(F.col("order_item_id").cast("string")),
+            "price": F.when(F.col("order_item_id") == DIRTY_PRICE, F.lit("n/a")).otherwise(F.col("price").cast("string")),
+        }
+    )
+    path = scratch_dir(spark, "dirty_csv")
+    write_csv(dirty, path)
+    landed = scratch_dir(spark, "dirty_landed")
+    written = write_parquet(
+        read_csv(spark, path, RAW["order_items"]), landed, metrics=[bad_record_count()]
+    )
+    report = quality.reject_report({"order_items": read_parquet(spark, landed)}, CORRUPT)
+    return report.withColumn("bad_records", F.lit(written["bad_records"]).cast("long"))
+
+
+@query
+def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphans, repeated keys and values out of range, in staged tables of which one lost its open orders."""
+    staged = {t: _staged(spark, sf_dir, t) for t in refresh.STAGED_TABLES}
+    staged["orders"] = staged["orders"].filter(F.col("status") != "P")
+    staged["products"] = staged["products"].unionByName(
+        staged["products"].filter(F.col("category").isNull())
+    )
+    staged["product_metadata"] = staged["product_metadata"].withColumn("rating", F.col("rating") + 1)
+    return quality.integrity_report(staged)
+
+
 # --- staging and star
 
 
@@ -451,6 +501,20 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def fact_sales_by_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.fact_sales_by_seller(
+        _staged(spark, sf_dir, "order_items"), _stored(spark, "orders", _staged(spark, sf_dir, "orders"))
+    )
+
+
+@query
+def fact_line_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.fact_line_revenue(
+        _staged(spark, sf_dir, "order_items"), _stored(spark, "orders", _staged(spark, sf_dir, "orders"))
+    )
+
+
 @query
 def dim_products_no_metadata_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.dim_products(
@@ -462,7 +526,7 @@ def dim_products_no_metadata_cols(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily run from files and tables to the star; the rows of every table written."""
+    """The daily run from files and tables to the star; rows and a checksum of every table written."""
     root = scratch_dir(spark, "daily")
     raw = inputs.raw_tables(spark, sf_dir)
     raw["orders"] = _purchase_text(raw["orders"])
@@ -486,7 +550,19 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     return _union(
         read_parquet(spark, path)
-        .agg(quality.rows_metric())
-        .select(F.lit(name).alias("table_name"), "row_count")
+        .agg(quality.rows_metric(), _checksum(read_parquet(spark, path)).alias("checksum"))
+        .select(F.lit(name).alias("table_name"), "row_count", "checksum")
         for name, path in written.items()
     )
+
+
+def _checksum(df: DataFrame):
+    """The sum, over all rows, of a number made from the row's values as text."""
+    texts = [
+        F.floor(F.col(f.name) * 10_000 + 0.5).cast("decimal(38,0)").cast("string")
+        if isinstance(f.dataType, DoubleType)
+        else F.col(f.name).cast("string")
+        for f in sorted(df.schema, key=lambda f: f.name)
+    ]
+    row = F.md5(F.concat_ws("|", *[F.coalesce(t, F.lit("-")) for t in texts]).cast("binary"))
+    return F.sum(F.conv(F.substring(row, 1, 8), 16, 10).cast("long"))

@@ -43,3 +43,19 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=lambda r: [str(v) for v in r])
 
     return collect
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def set_all(**options):
+        for key, value in options.items():
+            key = "spark.sql." + key.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)

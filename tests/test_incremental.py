@@ -35,12 +35,12 @@ class Extract:
     """Loads of an inventory table into a folder of its own."""
 
     def __init__(self, spark, folder):
-        self.spark = spark
+        self.spark, self.limits = spark, {}
         self.root, self.control = str(folder / "snap"), str(folder / "control")
 
     def __call__(self, table):
         return extract_increment(
-            self.spark, "inventory", table, self.root, self.control, **INVENTORY
+            self.spark, "inventory", table, self.root, self.control, **INVENTORY, **self.limits
         )
 
     def current(self):
@@ -53,18 +53,19 @@ def extract(spark, tmp_path):
 
 
 @pytest.fixture(params=["merged when read", "merged when loaded"])
-def rebase(request, monkeypatch):
+def rebase(request, extract):
     """Whether loads leave deltas behind or always write a new base."""
     always = request.param == "merged when loaded"
-    monkeypatch.setattr("shelfmark.plans.incremental.REBASE_SHARE", 0 if always else 1e9)
+    extract.limits["rebase_share"] = 0 if always else 1e9
     return always
 
 
-BOTH_WAYS = pytest.mark.parametrize("merge", [incremental.upsert, incremental.upsert_few])
+BROADCAST = pytest.mark.parametrize("threshold", ["10m", "-1"])
 
 
-@BOTH_WAYS
-def test_upsert_equals_replacing_row_by_row(spark, rows, merge):
+@BROADCAST
+def test_upsert_equals_replacing_row_by_row(spark, rows, conf, threshold):
+    conf(autoBroadcastJoinThreshold=threshold)
     draw = random.Random(7)
 
     def some(n):
@@ -82,18 +83,19 @@ def test_upsert_equals_replacing_row_by_row(spark, rows, merge):
             old = expected.get(row[0])
             if old is None or old[3] is None or (row[3] is not None and row[3] >= old[3]):
                 expected[row[0]] = tuple(row)
-        merged = merge(snapshot, delta, ["product_id"], "last_updated")
+        merged = incremental.upsert(snapshot, delta, ["product_id"], "last_updated")
         assert rows(merged) == rows(stock(spark, *expected.values()))
 
 
-@BOTH_WAYS
-def test_older_delta_row_does_not_replace(spark, rows, merge):
+@BROADCAST
+def test_older_delta_row_does_not_replace(spark, rows, conf, threshold):
+    conf(autoBroadcastJoinThreshold=threshold)
     snapshot = stock(spark, ("a", 1, "W", day(5)), ("b", 1, "W", day(5)), ("c", 1, "W", None))
     delta = stock(
         spark, ("a", 2, "W", day(4)), ("b", 2, "W", day(5)), ("c", 2, "W", None),
         ("d", 2, "W", day(1)), (None, 2, "W", day(9)),
     )
-    merged = merge(snapshot, delta, ["product_id"], "last_updated")
+    merged = incremental.upsert(snapshot, delta, ["product_id"], "last_updated")
     assert rows(merged, "product_id", "stock_quantity") == [("a", 1), ("b", 2), ("c", 2), ("d", 2)]
 
 
@@ -152,9 +154,8 @@ def test_empty_delta_changes_nothing(spark, rows, extract, rebase):
     assert rows(extract.current(), "product_id") == [("a",)]
 
 
-def test_many_deltas_are_merged_into_a_new_base(spark, rows, extract, monkeypatch):
-    monkeypatch.setattr("shelfmark.plans.incremental.REBASE_SHARE", 1e9)
-    monkeypatch.setattr("shelfmark.plans.incremental.REBASE_DELTAS", 2)
+def test_many_deltas_are_merged_into_a_new_base(spark, rows, extract):
+    extract.limits = {"rebase_share": 1e9, "rebase_deltas": 2}
     bases = [extract(stock(spark, (f"p{i}", i, "W", day(i)))).base for i in range(1, 6)]
     assert bases == [1, 1, 1, 4, 4]
     assert rows(extract.current(), "product_id") == [(f"p{i}",) for i in range(1, 6)]
@@ -183,9 +184,17 @@ def test_unfinished_load_is_not_read_and_is_repeated(spark, rows, extract, rebas
     assert read_control(spark, extract.control).count() == 2
 
 
-@pytest.mark.parametrize("few", [0, 1_000])
-def test_increments_end_where_a_full_load_ends(spark, rows, extract, rebase, monkeypatch, few):
-    monkeypatch.setattr("shelfmark.plans.incremental.FEW_CHANGES", few)
+def test_changes_without_a_stamp_arrive(spark, rows, extract, rebase):
+    extract(stock(spark, ("a", 1, "W", day(1)), ("b", 1, "W", None), ("c", 1, "W", None)))
+    same = extract(stock(spark, ("b", 1, "W", None), ("c", 1, "W", None)))
+    assert same.version == 1
+    extract(stock(spark, ("a", 9, "W", None), ("b", 2, "W", None), ("c", 1, "W", None), ("d", 1, "W", None)))
+    assert rows(extract.current(), "product_id", "stock_quantity") == [
+        ("a", 1), ("b", 2), ("c", 1), ("d", 1),
+    ]
+
+
+def test_increments_end_where_a_full_load_ends(spark, rows, extract, rebase):
     draw = random.Random(3)
     table = {}
     for step in range(1, 5):

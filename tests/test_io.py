@@ -109,7 +109,7 @@ def test_payload_keeps_nested_types(spark, rows, tmp_path):
     answer = {"products": [{"id": 1, "tags": ["a", "b"], "ignored": 3}, {"id": 2}], "total": 2}
     path = put(tmp_path / "p" / "a.json", json.dumps(answer, indent=2))
     df = read_payloads(spark, path, element, whole_files=True)
-    assert rows(df) == [(1, ["a", "b"]), (2, None)]
+    assert rows(df, "id", "tags") == [(1, ["a", "b"]), (2, None)]
 
 
 @pytest.mark.parametrize("text", ["<html>", "{}", '{"products": 3}', '{"products": null}', "[]"])
@@ -124,6 +124,27 @@ def test_ids_are_text_and_a_bad_field_is_null(spark, rows, tmp_path):
     answer = '{"products": [{"id": 7, "stock": "many", "rating": 4}, {"id": "x7", "stock": 2}]}'
     df = read_payloads(spark, put(tmp_path / "p.json", answer))
     assert rows(df, "id", "stock", "rating") == [("7", None, 4.0), ("x7", 2, None)]
+    assert [json.loads(r[0])["stock"] for r in rows(df.dropna(), "_corrupt_record")] == []
+    assert [json.loads(r[0])["stock"] for r in rows(df.where("id = '7'"), "_corrupt_record")] == ["many"]
+
+
+def test_every_answered_field_is_read(spark, rows, tmp_path):
+    answer = '{"products": [{"id": 7, "price": 1.5, "tags": ["a"]}, {"id": "x", "box": {"w": 1}}]}'
+    df = read_payloads(spark, put(tmp_path / "p.json", answer), element=None)
+    assert rows(df, "id", "brand", "price", "tags", "box.w") == [
+        ("7", None, 1.5, ["a"], None), ("x", None, None, None, 1),
+    ]
+
+
+def test_rows_with_a_map_have_one_fixed_winner(spark, rows):
+    from shelfmark.plans.staging import stage_product_metadata
+
+    table = spark.createDataFrame(
+        [("1", {"a": 2}), ("1", {"a": 1}), ("2", None)], "id string, more map<string,int>"
+    )
+    for given in (table, table.orderBy("more.a")):
+        got = {r.product_id: r.more for r in stage_product_metadata(given).collect()}
+        assert got == {"1": {"a": 1}, "2": None}
 
 
 def test_empty_products_list_is_no_row(spark, tmp_path):
@@ -133,8 +154,10 @@ def test_empty_products_list_is_no_row(spark, tmp_path):
 def test_only_new_files_are_landed(spark, rows, tmp_path):
     drop, target, state = (str(tmp_path / n) for n in ("drop", "landed", "state"))
 
+    counts = []
+
     def run():
-        land_csv(spark, drop, target, state, RAW["customers"])
+        counts.append(land_csv(spark, drop, target, state, RAW["customers"])["row_count"])
         return rows(read_parquet(spark, target), "customer_id")
 
     put(tmp_path / "drop" / "1.csv", "customer_id,customer_unique_id\na,u\nb,u\n")
@@ -144,6 +167,14 @@ def test_only_new_files_are_landed(spark, rows, tmp_path):
     assert run() == [("a",), ("b",), ("c",)]
     files = rows(read_parquet(spark, target).select("_source_file").distinct())
     assert [f.rsplit("/", 1)[1] for (f,) in files] == ["1.csv", "2.csv"]
+    assert counts == [2, 0, 1]
+
+
+def test_landing_counts_bad_lines(spark, tmp_path):
+    put(tmp_path / "drop" / "1.csv", "order_id,order_item_id,price\no1,1,2.5\no1,2.0,1\no2,x,y\n")
+    drop, target, state = (str(tmp_path / n) for n in ("drop", "landed", "state"))
+    counted = land_csv(spark, drop, target, state, RAW["order_items"], files_per_batch=1)
+    assert counted == {"row_count": 3, "bad_records": 2}
 
 
 def test_write_metrics_of_empty_and_filled_tables(spark, tmp_path):

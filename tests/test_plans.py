@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.dedup import latest_per_key, one_per_key
-from shelfmark.operators.incremental import delta_since, upsert, upsert_few
+from shelfmark.operators.incremental import delta_since, upsert
 from shelfmark.operators.quality import table_profile
 from shelfmark.plans import staging, star
 from shelfmark.sinks.files import write_parquet
@@ -26,22 +26,6 @@ def plan(capsys):
     return explain
 
 
-@pytest.fixture
-def conf(spark):
-    """Set session options for one test."""
-    before = {}
-
-    def set_all(**options):
-        for key, value in options.items():
-            key = "spark.sql." + key.replace("__", ".")
-            before.setdefault(key, spark.conf.get(key, None))
-            spark.conf.set(key, value)
-
-    yield set_all
-    for key, value in before.items():
-        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 @pytest.fixture
 def stored(spark, sf_dir, tmp_path):
     """The raw tables as Parquet, as landing leaves them."""
@@ -109,7 +93,7 @@ def test_small_delta_does_not_shuffle_the_snapshot(spark, tmp_path, plan):
     )
     table.write.parquet(snapshot)
     table.limit(10).withColumn("d", F.lit("2024-01-02").cast("date")).write.parquet(delta)
-    merged = upsert_few(spark.read.parquet(snapshot), spark.read.parquet(delta), ["k"], "d")
+    merged = upsert(spark.read.parquet(snapshot), spark.read.parquet(delta), ["k"], "d")
     text = plan(merged)
     first = text[text.index("LeftAnti"):text.index("LeftAnti") + 400]
     assert "BuildRight" in first and "SortMergeJoin" not in text
@@ -119,10 +103,17 @@ def test_small_delta_does_not_shuffle_the_snapshot(spark, tmp_path, plan):
     assert merged.count() == 200_000
 
 
-def test_large_delta_shuffles_the_snapshot_once(spark, sf_dir, plan, conf):
+def test_large_delta_shuffles_whole_rows_of_the_snapshot_once(spark, sf_dir, plan, conf, tmp_path):
     conf(autoBroadcastJoinThreshold="-1")
+    path = str(tmp_path / "snapshot")
+    inputs.table(spark, sf_dir, "events").write.parquet(path)
     events = inputs.table(spark, sf_dir, "events")
-    assert exchanges(plan(upsert(events, events, ["event_id"], "ts"))) == ["hashpartitioning"]
+    merged = upsert(spark.read.parquet(path), events, ["event_id"], "ts", one_row_per_key=True)
+    text = plan(merged)
+    assert "Broadcast" not in text and set(exchanges(text)) == {"hashpartitioning"}
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+    # Whole rows of the snapshot and of the delta once each; else keys and versions.
+    assert sorted(len(scan.split(",")) for scan in scans) == [2, 2, 2, 6, 6]
 
 
 def test_hot_key_is_cut_down_before_the_shuffle(spark):
