@@ -23,6 +23,8 @@ Words and pairs are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -36,6 +38,9 @@ from shelfmark.llm.common import remainder_of
 
 BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = 50_000
+# A block has a distinct pair for about ten bytes, and asks a part for at least
+# this many of them: with very much text the blocks grow as its square root.
+ASKED_AT_ONCE = 64
 FAIL = 0.55
 END, START = b"\n", b" "  # no words
 
@@ -102,14 +107,13 @@ def _asked(block: int, text: BlockText, parts: int) -> pd.DataFrame:
         cuts = np.searchsorted(_part_of(keys, parts), np.arange(parts + 1))
         bounds.append((keys, counts, cuts))
     rows = []
-    for part in range(parts):
+    for part in np.unique(np.concatenate([_part_of(keys, parts) for keys, _, _ in bounds])).tolist():
         cells = []
         for keys, counts, cuts in bounds:
             some = keys[cuts[part] : cuts[part + 1]]
             steps = np.diff(some, prepend=np.uint64(0))
             cells += [_packed(steps), _packed(counts[cuts[part] : cuts[part + 1]])]
-        if bounds[0][2][part] < bounds[0][2][part + 1] or bounds[1][2][part] < bounds[1][2][part + 1]:
-            rows.append((part, block, *cells))
+        rows.append((part, block, *cells))
     return pd.DataFrame(rows, columns=["part", "block", "words", "word_counts", "pairs", "pair_counts"])
 
 
@@ -160,17 +164,22 @@ class BackoffAutomaton:
 
 def scored(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fail: float = FAIL,
-    block_bytes: int = BLOCK_BYTES, block_rows: int = BLOCK_ROWS,
+    block_bytes: int | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     The model learns from rows whose crc32(doc_id) mod 7 is not 2. Null text is
     empty and has one token, the end. Rows that repeat an id and a text fall into
     the same block. Without training rows N and V are 0 and every token has
-    probability 1. No rows: no rows.
+    probability 1. No rows: no rows. ``block_bytes`` is the text that a task
+    holds, 16 MB by default and 330 MB at 170 TB of text; scores do not depend on it.
     """
-    size = docs.agg(F.sum(F.octet_length(text)), F.count("*")).first()
-    blocks = int(max(1, -(-(size[0] or 0) // block_bytes), -(-size[1] // block_rows)))
+    n_bytes, n_rows = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count("*")).first()
+    if block_bytes is None:
+        block_bytes = max(BLOCK_BYTES, math.isqrt(10 * ASKED_AT_ONCE * n_bytes))
+    # Rows are small where there are many in a block; the rows of large blocks may be more.
+    rows_in_block = block_rows * max(1, block_bytes // BLOCK_BYTES)
+    blocks = int(max(1, -(-n_bytes // block_bytes), -(-n_rows // rows_in_block)))
     dealt = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(text).alias("text"),
