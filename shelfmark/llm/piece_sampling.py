@@ -25,6 +25,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +36,8 @@ from shelfmark.llm.common import free_name
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 1 / 2000
 SEED = 1
-WORDS_KEPT = 200_000
-CHARS_AT_ONCE = 2_000_000
+WORDS_KEPT = 250_000
+BYTES_AT_ONCE = 1_000_000
 # Piece scores below this are placeholders, not ranks.
 LOWEST_SCORE = -1e6
 SPACE = "▁"
@@ -99,9 +100,9 @@ class PieceLattices:
 
     def clear(self) -> None:
         self.words: dict[str, int] = {}
-        self.last = np.zeros(0, np.int64)
-        self.first = np.zeros(0, np.int64)
-        self.reach, self.back = np.zeros(0), np.zeros(0, np.int64)
+        self.last = np.zeros(0, np.int32)
+        self.first = np.zeros(0, np.int32)
+        self.reach, self.back = np.zeros(0, np.float32), np.zeros(0, np.int32)
         self.piece = np.zeros(0, np.int32)
 
     def _pieces_in(self, codes: np.ndarray, limit: np.ndarray):
@@ -150,7 +151,8 @@ class PieceLattices:
         back[chained] = node[end[chained]] - 1
 
         # Forward: the logarithm of the sum over all paths to each place, for all words at once.
-        order = np.lexsort((start, end, end - begin[end]))
+        # By place in the word, then end, then start; a word's arcs come in the same order in any company.
+        order = np.argsort(((end - begin[end]) * (len(codes) + 1) + end) * (self.longest + 2) + self.longest + 1 - (end - start))
         start, end, weight, piece, back = start[order], end[order], weight[order], piece[order], back[order]
         total = np.zeros(len(codes) + 1)  # the last one stands for the start of a word
         source = np.where(start > begin[start], start - 1, len(codes))
@@ -182,11 +184,11 @@ class PieceLattices:
         upto -= np.repeat(upto[heads] - share[heads], np.diff(heads, append=len(owner)))
         upto[np.append(heads[1:], len(owner)) - 1] = 1.0
 
-        self.first = np.concatenate([self.first, arcs + heads])
-        self.reach = np.concatenate([self.reach, upto])
-        self.back = np.concatenate([self.back, back])
+        self.first = np.concatenate([self.first, (arcs + heads).astype(np.int32)])
+        self.reach = np.concatenate([self.reach, upto.astype(np.float32)])
+        self.back = np.concatenate([self.back, back.astype(np.int32)])
         self.piece = np.concatenate([self.piece, piece.astype(np.int32)])
-        self.last = np.concatenate([self.last, node[np.cumsum(sizes) - 1]])
+        self.last = np.concatenate([self.last, node[np.cumsum(sizes) - 1].astype(np.int32)])
 
     def encode(self, texts: list[str], keys: list[int], seed: int = SEED) -> list[np.ndarray]:
         """The sampled piece ids of each text."""
@@ -216,7 +218,8 @@ class PieceLattices:
         base = _mixed(_mixed(key + np.uint64(seed)) + place * np.uint64(0x9E3779B97F4A7C15))
         taken = []
         while len(active):
-            draw = (_mixed(base + np.uint64(len(taken))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+            # 24 bits are exact in single precision and stay below 1.
+            draw = (_mixed(base + np.uint64(len(taken))) >> np.uint64(40)).astype(np.float32) * np.float32(2**-24)
             arc = self.first[node]
             on = np.flatnonzero(draw >= self.reach[arc])
             while len(on):
@@ -252,16 +255,22 @@ def model_bytes(path: str = MODEL_FILE) -> bytes:
         return source.read()
 
 
-def _slices(texts):
-    """Ranges of rows with about CHARS_AT_ONCE characters."""
-    start = chars = 0
-    for i, text in enumerate(texts):
-        chars += len(text or "") + 1
-        if chars >= CHARS_AT_ONCE:
-            yield start, i + 1
-            start, chars = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def _slices(batches, text: str):
+    """The batches cut to about BYTES_AT_ONCE of text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        upto = np.cumsum(sizes.astype(np.int64) + 1)
+        cuts = np.searchsorted(upto, np.arange(BYTES_AT_ONCE, upto[-1], BYTES_AT_ONCE)) + 1 if len(upto) else []
+        bounds = np.unique([0, *cuts, batch.num_rows]).tolist()
+        for start, end in zip(bounds, bounds[1:]):
+            yield batch.slice(start, end - start)
+
+
+def _lists(ids: list[np.ndarray], texts: list) -> pa.Array:
+    """The ids as a list column, null where the text is."""
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+    values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([t is None for t in texts]))
 
 
 def encoded(
@@ -284,17 +293,11 @@ def encoded(
 
     def encode(batches):
         lattices = PieceLattices(proto, theta)
-        for batch in batches:
+        for batch in _slices(batches, content):
             texts, keys = batch.column(content).to_pylist(), batch.column(row_key).to_pylist()
             kept = batch.drop_columns([content, row_key])
-            for start, end in _slices(texts):
-                some = texts[start:end]
-                ids = lattices.encode([t or "" for t in some], keys[start:end], seed)
-                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-                values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-                mask = pa.array([t is None for t in some])
-                arrays = pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
-                yield pa.RecordBatch.from_arrays([*kept.slice(start, end - start).columns, arrays], [*kept.schema.names, out])
+            lists = _lists(lattices.encode([t or "" for t in texts], keys, seed), texts)
+            yield pa.RecordBatch.from_arrays([*kept.columns, lists], [*kept.schema.names, out])
 
     return rows.mapInArrow(encode, schema)
 
@@ -343,30 +346,25 @@ def round_trip(
 
     def both_ways(batches):
         lattices = PieceLattices(proto, theta)
-        for batch in batches:
+        for batch in _slices(batches, "text_"):
             texts, keys = batch.column("text_").to_pylist(), batch.column("key_").to_pylist()
-            for start, end in _slices(texts):
-                some = texts[start:end]
-                ids = lattices.encode([t or "" for t in some], keys[start:end], seed)
-                digests, sums, same = [], [], []
-                for t, i in zip(some, ids):
-                    back = None if t is None else lattices.decode(i.tolist())
-                    same.append(back == t)
-                    sums.append(None if t is None else hashlib.sha256(back.encode()).hexdigest())
-                    digests.append(None if t is None else hashlib.sha256(i.astype("<i4").tobytes()).hexdigest())
-                lengths = [len(i) for i in ids]
-                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(start, end - start),
-                        pa.array(lengths, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([t is None for t in some])),
-                        pa.array(digests, pa.string()),
-                        pa.array(sums, pa.string()),
-                        pa.array(same, pa.bool_()),
-                    ],
-                    schema.names,
-                )
+            ids = lattices.encode([t or "" for t in texts], keys, seed)
+            digests, sums, same = [], [], []
+            for t, i in zip(texts, ids):
+                back = None if t is None else lattices.decode(i.tolist())
+                same.append(back == t)
+                sums.append(None if t is None else hashlib.sha256(back.encode()).hexdigest())
+                digests.append(None if t is None else hashlib.sha256(i.astype("<i4").tobytes()).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([len(i) for i in ids], pa.int64()),
+                    _lists(ids, texts),
+                    pa.array(digests, pa.string()),
+                    pa.array(sums, pa.string()),
+                    pa.array(same, pa.bool_()),
+                ],
+                schema.names,
+            )
 
     return rows.mapInArrow(both_ways, schema)

@@ -78,7 +78,7 @@ def test_forgetting_words_changes_nothing(lattices, monkeypatch):
 
     before = [i.tolist() for i in lattices.encode(TEXTS, [3] * len(TEXTS))]
     monkeypatch.setattr(module, "WORDS_KEPT", 1)
-    monkeypatch.setattr(module, "CHARS_AT_ONCE", 10)
+    monkeypatch.setattr(module, "BYTES_AT_ONCE", 10)
     small = PieceLattices(model_bytes())
     for _ in range(2):
         assert [small.encode([t], [3])[0].tolist() for t in TEXTS] == before
