@@ -21,7 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from itertools import islice
+from collections import defaultdict
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +100,7 @@ class PieceLattices:
         self.longest = max(map(len, pieces))
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {}
+        self.words: dict[str, int] = defaultdict(count().__next__)  # numbered as they come
         self.last = np.zeros(0, np.int32)
         self.first = np.zeros(0, np.int32)
         self.reach, self.back = np.zeros(0, np.float32), np.zeros(0, np.int32)
@@ -200,7 +201,7 @@ class PieceLattices:
         for text in texts:
             parts = self.parts(" " + text) if text else []
             counts.append(len(parts))
-            numbers += [known.setdefault(p, len(known)) for p in parts]
+            numbers.extend(map(known.__getitem__, parts))
         if len(known) > held:
             self.add(list(islice(reversed(known), len(known) - held))[::-1])
         counts = np.array(counts, np.int64)
