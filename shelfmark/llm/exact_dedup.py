@@ -209,6 +209,9 @@ def _spill(batch, text, rank, tie, depth, folder, files) -> None:
         batch, contents, keys, _, _, copies, tied = _prepared(batch, text, rank, tie)
         arrays = [*batch.columns, pa.array(keys, pa.binary()), pa.array(copies, pa.int64()), pa.array(tied, pa.int64())]
         batch = pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, KEY, COPIES, TIES])
+    else:
+        # What the shuffle brings says that columns hold no nulls, what the table gives does not; a file has one schema.
+        batch = pa.RecordBatch.from_arrays(batch.columns, batch.schema.names)
     buckets = np.array([k[depth] % FAN_OUT for k in batch.column(KEY).to_pylist()])
     for bucket in np.unique(buckets).tolist():
         part = batch.take(pa.array(np.flatnonzero(buckets == bucket)))

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.llm.exact_dedup import COPIES, KEY, TIES, duplicate_report, exact_dedup, grace_distinct
+from shelfmark.llm.exact_dedup import COPIES, KEY, TIES, distinct_rows, duplicate_report, exact_dedup, grace_distinct
 
 SCHEMA = "doc_id long, text string, lang string, keep_id string, copies int"
 
@@ -81,6 +81,19 @@ def test_dedup_keeps_whole_rows(spark):
     assert sorted(tuple(r)[:5] for r in kept.collect()) == [(3, "a", None, "z", 2), (4, None, "x", None, 9)]
 
 
+def test_spilling_after_the_shuffle(spark):
+    rows = spark.range(4000).select(
+        F.concat(F.lit("Text number "), (F.col("id") % 700).cast("string")).alias("t"),
+        F.col("id").alias("r"),
+        F.lit(0).cast("long").alias("z"),
+        F.struct("id", F.lit("x").alias("s")).alias("whole"),
+    )
+    found = distinct_rows(rows.repartition(6), "t", "r", "z", memory=4000).collect()
+    assert len(found) == 700
+    assert sum(r[COPIES] for r in found) == 4000
+    assert all(r["r"] == r["whole"]["id"] >= 3300 for r in found)
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert duplicate_report(docs).count() == 0
