@@ -88,7 +88,12 @@ def test_spilling_after_the_shuffle(spark):
         F.lit(0).cast("long").alias("z"),
         F.struct("id", F.lit("x").alias("s")).alias("whole"),
     )
-    found = distinct_rows(rows.repartition(6), "t", "r", "z", memory=4000).collect()
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, 100)
+    try:
+        found = distinct_rows(rows.repartition(6), "t", "r", "z", memory=4000).collect()
+    finally:
+        spark.conf.unset(batch)
     assert len(found) == 700
     assert sum(r[COPIES] for r in found) == 4000
     assert all(r["r"] == r["whole"]["id"] >= 3300 for r in found)
