@@ -38,6 +38,8 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 1 / 2000
 SEED = 1
 WORDS_KEPT = 250_000
+# Lattices are built for so many new words together.
+WORDS_AT_ONCE = 8_000
 BYTES_AT_ONCE = 1_000_000
 # Piece scores below this are placeholders, not ranks.
 LOWEST_SCORE = -1e6
@@ -181,9 +183,12 @@ class PieceLattices:
         order = np.argsort(owner, kind="stable")
         owner, back, share, piece = owner[order], back[order], share[order], piece[order]
         heads = np.flatnonzero(np.diff(owner, prepend=-1))
-        upto = np.cumsum(share)
-        upto -= np.repeat(upto[heads] - share[heads], np.diff(heads, append=len(owner)))
-        upto[np.append(heads[1:], len(owner)) - 1] = 1.0
+        # Added up node by node, so that rounding doesn't depend on a word's company either.
+        upto, width = share.copy(), np.diff(heads, append=len(owner))
+        for nth in range(1, int(width.max(initial=0))):
+            at = heads[width > nth] + nth
+            upto[at] += upto[at - 1]
+        upto[heads + width - 1] = 1.0
 
         self.first = np.concatenate([self.first, (arcs + heads).astype(np.int32)])
         self.reach = np.concatenate([self.reach, upto.astype(np.float32)])
@@ -202,8 +207,9 @@ class PieceLattices:
             parts = self.parts(" " + text) if text else []
             counts.append(len(parts))
             numbers.extend(map(known.__getitem__, parts))
-        if len(known) > held:
-            self.add(list(islice(reversed(known), len(known) - held))[::-1])
+        fresh = list(islice(reversed(known), len(known) - held))[::-1]
+        for start in range(0, len(fresh), WORDS_AT_ONCE):
+            self.add(fresh[start : start + WORDS_AT_ONCE])
         counts = np.array(counts, np.int64)
         key = np.repeat(np.array(keys, np.int64).view(np.uint64), counts)
         place = (np.arange(len(numbers)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint64)
