@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,3 +52,15 @@ def row_hash(df: DataFrame) -> Column:
         for f in df.schema
     ]
     return F.xxhash64(*columns)
+
+
+def give_back_memory() -> None:
+    """Hands freed memory of this Python worker back to the system.
+
+    Workers live on and serve later stages; without this, what the largest task
+    once needed stays with each of them.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import ascii_lower, free_name, row_hash, stored
+from shelfmark.llm.common import ascii_lower, free_name, give_back_memory, row_hash, stored
 
 MEMORY_BYTES = 64 << 20
 SLICE_BYTES = 4 << 20
@@ -234,6 +234,7 @@ def distinct_rows(df: DataFrame, text: str, rank: str, tie: str, memory: int = M
 
     def distinct(batches):
         yield from grace_distinct(batches, text, rank, tie, memory)
+        give_back_memory()
 
     return df.mapInArrow(distinct, schema).repartition(KEY).mapInArrow(distinct, schema)
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import free_name, remainder_of
+from shelfmark.llm.common import free_name, give_back_memory, remainder_of
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 6000
@@ -80,8 +80,10 @@ def fit(texts: list[str], langs: list[str], seed: int = 7) -> dict:
     """The model of the texts: languages, scores by bucket, temperature, threshold."""
     names = sorted(set(langs))
     label = np.array([names.index(lang) for lang in langs])
-    rows = [counts(t) for t in texts]
-    rows = [(i, (c / c.sum()).astype(np.float32)) for i, c in rows]
+    rows = []
+    for text in texts:
+        index, times = counts(text)
+        rows.append((index.astype(np.uint16), (times / times.sum()).astype(np.float32)))
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
     held = order[: len(rows) // 5] if len(rows) >= 50 else order
@@ -161,6 +163,8 @@ def trained(
         got = got.sort_values(["lang", "text"], kind="stable")
         if len(got):
             model = fit(got["text"].tolist(), got["lang"].tolist())
+            del got
+            give_back_memory()
             yield pd.DataFrame({"model": [zlib.compress(pickle.dumps(model), 1)]})
 
     found = sample.repartition(1).mapInPandas(train, "model binary").collect()

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import free_name
+from shelfmark.llm.common import free_name, give_back_memory
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 1 / 2000
@@ -352,6 +352,7 @@ def round_trip(
     )
 
     def both_ways(batches):
+        give_back_memory()
         lattices = PieceLattices(proto, theta)
         for batch in _slices(batches, "text_"):
             texts, keys = batch.column("text_").to_pylist(), batch.column("key_").to_pylist()

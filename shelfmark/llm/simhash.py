@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import free_name, row_hash, stored
+from shelfmark.llm.common import free_name, give_back_memory, row_hash, stored
 from shelfmark.llm.components import connected_components
 
 SEED = 42
@@ -63,6 +63,7 @@ def fingerprints(
         for frame in frames:
             prints = [fingerprint(t, words_per_shingle, seed) for t in frame.pop(content)]
             yield frame.assign(fingerprint=np.array(prints, np.uint64).astype(np.int64))
+        give_back_memory()
 
     schema = rows.drop(content).withColumn("fingerprint", F.lit(0).cast("long")).schema
     return rows.mapInPandas(hashed, schema)
@@ -130,6 +131,7 @@ def linked_fingerprints(distinct: DataFrame, threshold: int = MAX_BITS) -> DataF
                     for anchor, prints, home in anchors(values[start : start + 4096], threshold, syndrome, tables):
                         if home or not at_home:
                             yield pd.DataFrame({"anchor": anchor, "print": prints})
+            give_back_memory()
 
         return emit
 
