@@ -78,6 +78,54 @@ def test_pairs_of_terms_are_learned():
     assert model["factors"][model["place"][1]] @ model["factors"][model["place"][2]] > 1
 
 
+def _predicted(rows, model):
+    return np.array([toxicity._probability(toxicity._raw_of(row, model)) >= 0.5 for row in rows])
+
+
+def test_pairs_of_a_term_that_is_neutral_alone():
+    """The group's mention (1) is toxic as often as not; it is toxic with 2 and its lack is toxic with 3."""
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for _ in range(4000):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        noise = (10 + rng.integers(0, 60, 6)).tolist()
+        rows.append(np.array(sorted({*noise, 2 if insult else 3, *([1] * group)}), np.int32))
+        labels.append(float(insult == group))
+    labels = np.array(labels)
+    with_group = np.array([1 in row.tolist() for row in rows])
+    assert labels[with_group].mean() == pytest.approx(labels[~with_group].mean(), abs=0.03)
+    model = toxicity.fit(rows[:3000], labels[:3000])
+    assert (_predicted(rows[3000:], model) == labels[3000:].astype(bool)).mean() >= 0.99
+
+
+def test_rare_terms_and_any_number_of_terms_count():
+    """1,500 insults in two documents each: more than any cap, and too rare for a least number."""
+    rng = np.random.default_rng(6)
+    rows, labels = [], []
+    for i in range(9000):
+        toxic = i % 3 == 0
+        insult = 100 + (i // 3) % 1500 if toxic else 5000 + int(rng.integers(0, 1500))
+        rows.append(np.array(sorted({*rng.integers(0, 60, 6).tolist(), insult}), np.int32))
+        labels.append(float(toxic))
+    model = toxicity.fit(rows, np.array(labels))
+    rare = [np.array([100 + i], np.int32) for i in range(1500)]
+    clean = [np.array([5000 + i], np.int32) for i in range(1500)]
+    score = [np.array([toxicity._raw_of(row, model) for row in some]) for some in (rare, clean)]
+    assert score[0].min() > score[1].mean()
+    assert len(model["place"]) == len(set(np.concatenate(rows).tolist()))
+
+
+def test_one_document_scores_as_many_do():
+    rng = np.random.default_rng(7)
+    rows = [np.unique(rng.integers(0, 50, 8)).astype(np.int32) for _ in range(300)] + [np.zeros(0, np.int32)]
+    model = toxicity.fit(rows, (np.arange(301) % 3 == 0).astype(float))
+    x = np.zeros((301, len(model["place"])))
+    for i, row in enumerate(rows):
+        x[i, [model["place"][t] for t in row.tolist()]] = 1
+    assert [toxicity._raw_of(row, model) for row in rows] == pytest.approx(toxicity._raw(x, model).tolist(), abs=1e-5)
+    assert 77 not in model["place"] and toxicity._raw_of(np.array([77]), model) == pytest.approx(model["bias"])
+
+
 def test_toxicity_by_planted_words(spark):
     rng = np.random.default_rng(1)
     words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(300)]
