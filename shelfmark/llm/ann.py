@@ -109,7 +109,8 @@ class CentroidGraph:
         """Distances from each point to the centroids that the walk met, infinite for others.
 
         Of every point the nearest open centroid is expanded, as long as it is
-        within ``ratio`` of the nearest met or among the ``least`` nearest.
+        within ``ratio`` of the nearest met or among the ``least`` nearest. With an
+        infinite ratio all centroids are met.
         """
         n, k = len(points), len(self.centroids)
         met = np.full((n, k), np.inf)
@@ -121,7 +122,7 @@ class CentroidGraph:
             open_ = np.where(closed[active], np.inf, here)
             at = open_.argmin(axis=1)
             best = open_[np.arange(len(active)), at]
-            bound = here.min(axis=1) * (1 + ratio)
+            bound = here.min(axis=1) * (1 + ratio) if math.isfinite(ratio) else np.full(len(active), np.inf)
             if k > least:
                 bound = np.maximum(bound, np.partition(here, least, axis=1)[:, least])
             more = (best <= bound) & np.isfinite(best)
@@ -139,8 +140,14 @@ class CentroidGraph:
 
 
 def lists_within(met: np.ndarray, ratio: float, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(point, list) for the lists within ``ratio`` of the nearest, the ``most`` nearest if given."""
-    within = met <= met.min(axis=1, keepdims=True) * (1 + ratio) + 1e-12
+    """(point, list) for the lists within ``ratio`` of the nearest, the ``most`` nearest if given.
+
+    With an infinite ratio all lists that were met, also for a point at distance 0 from one.
+    """
+    if math.isfinite(ratio):
+        within = met <= met.min(axis=1, keepdims=True) * (1 + ratio) + 1e-12
+    else:
+        within = np.isfinite(met)
     if most and most < met.shape[1]:
         within &= met <= np.partition(met, most - 1, axis=1)[:, most - 1 : most]
     return np.nonzero(within)
@@ -250,7 +257,8 @@ def nearest(
     short = stored(asked.join(served, F.col("row") == F.col("query_row"), "left_anti"), "short") if wanted else asked.limit(0)
     if wanted and short.count():
         everywhere = _best(_listed(short, model | {"ratio": math.inf}, True), postings, k)
-        found = found.join(short, F.col("query_row") == F.col("row"), "left_anti").unionByName(everywhere)
+        again = short.select(F.col("row").alias("again"))
+        found = found.join(again, F.col("query_row") == F.col("again"), "left_anti").unionByName(everywhere)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -106,3 +106,12 @@ def test_the_graph_walk_finds_the_nearest_centroids():
     assert len(wanted & set(zip(rows.tolist(), at.tolist()))) >= 0.95 * len(wanted)
     far = lists_within(graph.search(points, math.inf), math.inf)
     assert len(far[0]) == 50 * 300
+
+
+@pytest.mark.parametrize("copies", [2, 5])
+def test_copies_at_a_centroid_get_all_candidates(spark, copies):
+    """Few distinct vectors of equal norm: a centroid is a vector, at distance 0 from its copies."""
+    rows = [(20 * i, v, 1, "s") for i, v in enumerate([[1.0, 0.0]] * copies + [[0.0, 1.0]] * copies)]
+    got = nearest(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert recall(got, brute_force(rows)) == 1
+    assert len(got) == len(rows) * (len(rows) - 1)
