@@ -55,18 +55,17 @@ def fingerprints(
     docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",),
     words_per_shingle: int = SHINGLE_WORDS, seed: int = SEED,
 ) -> DataFrame:
-    """(keys, fingerprint as a signed long) of every row."""
-    content = "text_"
-    rows = docs.select(*keys, F.col(text).alias(content))
-
-    def hashed(frames):
-        for frame in frames:
-            prints = [fingerprint(t, words_per_shingle, seed) for t in frame.pop(content)]
-            yield frame.assign(fingerprint=np.array(prints, np.uint64).astype(np.int64))
+    """(keys, fingerprint as a signed long) of every row.
+
+    Only the text goes through Python; pandas would round long keys next to a null.
+    """
+
+    def hashed(texts: pd.Series) -> pd.Series:
+        prints = [fingerprint(t, words_per_shingle, seed) for t in texts]
         give_back_memory()
+        return pd.Series(np.array(prints, np.uint64).astype(np.int64))
 
-    schema = rows.drop(content).withColumn("fingerprint", F.lit(0).cast("long")).schema
-    return rows.mapInPandas(hashed, schema)
+    return docs.select(*keys, F.pandas_udf(hashed, "long")(F.col(text)).alias("fingerprint"))
 
 
 def golay_cosets(threshold: int) -> tuple[np.ndarray, list[np.ndarray]]:

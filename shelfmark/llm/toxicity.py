@@ -203,23 +203,22 @@ def scored(docs: DataFrame, model: dict | None, text: str = "text", doc_id: str
     """doc_id, held_out, score, predicted of every row.
 
     Null and empty texts have no terms and get the bias alone. Without a model
-    the score is 0. Whole texts are read.
+    the score is 0. Whole texts are read, and only they go through Python: pandas
+    would round long ids next to a null.
     """
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), (remainder_of(F.col(doc_id), 4) == 2).alias("held_out"), F.col(text).alias("text_")
-    )
-    schema = rows.drop("text_").withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0)).schema
 
-    def score(frames):
-        for frame in frames:
-            texts = frame.pop("text_")
-            found = np.zeros(len(texts))
-            if model:
-                raw = [_raw_of(np.fromiter(term_hashes(t), np.int32), model) for t in texts]
-                found = _probability(np.array(raw, np.float64))
-            yield frame.assign(score=found, predicted=(found >= THRESHOLD).astype(np.int32))
-
-    return rows.mapInPandas(score, schema)
+    def score(texts: pd.Series) -> pd.Series:
+        found = np.zeros(len(texts))
+        if model:
+            raw = [_raw_of(np.fromiter(term_hashes(t), np.int32), model) for t in texts]
+            found = _probability(np.array(raw, np.float64))
+        return pd.Series(found)
+
+    return docs.select(
+        F.col(doc_id).alias("doc_id"),
+        (remainder_of(F.col(doc_id), 4) == 2).alias("held_out"),
+        F.pandas_udf(score, "double")(F.col(text)).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

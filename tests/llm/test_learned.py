@@ -165,3 +165,11 @@ def test_toxicity_of_the_whole_table(spark, sf_dir):
     got = toxicity.toxicity_report(docs, labels).collect()
     assert len(got) == docs.count()
     assert all(r["score"] == pytest.approx(r["score"]) for r in got)
+
+
+def test_long_ids_next_to_a_null_id_are_scored(spark):
+    big = [(1 << 53) + 1, (1 << 60) + 7, (1 << 62) + 11]
+    ids = [None, *big, *range(40)]
+    docs = spark.createDataFrame([(i, "a b", None, 1, None, None) for i in ids], DOCS).coalesce(1)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert {r["doc_id"] for r in toxicity.toxicity_report(docs, labels).collect()} == set(ids)

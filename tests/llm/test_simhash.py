@@ -132,3 +132,12 @@ def test_nulls_ties_repeats_and_no_rows(spark, rows):
     kept = near_dedup(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == ([2, 9] if rows else [])
+
+
+def test_long_ids_next_to_a_null_id(spark):
+    big = [(1 << 53) + 1, (1 << 60) + 7, (1 << 62) + 11]
+    rows = [(None, "a b c d", 1, None)] + [(i, f"one two three {i}", 1, None) for i in big] + [(big[0] + 2, f"one two three {big[0]}", 1, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    groups = {r["doc_id"]: r["component_id"] for r in near_duplicate_groups(docs).collect()}
+    assert groups == {None: None, big[0] + 2: big[0]} | {i: i for i in big}
+    assert {r["doc_id"] for r in near_dedup(docs).collect()} == {None, *big}
