@@ -117,6 +117,27 @@ class ContentTable:
             self.rows.append(kept)
             self.bytes += kept.nbytes
 
+    def compact(self) -> None:
+        """Gives up the rows that better ones have replaced, and counts the bytes again."""
+        by_batch: list[list[int]] = [[] for _ in self.rows]
+        for entry, (batch, _) in enumerate(self.where):
+            by_batch[batch].append(entry)
+        rows, self.rows = self.rows, []
+        self.bytes = 300 * len(self.hashes)
+        for number, entries in enumerate(by_batch):
+            batch, rows[number] = rows[number], None
+            if not entries:
+                continue
+            if len(entries) < batch.num_rows:
+                batch = batch.take(pa.array([self.where[e][1] for e in entries], pa.int64()))
+                for place, entry in enumerate(entries):
+                    self.where[entry] = (len(self.rows), place)
+            else:
+                for entry in entries:
+                    self.where[entry] = (len(self.rows), self.where[entry][1])
+            self.rows.append(batch)
+            self.bytes += batch.nbytes
+
     def result(self) -> Iterator[pa.RecordBatch]:
         """The row kept of each content, its columns followed by key, copies and ties."""
         by_batch: list[list[int]] = [[] for _ in self.rows]
@@ -176,7 +197,11 @@ def grace_distinct(
                 _spill(batch, text, rank, tie, depth, folder.name, files)
                 continue
             table.add(*_prepared(batch, text, rank, tie))
-            if table.bytes > memory and len(table) > 1 and depth < 31:
+            compacted = table.bytes > memory
+            if compacted:
+                table.compact()
+            # Half, so that a table isn't compacted again for every few rows.
+            if 2 * table.bytes > memory and compacted and len(table) > 1 and depth < 31:
                 folder = tempfile.TemporaryDirectory(prefix="grace-")
                 for kept in table.result():
                     _spill(kept, text, rank, tie, depth, folder.name, files)

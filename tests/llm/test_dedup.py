@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.llm import exact_dedup as module
 from shelfmark.llm.exact_dedup import COPIES, KEY, TIES, distinct_rows, duplicate_report, exact_dedup, grace_distinct
 
 SCHEMA = "doc_id long, text string, lang string, keep_id string, copies int"
@@ -114,3 +115,25 @@ def test_a_third_of_the_rows_are_copies(spark):
     assert hot.count() == 3000
     assert [r["doc_id"] for r in hot.where("kept").collect()] == [8997]
     assert report.where("kept").count() == 6001
+
+
+@pytest.mark.parametrize("others", [0, 3])
+def test_copies_of_a_long_text_keep_to_the_memory_limit(monkeypatch, others):
+    """Every copy has a larger id than the last and takes its place; the places given up are freed."""
+    held = []
+
+    class Watched(module.ContentTable):
+        def compact(self):
+            super().compact()
+            held.append(sum(b.nbytes for b in self.rows))
+
+        def result(self):
+            held.append(sum(b.nbytes for b in self.rows))
+            return super().result()
+
+    monkeypatch.setattr(module, "ContentTable", Watched)
+    texts = [f"t{i} " for i in range(others)] + ["w " * 50_000] * 60
+    batches = [pa.record_batch({"t": [t], "r": [i], "z": [i]}) for i, t in enumerate(texts)]
+    found = [row for b in grace_distinct(iter(batches), "t", "r", "z", 1 << 20) for row in b.to_pylist()]
+    assert sorted((r["r"], r[COPIES], r[TIES]) for r in found) == [*((i, 1, 1) for i in range(others)), (others + 59, 60, 1)]
+    assert max(held) <= (1 << 20) + 200_000
