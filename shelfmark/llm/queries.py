@@ -10,6 +10,7 @@ from shelfmark.llm import (
     ann,
     chat,
     exact_dedup,
+    hard_negatives,
     langid,
     lm_scoring,
     mixing,
@@ -70,6 +71,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scored(_table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_warc,
         op10_lm_scoring,
+        op13_hard_negatives,
     )
 }
 
@@ -100,4 +106,5 @@ ORACLES: dict[str, str] = {
     "op3_exact_dedup": DEDUP_SQL,
     "op4_mixing": mixing.MIXING_SQL,
     "op7_chat": chat.CHAT_SQL,
+    "op13_hard_negatives": hard_negatives.NEGATIVES_SQL,
 }
