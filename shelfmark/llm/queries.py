@@ -15,6 +15,7 @@ from shelfmark.llm import (
     lm_scoring,
     mixing,
     piece_sampling,
+    prefix_trie,
     simhash,
     toxicity,
     warc,
@@ -71,6 +72,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scored(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.respun(turns))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
 
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_warc,
         op10_lm_scoring,
+        op11_prefix_trie,
         op13_hard_negatives,
     )
 }
@@ -106,5 +113,6 @@ ORACLES: dict[str, str] = {
     "op3_exact_dedup": DEDUP_SQL,
     "op4_mixing": mixing.MIXING_SQL,
     "op7_chat": chat.CHAT_SQL,
+    "op11_prefix_trie": prefix_trie.TRIE_SQL,
     "op13_hard_negatives": hard_negatives.NEGATIVES_SQL,
 }
