@@ -16,10 +16,10 @@ def _signature(edges: DataFrame) -> tuple:
 def _hung_on_least(edges: DataFrame) -> DataFrame:
     """Each edge (u, v) with the least of u and its neighbours v, as ``least``.
 
-    The least is a partial aggregate that is joined back, so that a node with
-    very many neighbours is split by the join instead of filling one task.
+    The least is a partial aggregate that is written and joined back: with no
+    aggregate under the join, Spark can split a node that has very many neighbours.
     """
-    least = edges.groupBy("u").agg(F.min("v").alias("least"))
+    least = stored(edges.groupBy("u").agg(F.min("v").alias("least")), "least")
     return edges.join(least, "u").withColumn("least", F.least("u", "least"))
 
 

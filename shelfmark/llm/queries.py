@@ -13,6 +13,7 @@ from shelfmark.llm import (
     hard_negatives,
     langid,
     lm_scoring,
+    minhash,
     mixing,
     piece_sampling,
     prefix_trie,
@@ -77,6 +78,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.respun(turns))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_warc,
         op10_lm_scoring,
         op11_prefix_trie,
+        op12_minhash,
         op13_hard_negatives,
     )
 }
@@ -114,5 +120,6 @@ ORACLES: dict[str, str] = {
     "op4_mixing": mixing.MIXING_SQL,
     "op7_chat": chat.CHAT_SQL,
     "op11_prefix_trie": prefix_trie.TRIE_SQL,
+    "op12_minhash": minhash.NEAR_SQL,
     "op13_hard_negatives": hard_negatives.NEGATIVES_SQL,
 }

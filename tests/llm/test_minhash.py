@@ -1,0 +1,198 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from shelfmark.llm import minhash as mh
+from shelfmark.llm.minhash import Groups, band_keys, linked_in_cell, near_duplicates, shingle_hashes, signatures, similar
+
+SCHEMA = "doc_id long, text string, n_shingles string, component_id int"
+
+
+def plain_set(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in re.split("[ \t-\r]+", words) if w]
+    return {" ".join(words[i : i + 3]) for i in range(len(words) - 2)} or ({" ".join(words)} if words else set())
+
+
+def brute(rows, percent=85):
+    """By all pairs."""
+    sets = [plain_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(i)] = min(doc_id, least.get(find(i), doc_id))
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        of = least.get(find(i))
+        out.append((doc_id, len(sets[i]), of, doc_id == of))
+    return sorted(out, key=str)
+
+
+def classes(spark, rows, **options):
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    return sorted((tuple(r) for r in near_duplicates(df, **options).collect()), key=str)
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**9)}"
+    return words
+
+
+def test_shingles_equal_the_definition():
+    for text in (None, "", " \t\n", "One", "one TWO", "a b c", "a b c a b c", "ä Ä\x0b\x0cZ z a b\x1c c", "x " * 5000):
+        assert len(shingle_hashes(text)) == len(plain_set(text))
+    assert (shingle_hashes("A b C d") == shingle_hashes("a\tB c  D")).all()
+
+
+def superminhash(elements, places):
+    """The plain algorithm: one element after the other, with early stopping by the highest step in use."""
+    best = [float("inf")] * places
+    for e in elements:
+        order = list(range(places))
+        for step in range(places):
+            if all(b < step for b in best):
+                break
+            x = int(mh.stepped(np.array([e], np.uint64), step)[0])
+            drawn = step + ((x & 0xFFFFFFFF) * (places - step) >> 32)
+            order[step], order[drawn] = order[drawn], order[step]
+            bid = step + (x >> 32) / 2**32
+            best[order[step]] = min(best[order[step]], bid)
+    return best
+
+
+def test_signatures_equal_the_plain_algorithm(monkeypatch):
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 2, 7, 60, 500)]
+    for at_once in (1 << 16, 100):  # also in parts
+        monkeypatch.setattr(mh, "ELEMENTS_AT_ONCE", at_once)
+        for one, got in zip(sets, signatures(sets, 24)):
+            plain = superminhash(one.tolist(), 24)
+            assert [(int(g) >> 32) + (int(g) & 0xFFFFFFFF) / 2**32 for g in got] == plain
+    assert (signatures([np.zeros(0, np.uint64)]) == mh.FREE).all()
+
+
+def test_places_agree_with_the_similarity_and_vary_less():
+    rng = np.random.default_rng(2)
+    estimates = []
+    for _ in range(150):
+        x = rng.integers(0, 1 << 63, 120).astype(np.uint64)
+        a, b = signatures([np.unique(x[:110]), np.unique(x[10:])])
+        estimates.append((a == b).mean())
+    true = 100 / 120
+    assert abs(np.mean(estimates) - true) < 0.01
+    assert np.var(estimates) < 0.8 * true * (1 - true) / mh.PLACES  # independent places would have that
+
+
+def test_bands_agree_where_all_their_places_do():
+    a = np.arange(mh.PLACES, dtype=np.uint64)
+    b = a.copy()
+    b[7] += np.uint64(1)
+    ka, kb = band_keys(np.array([a, b]))
+    assert [i for i in range(mh.BANDS) if ka[i] != kb[i]] == [7 // mh.ROWS]
+    assert len(set(ka.tolist())) == mh.BANDS
+
+
+def test_union_find_and_similarity():
+    groups = Groups()
+    assert groups.unite(3, 9) and groups.unite(9, 1) and not groups.unite(1, 3)
+    assert groups.find(9) == 1 and groups.find(5) == 5
+    a = np.arange(20)
+    assert similar(a[:17], a, 85) and not similar(a[:16], a, 85) and similar(a, a, 100)
+
+
+def test_a_cell_gives_links_between_groups_only():
+    base = np.arange(100)
+    rows = [(i, i, i % 2, frozenset({5, 9}), np.sort(np.append(base, 1000 + i))) for i in range(40)]
+    assert len(list(linked_in_cell(5, rows, False, 85))) == 39
+    assert list(linked_in_cell(9, rows, False, 85)) == []  # they meet in bucket 5
+    across = list(linked_in_cell(5, rows, True, 85))
+    assert all((u + v) % 2 for u, v in across) and len(across) == 39
+    united = [(i, 0, 0, b, s) for i, _, _, b, s in rows]
+    assert list(linked_in_cell(5, united, False, 85)) == []
+
+
+def planted(seed, groups=25):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(groups):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice((4, 30, 90, 300)))]
+        for _ in range(rng.randint(1, 5)):
+            rows.append(" ".join(edited(rng, words, rng.choice((0, 0, 1, 2, 4)))))
+    ids = rng.sample(range(10_000), len(rows))
+    return list(zip(ids, rows))
+
+
+@pytest.mark.parametrize("stars,block", [(2, 256), (1, 256), (1, 2)])
+def test_equals_brute_force(spark, monkeypatch, stars, block):
+    monkeypatch.setattr(mh, "STARS", stars)
+    monkeypatch.setattr(mh, "BLOCK_NODES", block)
+    rows = planted(5)
+    want = brute(rows)
+    assert len({r[2] for r in want}) < len(want) - 20
+    assert classes(spark, rows) == want
+
+
+def test_the_given_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    assert sorted((tuple(r) for r in near_duplicates(docs).collect()), key=str) == brute(rows)
+
+
+def test_a_large_group_is_compared_with_hubs_not_in_pairs(spark, monkeypatch):
+    """All in one group after the stars: no cell has anything left to compare."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(edited(rng, words, 2))) for i in range(300)]
+    met = []
+    monkeypatch.setattr(mh, "_star", lambda u, t, f=mh._star: met.append(f(u, t).count()) or f(u, t))
+    got = classes(spark, rows)
+    assert {r[2] for r in got} == {0}
+    assert met[0] < 300 * mh.BANDS and met[1] < 300
+
+
+def test_a_hot_bucket_is_split(spark, conf, rows):
+    """Two thirds of the members in one bucket: the join with its hub is dealt to several tasks."""
+    conf(
+        autoBroadcastJoinThreshold="-1", adaptive__skewJoin__skewedPartitionThresholdInBytes="16k",
+        adaptive__skewJoin__skewedPartitionFactor="2", adaptive__advisoryPartitionSizeInBytes="16k",
+    )
+    members = spark.range(60_000).selectExpr("if(id % 3 < 2, 7, id) as bucket", "id as node", "id as group")
+    met = mh._star(members.repartition(8), 0)
+    assert met.count() == 40_000 - 1
+    met.collect()
+    assert "skew=true" in met._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nulls_ties_repeats_and_no_rows(spark):
+    big = (1 << 60) + 7
+    rows = [
+        (1, None), (2, ""), (None, " \n"), (3, "one"), (4, "ONE"), (None, "one two"), (None, "One\ttwo"),
+        (9, "a b c d e f"), (9, "a b c d e f"), (8, "A b c d e f"), (None, "a b c d e f"), (big, "big one here now"),
+        (big + 1, "big one here now"), (None, "lone words in a row"), (20, "d c b a"), (21, "a b c"), (22, "c b a"),
+    ]
+    assert classes(spark, rows) == brute(rows)
+    assert classes(spark, []) == []
+    assert classes(spark, [(5, None)]) == [(5, 0, 5, True)]
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(150_000)]
+    far = words[:75_000] + [f"v{i}" for i in range(75_000)]
+    rows = [(3, " ".join(words)), (2, " ".join(edited(rng, words, 500))), (1, " ".join(far)), (0, "x" * 3_000_000)]
+    assert classes(spark, rows) == brute(rows)
