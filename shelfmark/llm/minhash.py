@@ -15,13 +15,14 @@ Links are confirmed on the full sets, in three steps that never write out all
 pairs of a bucket:
 
 1. In every bucket each node is compared with one of them, its hub. Linked nodes
-   are grouped (union-find by star contraction). Twice, with other hubs.
-2. Buckets that are one group by now are settled: what links are left in them
-   would join nothing.
-3. In the others all pairs of different groups are compared, in cells of two
-   blocks of bounded size. A cell unites what it links and skips pairs that are
-   united; it gives at most one link a node. A pair is compared in the first
-   bucket it shares only.
+   are grouped (union-find by star contraction). This makes one group of most
+   nodes of a large cluster, at a comparison per node and bucket.
+2. Hubs have met everybody and leave; buckets that are one group by now are
+   settled: what links are left in them would join nothing.
+3. Nodes of the others are compared with all they share a bucket with, in cells
+   of two blocks of bounded size: by bucket, or by family (all that buckets
+   connect), whichever ships fewer rows. A cell counts the shingles that two nodes
+   share by an inverted index and gives at most one link a node.
 
 So every link between different groups is found wherever a band agrees, and work
 follows the pairs in doubt.
@@ -43,9 +44,10 @@ PERCENT = 85
 BANDS, ROWS = 32, 5
 PLACES = BANDS * ROWS
 SEED = 12
-STARS = 2
-BLOCK_NODES = 256
+BLOCK_NODES = 1024
 BLOCK_SHINGLES = 1 << 20
+# Texts are first told apart by so many values of their hash: few enough to be sent to every task.
+SLOTS = 1 << 20
 ELEMENTS_AT_ONCE = 1 << 16
 # The constants of the splitmix64 generator; fixed values.
 GOLDEN, MIX_1, MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -160,20 +162,35 @@ def _signed(words_per_shingle: int):
 
 
 def _full_sets(words_per_shingle: int):
-    out = pa.schema([("set_a", pa.int64()), ("set_b", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    out = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def read(batches):
         for batch in batches:
-            for text in batch.column("text"):
+            wanted = zip(*(batch.column(c).to_pylist() for c in ("node", "set_a", "set_b")))
+            for text, (node, a, b) in zip(batch.column("text"), wanted):
                 shingles = shingle_hashes(text.as_py(), words_per_shingle)
-                a, b = _identity(shingles)
+                if tuple(_identity(shingles)) != (a, b):
+                    continue  # another text with the same hash
                 held = pa.ListArray.from_arrays(pa.array([0, len(shingles)], pa.int32()), pa.array(shingles.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([a]), pa.array([b]), held], schema=out)
+                yield pa.RecordBatch.from_arrays([pa.array([node]), held], schema=out)
         give_back_memory()
 
     return read
 
 
+def _sets_of(rows: DataFrame, wanted: DataFrame, words_per_shingle: int) -> DataFrame:
+    """(node, shingles) of the wanted nodes, from their texts, stored.
+
+    Most texts are passed over where they are read, by a table of hash values that
+    has at most SLOTS rows; copies are dropped before a text is read again.
+    """
+    slot = F.pmod("text_key", F.lit(SLOTS)).cast("int")
+    slots = wanted.select(slot.alias("slot")).distinct()
+    texts = rows.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").join(wanted, "text_key")
+    once = texts.select("node", "set_a", "set_b", "text").dropDuplicates(["node", "text"])
+    return stored(once.mapInArrow(_full_sets(words_per_shingle), "node long, shingles array<long>"), "sets")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(u, v) of the pairs whose full sets are similar enough; sizes are compared first."""
     sizes = sets.select("node", F.size("shingles").alias("n"))
@@ -193,28 +210,30 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _labelled(members: DataFrame, links: DataFrame | None) -> DataFrame:
-    """``members`` of the buckets that hold several groups, with their group; stored."""
-    if links is None:
-        labelled = members.withColumn("group", F.col("node"))
-    else:
-        roots = stored(connected_components(links), "groups").withColumnRenamed("node", "rooted")
-        labelled = members.join(roots, F.col("node") == F.col("rooted"), "left").select(
-            "bucket", "node", F.coalesce("root", "node").alias("group")
-        )
-        labelled = stored(labelled, "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("group").alias("least"), F.max("group").alias("most"))
-    mixed = stored(mixed.where("least < most").select("bucket"), "mixed")
-    return stored(labelled.join(mixed, "bucket"), "unsettled")
-
-
-def _star(unsettled: DataFrame, turn: int) -> DataFrame:
-    """(u, v): each node with the hub of its bucket, unless they are in one group."""
-    rank = F.xxhash64(F.lit(turn), "node")
-    hubs = unsettled.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "node", "group")).alias("hub"))
-    # Written, so that the join has no aggregate under it and a hot bucket can be split.
-    hubs = stored(hubs.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.group").alias("hub_group")), "hubs")
-    met = unsettled.join(hubs, "bucket").where(F.col("group") != F.col("hub_group"))
+def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` of the buckets that hold several groups; stored."""
+    roots = stored(connected_components(links), "groups").withColumnRenamed("node", "rooted")
+    labelled = members.join(roots, F.col("node") == F.col("rooted"), "left").select(
+        "bucket", "node", F.coalesce("root", "node").alias("group")
+    )
+    labelled = stored(labelled, "labelled")
+    groups = labelled.groupBy("bucket").agg(F.min("group").alias("least"), F.max("group").alias("most"))
+    mixed = stored(groups.where("least < most").select("bucket"), "mixed")
+    return stored(labelled.join(mixed, "bucket").select("bucket", "node"), "unsettled")
+
+
+def _hubs(members: DataFrame) -> DataFrame:
+    """(bucket, hub): one node of each, by one order for all buckets, so that pairs repeat.
+
+    Written: a join with an aggregate under it could not split a hot bucket.
+    """
+    one = F.min(F.struct(F.xxhash64("node").alias("rank"), "node")).alias("hub")
+    return stored(members.groupBy("bucket").agg(one).select("bucket", F.col("hub.node").alias("hub")), "hubs")
+
+
+def _star(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(u, v): each node with the hub of its bucket."""
+    met = members.join(hubs, "bucket").where(F.col("node") != F.col("hub"))
     return met.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
 
 
@@ -239,45 +258,48 @@ class Groups:
         return x != y
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Of two sorted distinct arrays: whether their similarity reaches ``percent``."""
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= percent * (len(a) + len(b) - shared)
-
-
-def linked_in_cell(bucket: int, rows: list[tuple], across: bool, percent: int):
-    """(u, v) that join different groups; rows are (node, group, block, buckets, shingles).
+def linked_in_cell(rows: list[tuple], across: bool, percent: int):
+    """(u, v) that join nodes to groups; rows are (node, block, sorted distinct shingles).
 
     ``across``: only pairs of different blocks; those of one block have a cell of
-    their own.
+    their own. All overlaps of a node are counted at once, by the lists of nodes
+    that hold its shingles.
     """
-    groups = Groups()
-    rows = sorted(rows, key=lambda r: (len(r[4]), r[0]))
-    for j, (v, v_group, v_block, v_buckets, v_set) in enumerate(rows):
-        for i in range(j - 1, -1, -1):
-            u, u_group, u_block, u_buckets, u_set = rows[i]
-            if 100 * len(u_set) < percent * len(v_set):
-                break  # the others are smaller still
-            if across and u_block == v_block or groups.find(u_group) == groups.find(v_group):
-                continue
-            if min(u_buckets & v_buckets) == bucket and similar(u_set, v_set, percent):
-                groups.unite(u_group, v_group)
-                yield u, v
+    sizes = np.array([len(r[2]) for r in rows])
+    blocks = np.array([r[1] for r in rows])
+    _, words = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
+    owners = np.repeat(np.arange(len(rows)), sizes)
+    order = np.argsort(words, kind="stable")
+    holders = owners[order]
+    ends = np.cumsum(np.bincount(words))
+    starts = ends - np.bincount(words)
+    at, groups = 0, Groups()
+    for v in range(len(rows)):
+        mine = words[at : at + sizes[v]]
+        at += sizes[v]
+        spans = ends[mine] - starts[mine]
+        places = np.arange(spans.sum()) - np.repeat(np.cumsum(spans) - spans, spans) + np.repeat(starts[mine], spans)
+        shared = np.bincount(holders[places], minlength=len(rows))[:v]
+        alike = 100 * shared >= percent * (sizes[:v] + sizes[v] - shared)
+        if across:
+            alike &= blocks[:v] != blocks[v]
+        for u in np.flatnonzero(alike).tolist():
+            if groups.unite(u, v):
+                yield rows[u][0], rows[v][0]
 
 
 def _cells(percent: int):
     out = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def found(cell, rows):
-        links = list(linked_in_cell(cell[0], rows, cell[1] != cell[2], percent))
+        links = list(linked_in_cell(rows, cell[-1] != cell[-2], percent))
         return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], schema=out)
 
     def compare(batches):
         cell, rows = None, []
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "low", "high"))))
-            nodes = list(zip(*(batch.column(c).to_pylist() for c in ("node", "group", "block"))))
-            buckets = batch.column("buckets").to_pylist()
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("by_family", "unit", "low", "high"))))
+            nodes, blocks = (batch.column(c).to_pylist() for c in ("node", "block"))
             lists = batch.column("shingles")
             flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
             for i, key in enumerate(keys):
@@ -285,7 +307,7 @@ def _cells(percent: int):
                     if rows:
                         yield found(cell, rows)
                     cell, rows = key, []
-                rows.append((*nodes[i], frozenset(buckets[i]), flat[offsets[i] : offsets[i + 1]].copy()))
+                rows.append((nodes[i], blocks[i], flat[offsets[i] : offsets[i + 1]].copy()))
         if rows:
             yield found(cell, rows)
         give_back_memory()
@@ -293,24 +315,52 @@ def _cells(percent: int):
     return compare
 
 
-def _in_cells(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v): links between groups from all pairs of the unsettled buckets, block by block."""
-    buckets = unsettled.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
-    nodes = stored(buckets.join(sets, "node"), "unsettled-sets").withColumnRenamed("node", "of")
-    sized = unsettled.join(nodes.select("of", F.size("shingles").alias("n")), F.col("node") == F.col("of")).drop("of")
+def _units(unsettled: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(by_family, unit, blocks, node): the nodes to compare with each other, stored.
+
+    A family, all nodes that unsettled buckets connect, is one unit or a unit for
+    each of its buckets: what makes fewer rows, counting every row once for each
+    block that its unit is cut into.
+    """
+    family = stored(connected_components(_star(unsettled, _hubs(unsettled))), "families")
+    roots = family.groupBy("root").agg(F.count("*")).select(F.col("root").alias("node"), "root")
+    family = stored(family.unionByName(roots), "family-of")
     blocks = F.ceil(F.count("*") / BLOCK_NODES + F.sum("n") / BLOCK_SHINGLES).cast("int")
-    counted = stored(sized.groupBy("bucket").agg(blocks.alias("blocks")), "blocks")
+    labelled = stored(unsettled.join(family, "node").join(sizes, "node"), "labelled")
+    by_bucket = stored(
+        labelled.groupBy("bucket", "root").agg(blocks.alias("blocks"), F.count("*").alias("held")), "bucket-blocks"
+    )
+    apart = by_bucket.groupBy("root").agg(F.sum(F.col("held") * F.col("blocks")).alias("apart"))
+    together = family.join(sizes, "node").groupBy("root").agg(blocks.alias("blocks"), F.count("*").alias("held"))
+    choice = stored(
+        together.join(apart, "root").select(
+            "root", (F.col("held") * F.col("blocks") <= F.col("apart")).alias("by_family"), "blocks"
+        ),
+        "choice",
+    )
+    whole = family.join(choice.where("by_family"), "root").select("by_family", F.col("root").alias("unit"), "blocks", "node")
+    split = (
+        labelled.select("bucket", "root", "node")
+        .join(choice.where("not by_family").select("root", "by_family"), "root")
+        .join(by_bucket.select("bucket", "blocks"), "bucket")
+        .select("by_family", F.col("bucket").alias("unit"), "blocks", "node")
+    )
+    return stored(whole.unionByName(split), "units")
+
+
+def _in_cells(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): links among the nodes of each unsettled bucket, block by block."""
+    units = _units(unsettled, sets.select("node", F.size("shingles").alias("n")))
     dealt = (
-        unsettled.join(counted, "bucket")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        units.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-            "node", "group", "block",
+            "by_family", "unit", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "node", "block",
         )
     )
-    cell = ["bucket", "low", "high"]
-    full = dealt.join(nodes, F.col("node") == F.col("of")).drop("of")
+    cell = ["by_family", "unit", "low", "high"]
+    full = dealt.join(sets, "node")
     return full.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(_cells(percent), "u long, v long")
 
 
@@ -346,17 +396,14 @@ def near_duplicates(
     shared = posted.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
     members = stored(posted.join(stored(shared.select("bucket"), "buckets"), "bucket"), "members")
 
-    wanted = stored(nodes.join(members.select("node"), "node", "left_semi").select("node", "text_key", *name), "wanted")
-    texts = rows.join(wanted.select("text_key"), "text_key", "left_semi").dropDuplicates(["text_key", "text"])
-    read = texts.select("text").mapInArrow(_full_sets(words_per_shingle), "set_a long, set_b long, shingles array<long>")
-    sets = stored(read.join(wanted, name).dropDuplicates(["node"]).select("node", "shingles"), "sets")
-
-    links, unsettled = None, _labelled(members, None)
-    for turn in range(STARS):
-        met = stored(_star(unsettled, turn), "met")
-        confirmed = _confirmed(met, sets, percent)
-        links = stored(confirmed if links is None else links.unionByName(confirmed), "links")
-        unsettled = _labelled(members, links)
+    wanted = nodes.join(members.select("node"), "node", "left_semi").select("node", "text_key", *name)
+    sets = _sets_of(rows, stored(wanted, "wanted"), words_per_shingle)
+
+    hubs = _hubs(members)
+    links = stored(_confirmed(stored(_star(members, hubs), "met"), sets, percent), "links")
+    # A hub has met all others of its bucket.
+    others = members.join(hubs, "bucket").where(F.col("node") != F.col("hub")).select("bucket", "node")
+    unsettled = _unsettled(stored(others, "others"), links)
     links = stored(links.unionByName(_in_cells(unsettled, sets, percent)), "links")
 
     roots = stored(connected_components(links), "roots").withColumnRenamed("node", "rooted")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from shelfmark.llm import minhash as mh
-from shelfmark.llm.minhash import Groups, band_keys, linked_in_cell, near_duplicates, shingle_hashes, signatures, similar
+from shelfmark.llm.minhash import Groups, band_keys, linked_in_cell, near_duplicates, shingle_hashes, signatures
 
 SCHEMA = "doc_id long, text string, n_shingles string, component_id int"
 
@@ -107,23 +107,24 @@ def test_bands_agree_where_all_their_places_do():
     assert len(set(ka.tolist())) == mh.BANDS
 
 
-def test_union_find_and_similarity():
+def test_union_find():
     groups = Groups()
     assert groups.unite(3, 9) and groups.unite(9, 1) and not groups.unite(1, 3)
     assert groups.find(9) == 1 and groups.find(5) == 5
+
+
+def test_a_cell_links_what_is_similar_enough():
     a = np.arange(20)
-    assert similar(a[:17], a, 85) and not similar(a[:16], a, 85) and similar(a, a, 100)
+    assert list(linked_in_cell([(1, 0, a[:17]), (2, 0, a)], False, 85)) == [(1, 2)]
+    assert list(linked_in_cell([(1, 0, a[:16]), (2, 0, a)], False, 85)) == []
 
 
-def test_a_cell_gives_links_between_groups_only():
+def test_a_cell_gives_at_most_one_link_a_node():
     base = np.arange(100)
-    rows = [(i, i, i % 2, frozenset({5, 9}), np.sort(np.append(base, 1000 + i))) for i in range(40)]
-    assert len(list(linked_in_cell(5, rows, False, 85))) == 39
-    assert list(linked_in_cell(9, rows, False, 85)) == []  # they meet in bucket 5
-    across = list(linked_in_cell(5, rows, True, 85))
+    rows = [(i, i % 2, np.sort(np.append(base, 1000 + i))) for i in range(40)]
+    assert len(list(linked_in_cell(rows, False, 85))) == 39
+    across = list(linked_in_cell(rows, True, 85))
     assert all((u + v) % 2 for u, v in across) and len(across) == 39
-    united = [(i, 0, 0, b, s) for i, _, _, b, s in rows]
-    assert list(linked_in_cell(5, united, False, 85)) == []
 
 
 def planted(seed, groups=25):
@@ -137,9 +138,8 @@ def planted(seed, groups=25):
     return list(zip(ids, rows))
 
 
-@pytest.mark.parametrize("stars,block", [(2, 256), (1, 256), (1, 2)])
-def test_equals_brute_force(spark, monkeypatch, stars, block):
-    monkeypatch.setattr(mh, "STARS", stars)
+@pytest.mark.parametrize("block", [1024, 3])
+def test_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(mh, "BLOCK_NODES", block)
     rows = planted(5)
     want = brute(rows)
@@ -154,15 +154,31 @@ def test_the_given_table(spark, sf_dir):
 
 
 def test_a_large_group_is_compared_with_hubs_not_in_pairs(spark, monkeypatch):
-    """All in one group after the stars: no cell has anything left to compare."""
+    """All in one group after the star: no cell has anything left to compare."""
     rng = random.Random(8)
     words = [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(edited(rng, words, 2))) for i in range(300)]
-    met = []
-    monkeypatch.setattr(mh, "_star", lambda u, t, f=mh._star: met.append(f(u, t).count()) or f(u, t))
+    met, left = [], []
+    monkeypatch.setattr(mh, "_star", lambda u, h, f=mh._star: met.append(f(u, h).count()) or f(u, h))
+    monkeypatch.setattr(mh, "_unsettled", lambda m, k, f=mh._unsettled: left.append(f(m, k)) or left[0])
     got = classes(spark, rows)
     assert {r[2] for r in got} == {0}
-    assert met[0] < 300 * mh.BANDS and met[1] < 300
+    assert met[0] < 300 * mh.BANDS and left[0].count() == 0
+
+
+@pytest.mark.parametrize("block", [1024, 5])
+def test_a_family_of_unlike_members(spark, monkeypatch, block):
+    """Edits from few to many of one text: some are linked, most share buckets only."""
+    monkeypatch.setattr(mh, "BLOCK_NODES", block)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(edited(rng, words, rng.choice((1, 4, 8, 12))))) for i in range(150)]
+    chosen = []
+    monkeypatch.setattr(mh, "_units", lambda *a, f=mh._units: chosen.append(f(*a)) or chosen[0])
+    want = brute(rows)
+    assert 10 < len({r[2] for r in want}) < 140
+    assert classes(spark, rows) == want
+    assert chosen[0].count() > 0
 
 
 def test_a_hot_bucket_is_split(spark, conf, rows):
@@ -172,7 +188,8 @@ def test_a_hot_bucket_is_split(spark, conf, rows):
         adaptive__skewJoin__skewedPartitionFactor="2", adaptive__advisoryPartitionSizeInBytes="16k",
     )
     members = spark.range(60_000).selectExpr("if(id % 3 < 2, 7, id) as bucket", "id as node", "id as group")
-    met = mh._star(members.repartition(8), 0)
+    members = members.repartition(8)
+    met = mh._star(members, mh._hubs(members))
     assert met.count() == 40_000 - 1
     met.collect()
     assert "skew=true" in met._jdf.queryExecution().executedPlan().toString()
