@@ -8,19 +8,17 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import stored
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, least, ups, downs): the least of each u's neighbours, and how many are below and above it.
 
-
-def _hung_on_least(edges: DataFrame) -> DataFrame:
-    """Each edge (u, v) with the least of u and its neighbours v, as ``least``.
-
-    The least is a partial aggregate that is written and joined back: with no
-    aggregate under the join, Spark can split a node that has very many neighbours.
+    Written, so that what it is joined to has no aggregate under the join: Spark
+    can then split a node that has very many neighbours.
     """
-    least = stored(edges.groupBy("u").agg(F.min("v").alias("least")), "least")
-    return edges.join(least, "u").withColumn("least", F.least("u", "least"))
+    below = F.col("v") < F.col("u")
+    least = edges.groupBy("u").agg(
+        F.min("v").alias("least"), F.count_if(below).alias("ups"), F.count_if(~below).alias("downs")
+    )
+    return stored(least, "least")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -28,21 +26,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has columns u and v of one integer type; direction and repeats do
     not matter, loops and nulls are dropped. Alternates the large-star and
-    small-star steps until no edge changes; every step is written to the shared
-    folder. No edges: no rows.
+    small-star steps until every component is a star around its least node; every
+    step is written to the shared folder. No edges: no rows.
     """
     edges = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = stored(edges.distinct(), "star")
-    before = _signature(edges)
-    while before[0]:
+    while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _hung_on_least(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        large = stored(large.distinct(), "star")
-        hung = _hung_on_least(large)
+        least = _least(both)
+        # A star: no node has two below it, or one below and one above.
+        if least.where("ups > 1 or (ups = 1 and downs > 0)").isEmpty():
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        hung = both.join(least, "u").where("v > u")
+        large = stored(hung.select(F.col("v").alias("u"), F.least("u", "least").alias("v")), "large")
+        hung = large.join(_least(large), "u")
         small = hung.select(F.explode(F.array("u", "v")).alias("u"), F.col("least").alias("v"))
         edges = stored(small.where("u != v").distinct(), "star")
-        after = _signature(edges)
-        if after == before:
-            break
-        before = after
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -259,7 +259,7 @@ class Groups:
 
 
 def linked_in_cell(rows: list[tuple], across: bool, percent: int):
-    """(u, v) that join nodes to groups; rows are (node, block, sorted distinct shingles).
+    """(u, v): each node with the first of its group; rows are (node, block, sorted distinct shingles).
 
     ``across``: only pairs of different blocks; those of one block have a cell of
     their own. All overlaps of a node are counted at once, by the lists of nodes
@@ -284,8 +284,10 @@ def linked_in_cell(rows: list[tuple], across: bool, percent: int):
         if across:
             alike &= blocks[:v] != blocks[v]
         for u in np.flatnonzero(alike).tolist():
-            if groups.unite(u, v):
-                yield rows[u][0], rows[v][0]
+            groups.unite(u, v)
+    for v in range(len(rows)):
+        if (u := groups.find(v)) != v:
+            yield rows[u][0], rows[v][0]
 
 
 def _cells(percent: int):
