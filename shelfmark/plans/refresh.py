@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from shelfmark.operators.quality import gate, key_report, reject_report
 from shelfmark.plans import staging, star
 from shelfmark.plans.incremental import current_snapshot, extract_increment
-from shelfmark.schemas import RAW
+from shelfmark.schemas import RAW, STAR
 from shelfmark.sinks.files import write_parquet
+from shelfmark.sources import catalog
+from shelfmark.sources.catalog import Part, Version
 from shelfmark.sources.control import claim_mode, landing_modes
 from shelfmark.sources.files import CORRUPT, bad_record_count, read_csv
 from shelfmark.streaming.landing import land_csv
@@ -31,8 +33,13 @@ STAR_TABLES = ("dim_customers", "dim_sellers", "dim_products", "fact_sales")
 # The key and the change stamp of the incremental source.
 INVENTORY = {"keys": ["product_id"], "changed": "last_updated"}
 
-# How files are landed: as the whole current extract, or as deliveries that add up.
-EXTRACT, DELIVERIES = "extract", "deliveries"
+# How files are landed: as the whole current extract, as deliveries that add up and
+# are staged from all landed files, or as deliveries that are merged into staging.
+EXTRACT, DELIVERIES, MERGED = "extract", "deliveries", "merged"
+
+# Layers whose tables are published together.
+STAR_LAYER = "star"
+MONTHS = ("year", "month")
 
 # Independent tables are written at the same time, so a small one does not leave
 # the cluster idle.
@@ -56,8 +63,14 @@ class Layout:
     def staging(self, table: str) -> str:
         return f"{self.root}/staging/{table}"
 
-    def star(self, table: str) -> str:
-        return f"{self.root}/star/{table}"
+    @property
+    def star(self) -> str:
+        """The folder of the star; which folders below it count is said by the manifest."""
+        return f"{self.root}/{STAR_LAYER}"
+
+    @property
+    def manifest(self) -> str:
+        return f"{self.root}/manifest"
 
     @property
     def snapshots(self) -> str:
@@ -75,7 +88,7 @@ class Layout:
         return f"{self.root}/landing/{table}"
 
 
-def _write_each(
+def write_each(
     spark: SparkSession, write: Callable[[str], Any], tables: Iterable[str]
 ) -> dict[str, Any]:
     """Write independent tables side by side; the first failure is raised.
@@ -99,6 +112,7 @@ def land(
     product_metadata: Callable[[], DataFrame],
     new_files_only: bool = False,
     delivered: Column | None = None,
+    load_number: int | None = None,
 ) -> Metrics:
     """Bring all sources into the raw layer as Parquet.
 
@@ -106,7 +120,8 @@ def land(
     it is taken as the whole current extract. ``new_files_only`` treats it as a
     folder of deliveries: only files not landed before are read, and where
     deliveries repeat a key, staging keeps the newest; ``delivered`` orders them,
-    see ``land_csv``. A root keeps to the mode it began with: a change is an
+    see ``land_csv``. With a ``load_number`` the deliveries are kept apart by it,
+    for ``plans.delivery``. A root keeps to the mode it began with: a change is an
     error, raised before anything is written.
 
     ``source_table`` gives a database table by name, such as
@@ -128,15 +143,18 @@ def land(
             unfit = [bad_record_count()] if CORRUPT in products.columns else []
             return write_parquet(products, layout.raw(table), metrics=unfit)
         path = f"{csv_root}/{table}.csv"
-        if new_files_only:
+        if mode != EXTRACT:
             target, done = layout.deliveries(table), layout.checkpoint(table)
-            return land_csv(spark, path, target, done, RAW[table], delivered=delivered)
+            return land_csv(
+                spark, path, target, done, RAW[table], delivered=delivered, load_number=load_number
+            )
         return write_parquet(
             read_csv(spark, path, RAW[table]), layout.raw(table), metrics=[bad_record_count()]
         )
 
-    claim_mode(spark, layout.modes, CSV_TABLES, DELIVERIES if new_files_only else EXTRACT)
-    return _write_each(spark, write, STAGED_TABLES)
+    mode = MERGED if load_number is not None else DELIVERIES if new_files_only else EXTRACT
+    claim_mode(spark, layout.modes, CSV_TABLES, mode)
+    return write_each(spark, write, STAGED_TABLES)
 
 
 def raw_reader(spark: SparkSession, layout: Layout) -> Callable[[str], DataFrame]:
@@ -144,7 +162,7 @@ def raw_reader(spark: SparkSession, layout: Layout) -> Callable[[str], DataFrame
     modes = landing_modes(spark, layout.modes)
 
     def raw(table):
-        delivered = modes.get(table) == DELIVERIES
+        delivered = modes.get(table) in (DELIVERIES, MERGED)
         return spark.read.parquet(layout.deliveries(table) if delivered else layout.raw(table))
 
     return raw
@@ -196,7 +214,7 @@ def stage(spark: SparkSession, layout: Layout) -> Metrics:
         metrics = [F.count_if(F.col(date).isNull()).alias("undated")] if date else []
         return write_parquet(staged_table(table, raw), layout.staging(table), metrics=metrics)
 
-    return _write_each(spark, write, STAGED_FROM)
+    return write_each(spark, write, STAGED_FROM)
 
 
 def check(spark: SparkSession, layout: Layout, allowed_rejects: int = 0) -> None:
@@ -212,19 +230,51 @@ def check(spark: SparkSession, layout: Layout, allowed_rejects: int = 0) -> None
 
 
 def build_star(spark: SparkSession, layout: Layout) -> Metrics:
+    """Write all star tables, then publish them together.
+
+    Until then, and if the run is cut off, readers see the star as it was.
+    """
+    coming = catalog.version_of(spark, layout.manifest, STAR_LAYER).next(built_from=0)
+    parts: dict[str, list[Part]] = {}
+
     def write(table):
         df = star_table(table, lambda name: spark.read.parquet(layout.staging(name)))
-        months = ("year", "month") if table == "fact_sales" else ()
-        return write_parquet(df, layout.star(table), partition_by=months)
+        months = MONTHS if table == "fact_sales" else ()
+        path = catalog.folder_of(layout.star, table, coming.number)
+        metrics = write_parquet(df, path, partition_by=months)
+        rows = metrics["row_count"]
+        parts[table] = catalog.written_parts(spark, layout.star, table, coming.number, rows, months)
+        return metrics
+
+    written = write_each(spark, write, STAR_FROM)
+    catalog.publish(spark, layout.manifest, coming.having(p for t in STAR_FROM for p in parts[t]))
+    return written
+
+
+def read_star(
+    spark: SparkSession, layout: Layout, version: Version | None = None
+) -> Callable[[str], DataFrame]:
+    """The star tables by name, all of one published version, by default the newest."""
+    version = version or catalog.version_of(spark, layout.manifest, STAR_LAYER)
+    if not version.number:
+        raise LookupError(f"no star was published below {layout.root}")
 
-    return _write_each(spark, write, STAR_FROM)
+    def table(name: str) -> DataFrame:
+        months = MONTHS if name == "fact_sales" else ()
+        return catalog.read_parts(spark, layout.star, version.of(name), STAR[name], months)
+
+    return table
 
 
 def load(
     spark: SparkSession, layout: Layout, sink: Callable[[DataFrame, str], int]
 ) -> Mapping[str, int]:
-    """Hand every star table to ``sink``, one after the other, to spare the database."""
-    return {t: sink(spark.read.parquet(layout.star(t)), t) for t in STAR_TABLES}
+    """Hand every star table to ``sink``, one after the other, to spare the database.
+
+    All are of one version, also while another run publishes the next.
+    """
+    star_of = read_star(spark, layout)
+    return {t: sink(star_of(t), t) for t in STAR_TABLES}
 
 
 def run_daily(

@@ -88,3 +88,12 @@ CONTROL = _struct(
     source=STRING, watermark=TimestampNTZType(), version=LONG,
     base=LONG, base_rows=LONG, changes=LONG,
 )
+
+# One row per folder that a published version of a layer is made of.
+MANIFEST = _struct(
+    layer=STRING, version=LONG, built_from=LONG, table_name=STRING, partition=STRING,
+    path=STRING, row_count=LONG, keyless=LONG,
+)
+
+# Where the rows of an order lie, as of the version that put them there.
+ORDER_MONTHS = _struct(order_id=STRING, year=INT, month=INT, since=LONG)

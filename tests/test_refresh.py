@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from shelfmark.operators.quality import DataQualityError
 from shelfmark.plans import refresh
-from shelfmark.plans.refresh import STAR_TABLES, Layout, run_daily
+from shelfmark.plans.refresh import STAR_TABLES, Layout, read_star, run_daily
 from shelfmark.schemas import PRODUCT_ELEMENT, RAW
 from shelfmark.sinks.files import write_csv
 from shelfmark.sources.control import LandingModeError
@@ -65,7 +65,7 @@ class Shop:
         return run_daily(self.spark, self.layout, str(self.root / "in"), self.table, **options)
 
     def star(self, name):
-        return self.spark.read.parquet(self.layout.star(name))
+        return read_star(self.spark, self.layout)(name)
 
 
 @pytest.fixture
