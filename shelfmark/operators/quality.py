@@ -92,6 +92,11 @@ def key_report(
     tables: Mapping[str, DataFrame], rules: Sequence[tuple[str, str]] = KEY_RULES
 ) -> DataFrame:
     """Two rows per rule, ``not_empty`` and ``key_not_null``, with metric and verdict."""
+    return key_checks(profiles(tables, rules))
+
+
+def key_checks(counted: DataFrame) -> DataFrame:
+    """The report of ``key_report`` from profiles that are known: table_name, key_column, row_count, null_count."""
     checks = F.array(
         F.struct(
             F.lit("not_empty").alias("rule"),
@@ -104,7 +109,7 @@ def key_report(
             (F.col("null_count") == 0).alias("passed"),
         ),
     )
-    return profiles(tables, rules).select("table_name", "key_column", F.inline(checks))
+    return counted.select("table_name", "key_column", F.inline(checks))
 
 
 def reject_report(
@@ -144,16 +149,19 @@ def integrity_report(
 ) -> DataFrame:
     """Orphans, repeated keys and values out of range: table_name, key_column, rule, metric, passed.
 
-    Orphans are one anti join per reference, and the parent's keys are reduced to
-    one each first, so a hot parent key meets one row; repeated keys are one
+    Orphans are one anti join per reference, of the child's distinct keys with their
+    counts and the parent's distinct keys, so a key that a third of all rows have is
+    counted where these rows are and is one row in the join; repeated keys are one
     partial aggregate per key; all ranges of a table are counted in one pass.
     NULL keys refer to nothing, and NULL values have no range: neither counts.
     """
     reports = []
     for child, column, parent, key in references:
         rows = tables[child].select(F.col(column).alias("k")).where(F.col("k").isNotNull())
+        keys = rows.groupBy("k").agg(F.count("*").alias("n"))
         known = tables[parent].select(F.col(key).alias("k")).distinct()
-        reports.append(_finding(rows.join(known, "k", "left_anti").agg(F.count("*").alias("metric")), child, column, "orphan"))
+        lost = F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("metric")
+        reports.append(_finding(keys.join(known, "k", "left_anti").agg(lost), child, column, "orphan"))
     for table, columns in unique:
         keys = tables[table].dropna(subset=list(columns)).groupBy(*columns).agg(F.count("*").alias("n"))
         surplus = keys.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("metric"))
