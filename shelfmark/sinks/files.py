@@ -45,9 +45,11 @@ def write_parquet(
     return observation.get
 
 
-def write_csv(df: DataFrame, path: str, metrics: Sequence[Column] = ()) -> Mapping[str, Any]:
+def write_csv(
+    df: DataFrame, path: str, metrics: Sequence[Column] = (), mode: str = "overwrite"
+) -> Mapping[str, Any]:
     """CSV with a header line in every file."""
     observed, observation = _observed(df, metrics)
     options = {k: CSV_OPTIONS[k] for k in ("header", "escape")}
-    observed.write.mode("overwrite").options(**options).csv(path)
+    observed.write.mode(mode).options(**options).csv(path)
     return observation.get
