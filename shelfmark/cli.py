@@ -13,6 +13,10 @@ For large sources, ``--split sellers:id:1:9000000:64`` reads a table over 64
 connections along a column, ``--connections`` bounds those of the load, and
 ``--input-gb`` sets how many shuffle partitions Spark begins with.
 ``--warehouse`` names another database to load into than ``--jdbc`` reads from.
+
+With ``--merge`` the files below ``--csv`` are deliveries that are merged into
+staging and star at the cost of what they change, see ``plans.delivery``. All
+steps of a root are called with it or none.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from functools import partial
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from shelfmark.plans import refresh
+from shelfmark.plans import delivery, refresh
 from shelfmark.schemas import RAW
 from shelfmark.session import build_session
 from shelfmark.sinks.jdbc import load_table
@@ -52,6 +56,7 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--whole-files", action="store_true", help="an answer is a file, not a line")
     args.add_argument("--element", help="JSON file with the schema of a product, else as answered")
     args.add_argument("--new-files-only", action="store_true", help="--csv holds deliveries")
+    args.add_argument("--merge", action="store_true", help="--csv holds deliveries, to be merged")
     args.add_argument("--delivery-order", choices=sorted(ORDERS), default="time")
     args.add_argument("--allow-rejects", type=int, default=0, metavar="LINES")
     args.add_argument("--jdbc", action="append", default=[], metavar="OPTION=VALUE")
@@ -109,21 +114,26 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
                 with open(args.element) as file:
                     element = StructType.fromJson(json.load(file))
             products = partial(read_payloads, spark, args.answers, element, args.whole_files)
-        refresh.land(
+        land = (
+            delivery.land_deliveries
+            if args.merge
+            else partial(refresh.land, new_files_only=args.new_files_only)
+        )
+        land(
             spark,
             layout,
             args.csv,
             lambda table: read_table(spark, database, table, split.get(table)),
             products,
-            args.new_files_only,
-            ORDERS[args.delivery_order](),
+            delivered=ORDERS[args.delivery_order](),
         )
+    steps = delivery if args.merge else refresh
     if args.step in ("stage", "daily"):
-        refresh.stage(spark, layout)
+        steps.stage(spark, layout)
     if args.step in ("check", "daily"):
-        refresh.check(spark, layout, args.allow_rejects)
+        steps.check(spark, layout, args.allow_rejects)
     if args.step in ("star", "daily"):
-        refresh.build_star(spark, layout)
+        steps.build_star(spark, layout)
     if args.step in ("load", "daily"):
         refresh.load(
             spark, layout, lambda df, table: load_table(df, warehouse, table, args.connections)

@@ -27,6 +27,13 @@ def _order_of(df: DataFrame, name: str) -> Column:
     return column if _sortable(df.schema[name].dataType) else F.to_json(F.struct(column))
 
 
+def order_within_keys(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> list[Column]:
+    """The order by which ``one_per_key`` chooses: total up to fully equal rows."""
+    rest = [name for name in df.columns if name not in keys and name not in newest]
+    order = [F.col(name).desc_nulls_last() for name in newest]
+    return order + [_order_of(df, name).asc_nulls_last() for name in rest]
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
     """Keep one row of every key: the highest in ``newest``, then the lowest in the rest.
 
@@ -34,9 +41,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ())
     row. Spark plans ``rank = 1`` with a group limit below the shuffle: every
     task sends at most one row per key, however many copies a hot key has.
     """
-    rest = [name for name in df.columns if name not in keys and name not in newest]
-    order = [F.col(name).desc_nulls_last() for name in newest]
-    order += [_order_of(df, name).asc_nulls_last() for name in rest]
+    order = order_within_keys(df, keys, newest)
     if not order:
         return df.dropDuplicates(list(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

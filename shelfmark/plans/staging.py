@@ -21,7 +21,7 @@ from shelfmark.sources.files import CORRUPT, DELIVERED, SOURCE_FILE
 _RANK = "__rank"
 
 
-def _delivery(raw: DataFrame) -> list[str]:
+def delivery_columns(raw: DataFrame) -> list[str]:
     """The columns that order deliveries, where the landing noted them."""
     if DELIVERED not in raw.columns:
         return []
@@ -30,7 +30,7 @@ def _delivery(raw: DataFrame) -> list[str]:
 
 def _newest(df: DataFrame, keys: list[str], *versions: str) -> DataFrame:
     """One row per key: the newest delivery where the landing noted it, then ``versions``."""
-    newest = one_per_key(df, keys, newest=[*_delivery(df), *versions])
+    newest = one_per_key(df, keys, newest=[*delivery_columns(df), *versions])
     return newest.drop(DELIVERED, SOURCE_FILE)
 
 
@@ -40,7 +40,7 @@ def newest_delivered(raw: DataFrame, *keys: str) -> DataFrame:
     Rows of a key in older files are superseded. Rows without a key have nothing
     to supersede and stay, as does everything where no delivery is noted.
     """
-    versions = _delivery(raw)
+    versions = delivery_columns(raw)
     if not versions:
         return raw
     order = [F.col(name).desc_nulls_last() for name in versions]
@@ -50,20 +50,28 @@ def newest_delivered(raw: DataFrame, *keys: str) -> DataFrame:
     return newest.unionByName(raw.filter(keyless))
 
 
-def stage_customers(raw: DataFrame) -> DataFrame:
-    named = having_keys(raw, "customer_id").select(
+def named_customers(raw: DataFrame) -> DataFrame:
+    return having_keys(raw, "customer_id").select(
         text_key("customer_id").alias("customer_id"),
         F.col("customer_unique_id").alias("customer_name"),
-        *_delivery(raw),
+        *delivery_columns(raw),
     )
-    return _newest(named, ["customer_id"]).select(
+
+
+def with_contact(customers: DataFrame) -> DataFrame:
+    return customers.select(
         "customer_id",
         "customer_name",
         contact_email("customer_name").alias("email"),
         F.lit(SIGNUP_DATE).cast("date").alias("signup_date"),
+        *delivery_columns(customers),
     )
 
 
+def stage_customers(raw: DataFrame) -> DataFrame:
+    return with_contact(_newest(named_customers(raw), ["customer_id"]))
+
+
 def average_prices(order_items: DataFrame) -> DataFrame:
     """The mean price of every product over all lines; of a line delivered again, the newest."""
     lines = newest_delivered(order_items, "order_id", "order_item_id")
@@ -80,43 +88,59 @@ def stage_products(raw: DataFrame, order_items: DataFrame) -> DataFrame:
     each line once. Copies of a product are dropped before the join, and both
     sides are then spread by product_id, so the join adds no shuffle.
     """
-    described = having_keys(raw, "product_id").select(
+    products = _newest(described_products(raw), ["product_id"])
+    return with_prices(products, average_prices(order_items))
+
+
+def described_products(raw: DataFrame) -> DataFrame:
+    return having_keys(raw, "product_id").select(
         text_key("product_id").alias("product_id"),
         F.col("product_category_name").alias("category"),
-        *_delivery(raw),
+        *delivery_columns(raw),
     )
-    products = _newest(described, ["product_id"])
-    return products.join(average_prices(order_items), "product_id", "left").select(
+
+
+def with_prices(products: DataFrame, prices: DataFrame) -> DataFrame:
+    return products.join(prices, "product_id", "left").select(
         "product_id",
         product_label("category", "product_id").alias("product_name"),
         "category",
         "price",
+        *delivery_columns(products),
     )
 
 
-def stage_orders(raw: DataFrame) -> DataFrame:
-    """An unreadable purchase time gives a NULL order_date; the order is kept."""
-    dated = having_keys(raw, "order_id").select(
+def dated_orders(raw: DataFrame) -> DataFrame:
+    return having_keys(raw, "order_id").select(
         text_key("order_id").alias("order_id"),
         text_key("customer_id").alias("customer_id"),
         F.col("order_status").alias("status"),
         parsed_date(raw, "order_purchase_timestamp", TIMESTAMP_PATTERN).alias("order_date"),
-        *_delivery(raw),
+        *delivery_columns(raw),
     )
-    return _newest(dated, ["order_id"])
 
 
-def stage_order_items(raw: DataFrame) -> DataFrame:
-    """One row per order line. Lines without an order id stay, for the gate to report."""
-    lines = having_keys(raw, "order_item_id").select(
+def stage_orders(raw: DataFrame) -> DataFrame:
+    """An unreadable purchase time gives a NULL order_date; the order is kept."""
+    return _newest(dated_orders(raw), ["order_id"])
+
+
+def typed_lines(raw: DataFrame) -> DataFrame:
+    """Every raw line, also repeated ones and those without a key."""
+    return raw.select(
         text_key("order_id").alias("order_id"),
         "order_item_id",
         text_key("product_id").alias("product_id"),
         text_key("seller_id").alias("seller_id"),
         "price",
         "freight_value",
-        *_delivery(raw),
+        *delivery_columns(raw),
     )
+
+
+def stage_order_items(raw: DataFrame) -> DataFrame:
+    """One row per order line. Lines without an order id stay, for the gate to report."""
+    lines = having_keys(typed_lines(raw), "order_item_id")
     return _newest(lines, ["order_id", "order_item_id"])
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-# Columns the readers add: an unreadable line, and where and when a row came in.
+# Columns the readers add: an unreadable line, and where, when and by which load a row came in.
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
 DELIVERED = "_delivered_at"
+LOAD = "_load"
 
 # Quotes inside a quoted cell are doubled, and a backslash is just a character.
 CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False}

@@ -142,8 +142,8 @@ def with_raw(body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def with_staged(body: str) -> str:
-    ctes = [f"raw_{name} AS ({sql})" for name, sql in RAW.items()]
+def with_staged(body: str, raw: dict[str, str] = RAW) -> str:
+    ctes = [f"raw_{name} AS ({sql})" for name, sql in raw.items()]
     ctes += [f"{_WITH_NAMES[name]} AS ({sql})" for name, sql in STAGED.items()]
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -288,6 +288,40 @@ _OUTSIDE = [
     for table, column, low, high in RANGES
 ]
 
+_TABLE_CHECKSUMS = _union(
+    [
+        f"SELECT 'staging.{t}' AS table_name, COUNT(*) AS row_count, {_checksum(STAGING[t])} AS checksum "
+        f"FROM {_WITH_NAMES[t]}"
+        for t in STAGED
+    ]
+    + [
+        f"SELECT 'star.{t}' AS table_name, COUNT(*) AS row_count, {_checksum(STAR_TYPES[t])} AS checksum "
+        f"FROM ({sql})"
+        for t, sql in STAR.items()
+    ]
+)
+
+# The raw tables as they are after both deliveries of ``delivery_refresh``.
+DELIVERED = {
+    **RAW,
+    "customers": """
+        SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+               c_name || CASE WHEN c_custkey % 100 = 3 THEN ' II' ELSE '' END AS customer_unique_id
+        FROM customer""",
+    "orders": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+               CASE WHEN o_orderkey % 100 = 7 THEN 'M' ELSE o_orderstatus END AS order_status,
+               CASE WHEN o_orderkey % 100 = 7 THEN o_orderdate + INTERVAL 40 DAY
+                    WHEN o_orderkey % 100 <> 8 THEN o_orderdate END AS order_purchase_timestamp
+        FROM orders""",
+    "order_items": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+               CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+               CASE WHEN l_orderkey % 100 = 7 THEN l_extendedprice + 1 ELSE l_extendedprice END AS price,
+               l_extendedprice * l_tax AS freight_value
+        FROM lineitem""",
+}
+
 ORACLES: dict[str, str] = {
     # sources
     "src_csv": RAW["order_items"],
@@ -296,6 +330,11 @@ ORACLES: dict[str, str] = {
                   brand || chr(10) || '"' || category || '", boxed' AS description
            FROM raw_product_metadata"""
     ),
+    "src_csv_multiline_split": with_raw(
+        """SELECT order_id, order_item_id, product_id, seller_id, price, freight_value,
+                  'said "' || seller_id || '",' || chr(13) || chr(10) || chr(10) || 'then "' || product_id || '"' AS remark
+           FROM raw_order_items"""
+    ),
     "src_parquet": "SELECT * FROM lineitem",
     "api_products_explode": """
         SELECT CAST(p_partkey * 3 + i AS VARCHAR) AS id, p_brand AS brand,
@@ -445,18 +484,6 @@ ORACLES: dict[str, str] = {
                   oi.order_item_id * oi.price AS sale_amount, 1 AS units, oi.price AS line_revenue
            FROM order_items oi JOIN orders_staged o ON oi.order_id = o.order_id"""
     ),
-    "full_refresh": with_staged(
-        _union(
-            [
-                f"SELECT 'staging.{t}' AS table_name, COUNT(*) AS row_count, {_checksum(STAGING[t])} AS checksum "
-                f"FROM {_WITH_NAMES[t]}"
-                for t in STAGED
-            ]
-            + [
-                f"SELECT 'star.{t}' AS table_name, COUNT(*) AS row_count, {_checksum(STAR_TYPES[t])} AS checksum "
-                f"FROM ({sql})"
-                for t, sql in STAR.items()
-            ]
-        )
-    ),
+    "full_refresh": with_staged(_TABLE_CHECKSUMS),
+    "delivery_refresh": with_staged(_TABLE_CHECKSUMS, DELIVERED),
 }

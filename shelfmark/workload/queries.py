@@ -6,7 +6,7 @@ executor can reach.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +24,7 @@ from shelfmark.functions import stock_status as status_of
 from shelfmark.functions.cleaning import DATE_PATTERN, TIMESTAMP_PATTERN
 from shelfmark.operators import conform, incremental, quality, synth
 from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
-from shelfmark.plans import refresh, staging, star
+from shelfmark.plans import delivery, refresh, staging, star
 from shelfmark.plans.refresh import staged_table, star_table
 from shelfmark.schemas import RAW
 from shelfmark.session import scratch_dir
@@ -37,6 +37,7 @@ from shelfmark.sources.files import (
     read_csv,
     read_parquet,
 )
+from shelfmark.sources.multiline import read_multiline_csv
 from shelfmark.sources.payloads import read_payloads
 from shelfmark.streaming.landing import land_csv
 from shelfmark.workload import inputs
@@ -52,6 +53,9 @@ NEVER_LOADED = "returns"
 # The order lines that get an unreadable number and an unreadable price.
 DIRTY_LINE, DIRTY_PRICE = 7, 3
 
+# What the second delivery changes, by order and customer numbers.
+MOVED, UNDATED, LATE, RENAMED, MOVED_DAYS = 7, 8, 1, 3, 40
+
 # For each raw table a column and a value that counts as missing there.
 MISSING_VALUES = (
     ("customers", "customer_unique_id", "Customer#000000000"),
@@ -124,6 +128,15 @@ def src_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data_columns(read_csv(spark, path, RAW["product_metadata"], multiline=True))
 
 
+@query
+def src_csv_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line with a remark of several lines, in files that are read block by block."""
+    path = scratch_dir(spark, "remarks_csv")
+    remark = F.concat(F.lit('said "'), "seller_id", F.lit('",\r\n\nthen "'), "product_id", F.lit('"'))
+    write_csv(inputs.order_items(spark, sf_dir).withColumn("remark", remark), path)
+    return data_columns(read_multiline_csv(spark, path, RAW["order_items"]))
+
+
 @query
 def src_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/lineitem.parquet")
@@ -524,6 +537,52 @@ def dim_products_no_metadata_cols(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@query
+def delivery_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over deliveries that are merged: rows and a checksum of staging and star after both.
+
+    The second brings orders that came late, orders with another date and state,
+    some of them without a readable date, their lines at another price, and new
+    names of customers.
+    """
+    root = scratch_dir(spark, "deliveries")
+    raw = inputs.raw_tables(spark, sf_dir)
+    orders, lines, customers = _purchase_text(raw["orders"]), raw["order_items"], raw["customers"]
+    key = F.col("order_id").cast("long")
+    moved, undated, late = key % 100 == MOVED, key % 100 == UNDATED, key % 50 == LATE
+    later = F.date_add(F.to_date("order_purchase_timestamp"), MOVED_DAYS).cast("string")
+    purchase = F.when(moved, F.concat(later, F.lit(" 00:00:00"))).when(undated, "n/a")
+    changed = orders.withColumns(
+        {
+            "order_status": F.when(moved, "M").otherwise(F.col("order_status")),
+            "order_purchase_timestamp": F.coalesce(purchase, "order_purchase_timestamp"),
+        }
+    )
+    renamed = customers.where(F.col("customer_id").cast("long") % 100 == RENAMED)
+    deliveries = (
+        {"customers": customers, "products": raw["products"], "orders": orders.where(~late), "order_items": lines},
+        {
+            "customers": renamed.withColumn("customer_unique_id", F.concat("customer_unique_id", F.lit(" II"))),
+            "orders": changed.where(moved | undated | late),
+            "order_items": lines.where(moved).withColumn("price", F.col("price") + 1),
+        },
+    )
+    layout = refresh.Layout(f"{root}/lake")
+    for delivered in deliveries:
+        for name, df in delivered.items():
+            # All copies of a line in one file: those in the newest file of a line count.
+            by = next(c for c in ("order_id", "customer_id", "product_id") if c in df.columns)
+            write_csv(df.repartition(by), f"{root}/source/{name}.csv", mode="append")
+        delivery.run_deliveries(
+            spark, layout, f"{root}/source", raw.__getitem__, product_metadata=lambda: raw["product_metadata"]
+        )
+    staged, starred = delivery.staged_reader(spark, layout), refresh.read_star(spark, layout)
+    return _checksums(
+        {f"staging.{t}": staged(t) for t in refresh.STAGED_TABLES}
+        | {f"star.{t}": starred(t) for t in refresh.STAR_TABLES}
+    )
+
+
 @query
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily run from files and tables to the star; rows and a checksum of every table written."""
@@ -544,15 +603,20 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_table=raw.__getitem__,
         product_metadata=partial(read_payloads, spark, f"{root}/source/answers"),
     )
-    written = {
-        **{f"staging.{t}": layout.staging(t) for t in refresh.STAGED_TABLES},
-        **{f"star.{t}": layout.star(t) for t in refresh.STAR_TABLES},
-    }
+    starred = refresh.read_star(spark, layout)
+    return _checksums(
+        {f"staging.{t}": read_parquet(spark, layout.staging(t)) for t in refresh.STAGED_TABLES}
+        | {f"star.{t}": starred(t) for t in refresh.STAR_TABLES}
+    )
+
+
+def _checksums(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and a checksum of every table."""
     return _union(
-        read_parquet(spark, path)
-        .agg(quality.rows_metric(), _checksum(read_parquet(spark, path)).alias("checksum"))
-        .select(F.lit(name).alias("table_name"), "row_count", "checksum")
-        for name, path in written.items()
+        df.agg(quality.rows_metric(), _checksum(df).alias("checksum")).select(
+            F.lit(name).alias("table_name"), "row_count", "checksum"
+        )
+        for name, df in tables.items()
     )
 
 

@@ -38,7 +38,7 @@ def exchanges(text):
     return re.findall(r"Exchange (\w+)", text)
 
 
-SIDE_EFFECTS = ("sink_", "src_csv", "land_", "api_", "schema_", "observed_", "dq_gate", "full_")
+SIDE_EFFECTS = ("sink_", "src_csv", "land_", "api_", "schema_", "observed_", "dq_gate", "full_", "delivery_")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(SIDE_EFFECTS)))
