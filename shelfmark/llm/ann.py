@@ -3,18 +3,22 @@
 Index: the largest inner product is turned into the least distance by one more
 component, sqrt(M^2 - |x|^2), M being the largest norm. A bounded sample of
 distinct vectors is halved again and again at the median of its main direction;
-the means of the equal parts are the centroids. Every vector is put into the list
-of its nearest centroid and, where it lies near a border, into those of others
-too whose distance is within a ratio of the least.
+the means of the equal parts are the centroids, moved to the means of what is
+nearest to them a few times. Every vector is put into the list of its nearest
+centroid and, where it lies near a border, into that of the next one too if its
+distance is within a ratio of the least.
 
 Search: the centroids are searched by a best-first walk over an in-memory graph
 of their neighbours, which ends when the nearest centroid not yet expanded is
 farther than a ratio of the nearest found. All lists within the ratio are read.
-The ratio is the least that gave the recall asked for on the sample.
-
-Lists are joined to their queries in blocks of bounded size. A list of any length
-is many blocks, and every block gives each of its queries at most k candidates,
-with exact scores.
+The ratio is the least that gives the recall asked for on the sample: the share
+of near vectors is known for every ratio from how far the lists they are in are.
+
+A query's nearest lists are read first. The k-th best score found there is a floor
+for all its other lists: these give only candidates that reach it, so a query gets
+few candidates however many lists it reads. Lists are joined to their queries in
+blocks of bounded size; a list of any length is many blocks, and every block gives
+each of its queries at most k candidates, with exact scores.
 """
 
 from __future__ import annotations
@@ -33,9 +37,11 @@ from shelfmark.llm.common import stored
 SAMPLE_ROWS = 20_000
 MOST_LISTS = 4096
 LINKS = 16
-REPLICAS = 4
-BORDER = 0.08
-RECALL = 0.97
+REPLICAS = 2
+BORDER = 0.05
+RECALL = 0.95
+ROUNDS = 3
+FIRST_LISTS = 3
 TEST_QUERIES = 256
 BLOCK_VECTORS = 8192
 BLOCK_QUERIES = 4096
@@ -78,6 +84,17 @@ def _halved(points: np.ndarray, parts: int) -> list[np.ndarray]:
     return _halved(points[order[:cut]], left) + _halved(points[order[cut:]], parts - left)
 
 
+def _refined(centroids: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Centroids moved to the means of the points nearest to them; one without points stays."""
+    for _ in range(ROUNDS):
+        at = np.concatenate([_distances(points[i : i + 1024], centroids).argmin(axis=1) for i in range(0, len(points), 1024)])
+        sums = np.zeros_like(centroids)
+        np.add.at(sums, at, points)
+        held = np.bincount(at, minlength=len(centroids))
+        centroids = np.where(held[:, None] > 0, sums / np.maximum(held, 1)[:, None], centroids)
+    return centroids
+
+
 class CentroidGraph:
     """Centroids, each linked to its nearest ones; links go both ways."""
 
@@ -157,7 +174,7 @@ def fit(sample: np.ndarray, largest: float, lists: int, k: int) -> dict:
     """Graph, border and search ratio, fitted on a sample of vectors."""
     points = _augmented(sample, largest)
     points = points[np.sort(np.unique(points, axis=0, return_index=True)[1])]
-    graph = CentroidGraph.of(np.array(_halved(points, min(lists, len(points)))))
+    graph = CentroidGraph.of(_refined(np.array(_halved(points, min(lists, len(points)))), points))
     rng = np.random.default_rng(3)
     tests = rng.permutation(len(points))[:TEST_QUERIES]
     belongs = np.zeros((len(points), len(graph.centroids)), bool)
@@ -169,14 +186,21 @@ def fit(sample: np.ndarray, largest: float, lists: int, k: int) -> dict:
     scores = asked[:, :-1] @ points[:, :-1].T
     scores[np.arange(len(tests)), tests] = -np.inf
     wanted = np.argsort(-scores, axis=1)[:, : min(k, len(points) - 1)]
-    for ratio in (0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.6, 0.8, 1.2, 2.0, 1e9):
-        met = graph.search(asked, ratio)
-        rows, at = lists_within(met, ratio)
+    wanted = wanted if wanted.shape[1] else tests[:, None]
+    # How far beyond the nearest list the nearest one with the wanted vector is.
+    far = graph.search(asked, math.inf)
+    needed = np.array([np.where(belongs[w], d, np.inf).min(axis=1) for w, d in zip(wanted, far)])
+    apart = far.min(axis=1) > 1e-9  # at a centroid no ratio tells lists apart
+    needed = np.sort((needed[apart] / far.min(axis=1)[apart, None] - 1).ravel())
+    ratio = needed[min(len(needed) - 1, math.ceil(RECALL * len(needed)))] + 1e-9 if len(needed) else math.inf
+    while True:  # the walk may pass some lists by
+        rows, at = lists_within(graph.search(asked, ratio), ratio)
         read = np.zeros((len(tests), len(graph.centroids)), bool)
         read[rows, at] = True
-        found = [(belongs[w] & r).any(axis=1).mean() if len(w) else 1.0 for w, r in zip(wanted, read)]
-        if np.mean(found) >= RECALL:
+        found = [(belongs[w] & r).any(axis=1).mean() for w, r in zip(wanted, read)]
+        if np.mean(found) >= RECALL or ratio > 1e6:
             break
+        ratio *= 1.1
     return {"graph": vars(graph), "ratio": ratio, "largest": largest}
 
 
@@ -214,7 +238,10 @@ def index_of(vectors: DataFrame, k: int, sample_rows: int = SAMPLE_ROWS) -> dict
 
 
 def _listed(vectors: DataFrame, model: dict, query: bool) -> DataFrame:
-    """(list, row, vec_id, vector) for the lists that a vector is in, or that a query reads."""
+    """(list, row, vec_id, vector) for the lists that a vector is in, or that a query reads.
+
+    ``place`` is that of the list among those of the vector or query, nearest first.
+    """
 
     def assign(frames):
         graph = CentroidGraph(**model["graph"])
@@ -224,12 +251,15 @@ def _listed(vectors: DataFrame, model: dict, query: bool) -> DataFrame:
                 points = _augmented(_matrix(some["vector"]), model["largest"])
                 if query:
                     points[:, -1] = 0
-                    rows, at = lists_within(graph.search(points, model["ratio"]), model["ratio"])
+                    met = graph.search(points, model["ratio"])
+                    rows, at = lists_within(met, model["ratio"])
                 else:
-                    rows, at = lists_within(graph.search(points, BORDER), BORDER, REPLICAS)
-                yield some.iloc[rows].assign(list=at.astype(np.int32))
+                    met = graph.search(points, BORDER)
+                    rows, at = lists_within(met, BORDER, REPLICAS)
+                place = np.argsort(np.argsort(met, axis=1, kind="stable"), axis=1)[rows, at]
+                yield some.iloc[rows].assign(list=at.astype(np.int32), place=place.astype(np.int32))
 
-    return vectors.mapInPandas(assign, "row long, vec_id long, vector array<double>, list int")
+    return vectors.mapInPandas(assign, "row long, vec_id long, vector array<double>, list int, place int")
 
 
 def nearest(
@@ -248,15 +278,23 @@ def nearest(
         return rows.select(
             F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")
         ).limit(0)
-    postings = stored(_listed(rows, model, False), "postings")
+    postings = stored(_listed(rows, model, False).drop("place"), "postings")
     asked = rows.where(F.col("vec_id") % every == 0)
-    found = stored(_best(_listed(asked, model, True), postings, k), "found")
+    probes = stored(_listed(asked, model, True), "probes")
+    no_floor = F.lit(-math.inf)
+    first = probes.where(F.col("place") < FIRST_LISTS).withColumn("floor", no_floor)
+    first = stored(_candidates(first, postings, k), "first")
+    floors = _ranked(first, k).where(F.col("rank") == k).select("query_row", F.col("score").alias("floor"))
+    rest = probes.where(F.col("place") >= FIRST_LISTS).join(floors, F.col("row") == F.col("query_row"), "left")
+    rest = rest.drop("query_row").withColumn("floor", F.coalesce("floor", no_floor))
+    found = stored(_ranked(first.unionByName(_candidates(stored(rest, "rest"), postings, k)), k), "found")
     # Lists may hold fewer than k candidates together; such queries read all lists.
     wanted = min(k, rows.count() - 1)
     served = found.groupBy("query_row").count().where(F.col("count") >= wanted)
     short = stored(asked.join(served, F.col("row") == F.col("query_row"), "left_anti"), "short") if wanted else asked.limit(0)
     if wanted and short.count():
-        everywhere = _best(_listed(short, model | {"ratio": math.inf}, True), postings, k)
+        all_lists = stored(_listed(short, model | {"ratio": math.inf}, True).withColumn("floor", no_floor), "all-lists")
+        everywhere = _ranked(_candidates(all_lists, postings, k), k)
         again = short.select(F.col("row").alias("again"))
         found = found.join(again, F.col("query_row") == F.col("again"), "left_anti").unionByName(everywhere)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -264,10 +302,11 @@ def nearest(
 
 def _compared(k: int):
     def compare(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        """The k best of the held vectors for each query."""
+        """The k best of the held vectors for each query, as far as they reach its floor."""
         out = []
         if len(asked) and len(held):
             q, x = _matrix(asked["vector"]), _matrix(held["vector"])
+            floor = asked["floor"].to_numpy(np.float64)
             rows, ids = held["row"].to_numpy(), held["vec_id"].to_numpy()
             slack = 1e-9 * float(np.abs(q).max() * np.abs(x).max()) * q.shape[1]
             for start in range(0, len(q), 256):
@@ -276,6 +315,7 @@ def _compared(k: int):
                     bound = np.partition(rough, len(x) - k - 1, axis=1)[:, len(x) - k - 1] - slack
                 else:
                     bound = np.full(len(rough), -np.inf)
+                bound = np.maximum(bound, floor[start : start + 256] - slack)
                 for i in range(len(rough)):
                     own = asked["row"].iat[start + i]
                     near = np.flatnonzero(rough[i] >= bound[i])
@@ -283,6 +323,7 @@ def _compared(k: int):
                     # Summed alike for all, so that equal vectors tie exactly.
                     exact = (x[near] * q[start + i]).sum(axis=1)
                     best = np.lexsort((rows[near], ids[near], -exact))[:k]
+                    best = best[exact[best] >= floor[start + i]]
                     out.append((own, asked["vec_id"].iat[start + i], rows[near][best], ids[near][best], exact[best]))
         sizes = [len(o[2]) for o in out]
         return pd.DataFrame(
@@ -298,30 +339,31 @@ def _compared(k: int):
     return compare
 
 
-def _best(probes: DataFrame, postings: DataFrame, k: int) -> DataFrame:
-    """query_row, query_id, rank, row, vec_id, score from the lists that the queries read."""
-    probes = stored(probes, "probes")
+def _candidates(probes: DataFrame, postings: DataFrame, k: int) -> DataFrame:
+    """query_row, query_id, row, vec_id, score from the lists that the probes read; replicas show more than once."""
     # One row for each list, at most MOST_LISTS.
     v_blocks = postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("v_blocks"))
     q_blocks = probes.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("q_blocks"))
     blocks = F.broadcast(stored(v_blocks.join(q_blocks, "list"), "lists"))
 
-    def spread(table, own, other):
+    def spread(table, own, other, *more):
         return (
             table.join(blocks, "list")
             .withColumn(own, F.pmod(F.xxhash64("row"), F.col(f"{own}_blocks")).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
-            .select("list", "v", "q", "row", "vec_id", "vector")
+            .select("list", "v", "q", "row", "vec_id", "vector", *more)
         )
 
-    asked = spread(probes, "q", "v").groupBy("list", "v", "q")
+    asked = spread(probes, "q", "v", "floor").groupBy("list", "v", "q")
     held = spread(postings, "v", "q").groupBy("list", "v", "q")
-    found = asked.cogroup(held).applyInPandas(
+    return asked.cogroup(held).applyInPandas(
         _compared(k), "query_row long, query_id long, row long, vec_id long, score double"
     )
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best rows of each query with their rank; replicas, which sort next to each other, count once."""
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
-    return (
-        found.dropDuplicates(["query_row", "row"])
-        .withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-    )
+    before = F.lag("row").over(best)
+    once = found.withColumn("before", before).where(F.col("before").isNull() | (F.col("before") != F.col("row")))
+    return once.drop("before").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
