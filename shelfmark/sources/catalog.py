@@ -134,11 +134,17 @@ def written_parts(
 
 
 def read_parts(
-    spark: SparkSession, layer_path: str, parts: Sequence[Part], schema: StructType, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    layer_path: str,
+    parts: Sequence[Part],
+    schema: StructType | None,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """The rows of the folders; ``schema`` is that of a table without any."""
+    """The rows of the folders; ``schema`` is that of a table without any, None where there is always one."""
     paths = [f"{layer_path}/{p.path}" for p in parts if p.path]
     if not paths:
+        if schema is None:
+            raise LookupError(f"no folders below {layer_path}")
         return spark.createDataFrame([], schema)
     tables = {p.table for p in parts}
     if len(tables) > 1:
