@@ -452,6 +452,27 @@ ORACLES: dict[str, str] = {
     ),
     "upsert_snapshot": LATEST_EVENTS,
     "upsert_small_delta": LATEST_EVENTS,
+    "seller_changes": with_raw(
+        """SELECT seller_id, CASE WHEN state <> 'ASIA' THEN seller_name END AS seller_name,
+                  CASE WHEN state = 'AMERICA' THEN 'ELSEWHERE' WHEN state <> 'ASIA' THEN city END AS city,
+                  CASE WHEN state <> 'ASIA' THEN state END AS state,
+                  CASE state WHEN 'EUROPE' THEN 'insert' WHEN 'ASIA' THEN 'delete' ELSE 'update' END AS change
+           FROM raw_sellers WHERE state IN ('EUROPE', 'ASIA', 'AMERICA')"""
+    ),
+    "seller_history": with_raw(
+        """SELECT seller_id, seller_name, city, state, DATE '2024-01-01' AS valid_from,
+                  CASE WHEN state IN ('ASIA', 'AMERICA') THEN DATE '2024-01-02' END AS valid_to
+           FROM raw_sellers WHERE state <> 'EUROPE'
+           UNION ALL
+           SELECT seller_id, seller_name, CASE WHEN state = 'AMERICA' THEN 'ELSEWHERE' ELSE city END, state,
+                  DATE '2024-01-02', DATE '2024-01-03'
+           FROM raw_sellers WHERE state IN ('EUROPE', 'AMERICA')
+           UNION ALL
+           SELECT seller_id, seller_name, city, state, DATE '2024-01-03', NULL
+           FROM raw_sellers WHERE state IN ('ASIA', 'AMERICA')"""
+    ),
+    "fact_sales_colocated": with_staged(STAR["fact_sales"]),
+    "stage_products_colocated": with_raw(STAGED["products"]),
     # data quality
     "dq_report": with_staged(DQ),
     "dq_gate": with_staged(DQ),

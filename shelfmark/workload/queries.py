@@ -22,9 +22,9 @@ from shelfmark.functions import (
 )
 from shelfmark.functions import stock_status as status_of
 from shelfmark.functions.cleaning import DATE_PATTERN, TIMESTAMP_PATTERN
-from shelfmark.operators import conform, incremental, quality, synth
+from shelfmark.operators import conform, incremental, quality, snapshots, synth
 from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
-from shelfmark.plans import delivery, refresh, staging, star
+from shelfmark.plans import colocated, delivery, history, refresh, staging, star
 from shelfmark.plans.refresh import staged_table, star_table
 from shelfmark.schemas import RAW
 from shelfmark.session import scratch_dir
@@ -56,6 +56,11 @@ DIRTY_LINE, DIRTY_PRICE = 7, 3
 # What the second delivery changes, by order and customer numbers.
 MOVED, UNDATED, LATE, RENAMED, MOVED_DAYS = 7, 8, 1, 3, 40
 
+# Between two snapshots of the sellers.
+NEW_STATE, LOST_STATE, MOVED_STATE = "EUROPE", "ASIA", "AMERICA"
+SNAPSHOT_DAYS = ("2024-01-01", "2024-01-02", "2024-01-03")
+BUCKETS = 8
+
 # For each raw table a column and a value that counts as missing there.
 MISSING_VALUES = (
     ("customers", "customer_unique_id", "Customer#000000000"),
@@ -436,6 +441,32 @@ def upsert_small_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.upsert(snapshot, newest, ["user_id"], "ts", one_row_per_key=True)
 
 
+def _two_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Sellers before and after: those of one region vanish, those of another move, one region is new."""
+    sellers = inputs.sellers(spark, sf_dir)
+    before = sellers.where(F.col("state") != NEW_STATE)
+    after = sellers.where(F.col("state") != LOST_STATE).withColumn(
+        "city", F.when(F.col("state") == MOVED_STATE, "ELSEWHERE").otherwise(F.col("city"))
+    )
+    return before, after
+
+
+@query
+def seller_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before, after = _two_snapshots(spark, sf_dir)
+    return snapshots.snapshot_changes(_stored(spark, "sellers", before), after, ["seller_id"])
+
+
+@query
+def seller_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history after three snapshots, the third like the first: vanished sellers come back."""
+    before, after = _two_snapshots(spark, sf_dir)
+    layout = refresh.Layout(scratch_dir(spark, "history"))
+    for day, snapshot in zip(SNAPSHOT_DAYS, (before, after, before)):
+        history.record_snapshot(spark, layout, "sellers", snapshot, ["seller_id"], day)
+    return history.read_history(spark, layout, "sellers")
+
+
 # --- data quality
 
 
@@ -528,6 +559,33 @@ def fact_line_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def fact_sales_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From lines and orders in buckets by order: the join moves no row."""
+    path = scratch_dir(spark, "buckets")
+    name = f"shelfmark_{path.rsplit('-', 1)[1]}"
+    tables = {
+        t: colocated.write_bucketed(_staged(spark, sf_dir, t), f"{name}_{t}", f"{path}/{t}", "order_id", BUCKETS)
+        for t in ("order_items", "orders")
+    }
+    return colocated.colocated_fact(spark, tables["order_items"], tables["orders"])
+
+
+@query
+def stage_products_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From products and mean prices in buckets by product."""
+    path = scratch_dir(spark, "buckets")
+    name = f"shelfmark_{path.rsplit('-', 1)[1]}"
+    raw = partial(inputs.raw_table, spark, sf_dir)
+    described = one_per_key(staging.described_products(raw("products")), ["product_id"])
+    prices = staging.average_prices(raw("order_items"))
+    tables = [
+        colocated.write_bucketed(df, f"{name}_{t}", f"{path}/{t}", "product_id", BUCKETS)
+        for t, df in (("products", described), ("prices", prices))
+    ]
+    return colocated.colocated_products(spark, *tables)
+
+
 @query
 def dim_products_no_metadata_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.dim_products(
