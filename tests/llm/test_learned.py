@@ -1,5 +1,9 @@
 """Language ID and toxicity: held-out accuracy, and the cases that have no text."""
 
+import math
+import random
+import zlib
+
 import numpy as np
 import pytest
 
@@ -173,3 +177,23 @@ def test_long_ids_next_to_a_null_id_are_scored(spark):
     docs = spark.createDataFrame([(i, "a b", None, 1, None, None) for i in ids], DOCS).coalesce(1)
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     assert {r["doc_id"] for r in toxicity.toxicity_report(docs, labels).collect()} == set(ids)
+
+
+def test_scores_equal_the_sum_over_all_pairs(spark):
+    """By the formula of the machine, term by term and pair by pair."""
+    random.seed(21)
+    words = ["fool", "group", "tree", "house", "river", "blue", "walk", "stone"]
+    rows = [(i, " ".join(random.choices(words, k=random.randint(0, 6)))) for i in range(300)] + [(900, None), (901, "?!")]
+    labels = [(i, int("fool" in t and "group" in t)) for i, t in rows[:300]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.trained(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, model).collect()}
+    terms, place = model["place"].terms.tolist(), {t: p for p, t in enumerate(model["place"].terms.tolist())}
+    assert len(terms) == len(words)
+    for doc_id, text in rows:
+        at = sorted(place[zlib.crc32(w.encode()) & ((1 << toxicity.HASH_BITS) - 1)] for w in set((text or "").split()) if w in words)
+        raw = model["bias"] + sum(float(model["weights"][p]) for p in at)
+        for i, p in enumerate(at):
+            for q in at[:i]:
+                raw += sum(float(a) * float(b) for a, b in zip(model["factors"][p], model["factors"][q]))
+        assert got[doc_id] == pytest.approx(1 / (1 + math.exp(-raw)), abs=1e-6)
