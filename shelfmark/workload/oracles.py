@@ -288,6 +288,12 @@ _OUTSIDE = [
     for table, column, low, high in RANGES
 ]
 
+# The columns whose loads are profiled.
+PROFILED = {
+    "l_partkey": "l_partkey", "l_suppkey": "l_suppkey", "l_extendedprice": "l_extendedprice",
+    "l_returnflag": "NULLIF(l_returnflag, 'R')",
+}
+
 _TABLE_CHECKSUMS = _union(
     [
         f"SELECT 'staging.{t}' AS table_name, COUNT(*) AS row_count, {_checksum(STAGING[t])} AS checksum "
@@ -487,6 +493,24 @@ ORACLES: dict[str, str] = {
             LEFT JOIN inventory i ON p.product_id = i.product_id
             LEFT JOIN product_metadata m ON p.product_id = m.product_id"""
     ),
+    "profile_history": _union(
+        f"""SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) FILTER ({v} IS NULL) AS null_count,
+                   TRUE AS distinct_fits, TRUE AS median_fits FROM lineitem"""
+        for c, v in PROFILED.items()
+    ),
+    "profile_drift": f"""
+        WITH p AS ({_union(
+            f"""SELECT CAST(year(l_shipdate) AS VARCHAR) AS load, '{c}' AS column_name, COUNT(*) AS n,
+                       COUNT(*) FILTER ({v} IS NULL) AS gone FROM lineitem GROUP BY 1"""
+            for c, v in PROFILED.items()
+        )}), m AS (
+            SELECT load, column_name, n / AVG(n) OVER b AS rows_,
+                   gone / n - SUM(gone) OVER b / SUM(n) OVER b AS nulls_
+            FROM p WINDOW b AS (PARTITION BY column_name ORDER BY load ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        )
+        SELECT load, column_name, 'rows' AS rule, rows_ AS metric, COALESCE(rows_ BETWEEN 0.5 AND 2, TRUE) AS passed FROM m
+        UNION ALL
+        SELECT load, column_name, 'nulls', nulls_, COALESCE(nulls_ BETWEEN -0.05 AND 0.05, TRUE) FROM m""",
     "dq_rejects": with_raw(
         """SELECT 'order_items' AS table_name, 'order_item_id' AS key_column, 'key_readable' AS rule,
                   COUNT(*) FILTER (order_item_id = 7) AS metric,

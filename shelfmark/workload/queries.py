@@ -22,7 +22,7 @@ from shelfmark.functions import (
 )
 from shelfmark.functions import stock_status as status_of
 from shelfmark.functions.cleaning import DATE_PATTERN, TIMESTAMP_PATTERN
-from shelfmark.operators import conform, incremental, quality, snapshots, synth
+from shelfmark.operators import conform, incremental, profiles, quality, snapshots, synth
 from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
 from shelfmark.plans import colocated, delivery, history, refresh, staging, star
 from shelfmark.plans.refresh import staged_table, star_table
@@ -61,6 +61,10 @@ NEW_STATE, LOST_STATE, MOVED_STATE = "EUROPE", "ASIA", "AMERICA"
 SNAPSHOT_DAYS = ("2024-01-01", "2024-01-02", "2024-01-03")
 BUCKETS = 8
 
+# The columns of order lines that are profiled, and the return flag that counts as missing there.
+PROFILED = ["l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag"]
+UNFLAGGED = "R"
+
 # For each raw table a column and a value that counts as missing there.
 MISSING_VALUES = (
     ("customers", "customer_unique_id", "Customer#000000000"),
@@ -486,6 +490,54 @@ def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report
 
 
+def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines by the year they were shipped in, each a load; some without a return flag."""
+    return inputs.table(spark, sf_dir, "lineitem").select(
+        F.year("l_shipdate").cast("string").alias("load"), "l_partkey", "l_suppkey", "l_extendedprice",
+        F.nullif("l_returnflag", F.lit(UNFLAGGED)).alias("l_returnflag"),
+    )
+
+
+@query
+def profile_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of all loads from their stored profiles, and whether its estimates are as near as stated."""
+    lines = _shipments(spark, sf_dir)
+    by_load = _stored(spark, "profiles", profiles.load_profile(lines, F.col("load"), PROFILED))
+    whole = _stored(spark, "profile", profiles.whole_profile(by_load))
+    medians = {r.column_name: F.lit(r.median).cast("double") for r in whole.collect()}
+    exact = lines.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("name"),
+                    F.countDistinct(c).alias("values"),
+                    F.avg((F.col(c).try_cast("double") <= medians[c]).cast("int")).alias("below"),
+                )
+                for c in PROFILED
+            ]
+        ).alias("all")
+    )
+    off = F.abs(F.col("distinct_values") - F.col("values")) / F.col("values")
+    return (
+        whole.join(exact.select(F.inline("all")), F.col("name") == F.col("column_name"))
+        .select(
+            "column_name",
+            "row_count",
+            "null_count",
+            (off <= 3 * profiles.DISTINCT_ERROR).alias("distinct_fits"),
+            F.coalesce(F.abs(F.col("below") - 0.5) <= 2 * profiles.RANK_ERROR, F.lit(True)).alias("median_fits"),
+        )
+    )
+
+
+@query
+def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and NULLs of each load against the loads before it, from stored profiles."""
+    by_load = profiles.load_profile(_shipments(spark, sf_dir), F.col("load"), PROFILED)
+    report = profiles.drift_report(_stored(spark, "profiles", by_load))
+    return report.where(F.col("rule") != "distinct")
+
+
 @query
 def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed order lines of which some have a number or a price that can't be read."""

@@ -77,5 +77,6 @@ def test_no_query_names_outside_the_survey():
     added = {"full_refresh", "upsert_small_delta", "dq_rejects", "dq_orphans"}
     added |= {"fact_sales_by_seller", "fact_line_revenue", "delivery_refresh", "src_csv_multiline_split"}
     added |= {"seller_changes", "seller_history", "fact_sales_colocated", "stage_products_colocated"}
+    added |= {"profile_history", "profile_drift"}
     for name in QUERIES:
         assert f"`{name}`" in survey or name in added
