@@ -10,7 +10,8 @@ scored with one row of that product per subword.
 A part of the sample is kept back to calibrate: a temperature makes the highest
 probability honest, and texts whose probability is under a threshold are
 rejected, the lowest threshold at which the accepted ones reach the precision
-asked for, but one half at most.
+asked for. Where none reaches it, only texts as sure as the surest are accepted.
+Equal probabilities go to the language that is first by name.
 """
 
 from __future__ import annotations
@@ -31,9 +32,7 @@ BUCKETS = 1 << 16
 DIMENSIONS = 16
 EPOCHS = 4
 RATE = 0.5
-PRECISION = 0.995
-# A text whose language is more likely right than wrong is never rejected.
-MOST_REJECTED = 0.5
+PRECISION = 0.99
 SUBWORDS = (1, 2, 3, 4)
 AT_ONCE = 1 << 20
 LETTER = r"\p{L}"
@@ -118,8 +117,10 @@ def fit(texts: list[str], langs: list[str], seed: int = 7) -> dict:
     by_score = np.argsort(-score)
     precision = np.cumsum(right[by_score]) / np.arange(1, len(right) + 1)
     enough = np.flatnonzero(precision >= PRECISION)
-    threshold = float(score[by_score[enough[-1]]]) if len(enough) and enough[-1] + 1 < len(right) else 0.0
-    threshold = min(threshold, MOST_REJECTED)
+    if not len(enough):
+        threshold = float(score.max())  # only what is as sure as the surest
+    else:
+        threshold = float(score[by_score[enough[-1]]]) if enough[-1] + 1 < len(right) else 0.0
     return {"names": names, "table": table, "bias": bias, "temperature": temperature, "threshold": threshold}
 
 
