@@ -122,11 +122,29 @@ def mixed(
 ) -> DataFrame:
     """A row per document: doc_id, ``also``, size, source, source_size, target, quota, taken.
 
-    The size is the number of words, 0 for null text. Null is a source of its
+    See ``_dealt`` for what is laid where. The size is the number of words, 0 for null text. Null is a source of its
     own. ``taken`` counts the words that the mix takes of the document, repeats
     included, at most ``repeats`` times its size. Repeated rows are documents of
     their own. A table without words has targets of 0; no rows give no rows.
     """
+    dealt = _dealt(docs, text, doc_id, source, also, weights, percent, repeats, block_tokens, seed)
+    before = F.sum("size").over(_laid(seed, also).rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    within = F.greatest(F.lit(0), F.least("size", F.col("rest") - before))
+    return dealt.withColumn("taken", (F.col("passes") * F.col("size") + within).cast("long")).select(
+        "doc_id", *also, "size", "source", "source_size", "target", "quota", "taken"
+    )
+
+
+def _laid(seed: str, also: tuple[str, ...]):
+    """The order in which a shard lays its documents end to end."""
+    return Window.partitionBy("place").orderBy(seeded(F.col("doc_id"), seed), "doc_id", "size", *also)
+
+
+def _dealt(
+    docs: DataFrame, text: str, doc_id: str, source: str, also: tuple[str, ...], weights: tuple[int, ...],
+    percent: int, repeats: int, block_tokens: int, seed: str,
+) -> DataFrame:
+    """Every document with its shard (``place``) and what the shard gives: whole ``passes``, and ``rest`` words more."""
     sized = stored(
         docs.select(
             F.col(doc_id).alias("doc_id"),
@@ -164,40 +182,47 @@ def mixed(
         F.col("place").alias("place_"), "shard_size", "shard_quota"
     )
     limit = F.least(F.col("shard_quota") * block_tokens, F.col("shard_size") * repeats)
-    laid = Window.partitionBy("place").orderBy(seeded(F.col("doc_id"), seed), "doc_id", "size", *also)
-    before = F.sum("size").over(laid.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     passes = F.floor(F.col("limit") / F.greatest("shard_size", F.lit(1)))
     return (
         dealt.join(shards, F.col("place") == F.col("place_"))
         .withColumn("limit", limit)
-        .withColumn("before", before)
         .withColumn("passes", passes.cast("long"))
         .withColumn("rest", F.col("limit") - F.col("passes") * F.col("shard_size"))
-        .withColumn(
-            "taken",
-            (
-                F.col("passes") * F.col("size")
-                + F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("before")))
-            ).cast("long"),
-        )
-        .select("doc_id", *also, "size", "source", "source_size", "target", "quota", "taken")
     )
 
 
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """The mix itself: ``docs`` with each document as often as it is taken, all columns kept.
 
-    Documents stay whole. Where a block boundary cuts one, it is taken if at
-    least half of its words are within; that is one document per shard.
-    Documents without words are not in a mix.
+    Documents stay whole. For what is left of a shard's quota after whole passes,
+    those that are longer than that are passed over, so they don't use it up; the
+    others are laid end to end, and of these the one that the end of the quota
+    cuts is taken if at least half of its words are within. Where all are longer,
+    the shortest is taken on the same condition. So a shard is off by half a
+    document that fits, at most. Documents without words are not in a mix.
     """
     mark, id_ = free_name(docs, "row_mark"), f"`{doc_id}`"
     marked = docs.withColumn(mark, row_hash(docs))
+    dealt = _dealt(
+        marked, text, doc_id, source, (mark,), WEIGHTS, SHARE_PERCENT, MAX_REPEATS, BLOCK_TOKENS, SEED
+    ).where("size > 0")
+    fits = F.col("size") <= F.col("rest")
+    laid, shard = _laid(SEED, (mark,)), Window.partitionBy("place")
+    fitting = F.when(F.col("fits_"), F.col("size")).otherwise(F.lit(0))
+    before = F.sum(fitting).over(laid.rowsBetween(Window.unboundedPreceding, 0)) - fitting
+    shortest = F.row_number().over(shard.orderBy("size", seeded(F.col("doc_id"), SEED), "doc_id", mark)) == 1
+    in_turn = F.when(F.col("any_"), F.col("fits_") & (2 * (F.col("rest") - F.col("before_")) >= F.col("size"))).otherwise(
+        F.col("shortest_") & (2 * F.col("rest") >= F.col("size"))
+    )
     # Rows alike in all columns get alike shares: they are told apart by their number.
     takes = (
-        mixed(marked, text, doc_id, source, also=(mark,))
-        .where("2 * taken >= size and size > 0")
-        .select(F.col("doc_id").alias("id_"), F.col(mark).alias("mark_"), F.round(F.col("taken") / F.col("size")).alias("copies_"))
+        dealt.withColumn("fits_", fits)
+        .withColumn("any_", F.max("fits_").over(shard))
+        .withColumn("before_", before)
+        .withColumn("shortest_", shortest)
+        .withColumn("copies_", F.col("passes") + F.when(in_turn, 1).otherwise(0))
+        .where("copies_ > 0")
+        .select(F.col("doc_id").alias("id_"), F.col(mark).alias("mark_"), "copies_")
         .groupBy("id_", "mark_")
         .agg(F.sum("copies_").cast("int").alias("copies_"), F.count("*").alias("rows_"))
     )

@@ -92,3 +92,33 @@ def test_mix_repeats_whole_documents(spark):
     wanted = {r["source"]: r["target"] / 50 for r in mixed(docs).select("source", "target").distinct().collect()}
     for s in wanted:
         assert per_source[s] == pytest.approx(wanted[s], abs=2)
+
+
+def shares(docs):
+    """Words of each source in the mix, and their targets."""
+    words = F.regexp_count("text", F.lit(r"\S+"))
+    got = {r["source"]: r["n"] for r in mix(docs).groupBy("source").agg(F.sum(words).alias("n")).collect()}
+    return got, {r["source"]: r["target"] for r in mixed(docs).select("source", "target").distinct().collect()}
+
+
+def test_documents_longer_than_the_quota_do_not_use_it_up(spark):
+    """Each source has one document far longer than what the mix may take of it."""
+    rows = []
+    for s in range(6):
+        rows += [(100 * s + i, "w " * (40 + i), f"s{s}") for i in range(60)]
+        rows.append((100 * s + 99, "w " * 60_000, f"s{s}"))
+    got, target = shares(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for s, wanted in target.items():
+        # Whole passes take the long one; else the ordinary documents fill the quota as far as they go.
+        ordinary = sum(40 + i for i in range(60))
+        rest = wanted % (60_000 + ordinary)
+        assert abs(got.get(s, 0) - wanted) <= max(100, rest - ordinary), s
+        assert got.get(s, 0) >= min(wanted, ordinary) - 100
+
+
+def test_a_source_of_one_document_is_within_it(spark):
+    rows = [(i, "w " * 100, f"s{i % 5}") for i in range(2000)] + [(9999, "w " * 32_000, "s6")]
+    got, target = shares(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for s, wanted in target.items():
+        assert abs(got.get(s, 0) - wanted) <= (32_000 if s == "s6" else 100), s
+    assert got["s6"] % 32_000 == 0 and abs(got["s6"] - target["s6"]) <= 16_000

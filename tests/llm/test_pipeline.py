@@ -54,7 +54,7 @@ def test_run_ends_in_lossless_tokens_of_a_mix(spark, sf_dir):
 def test_every_query_is_registered():
     names = __spark_entry__.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
@@ -62,7 +62,7 @@ def test_every_query_is_registered():
 def test_queries_equal_their_sql(spark, sf_dir, name):
     got = QUERIES[name](spark, sf_dir)
     with duckdb.connect() as con:
-        for table in ("documents", "conversations"):
+        for table in ("documents", "conversations", "embeddings"):
             con.execute(f"create view {table} as select * from read_parquet('{sf_dir}/{table}.parquet')")
         cursor = con.execute(ORACLES[name])
         columns = [d[0] for d in cursor.description]
