@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import lenient_double, sale_amount, stock_status, text_key
 from shelfmark.operators.conform import rename_present, select_present
 
+# What the product service may tell of a product.
 METADATA_COLUMNS = ("product_id", "brand", "rating", "stock", "category")
 
 
