@@ -292,10 +292,11 @@ def duplicate_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     """A row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     The classes come from the Grace hash tables, one row each. The documents
-    meet them by the SHA-256 of their text; Spark can split that join where one
-    class holds many rows. Null text is the empty text; a null id is below all
-    others, and keep_id is null where no copy has an id. Where rows share text
-    and the largest id, exactly one of them is marked as kept. No rows: no rows.
+    meet them by the SHA-256 of their text, in one join of two written tables, so
+    that Spark can split it where one class holds many rows. Null text is the
+    empty text; a null id is below all others, and keep_id is null where no copy
+    has an id. Where rows share text and the largest id, exactly one of them is
+    marked as kept. No rows: no rows.
     """
     rows = docs.select(
         F.col(text).alias("content"), F.col(doc_id).cast("long").alias("rank"), F.lit(0).cast("long").alias("tie")
@@ -315,24 +316,20 @@ def duplicate_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         ),
         "dedup-members",
     )
+    # Which row stays where several have the largest id: found among those rows, then part of the class.
     tied = classes.where(F.col(TIES) > 1).select(KEY, "keep_id")
-    first = (
-        members.join(tied, KEY)
-        .where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .groupBy(KEY)
-        .agg(F.min("row").alias("first_row"))
+    best = stored(
+        members.join(tied, KEY).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(KEY, "row"), "dedup-tied"
     )
-    return (
-        members.join(classes, KEY)
-        .join(first, KEY, "left")
-        .select(
-            "doc_id",
-            "keep_id",
-            "group_size",
-            (
-                F.col("doc_id").eqNullSafe(F.col("keep_id"))
-                & F.coalesce(F.col("row") == F.col("first_row"), F.lit(True))
-            ).alias("kept"),
-            F.lower(F.hex(KEY)).alias("text_sha256"),
-        )
+    first = best.groupBy(KEY).agg(F.min("row").alias("first_row"))
+    whole = stored(classes.join(first, KEY, "left").select(KEY, "keep_id", "group_size", "first_row"), "dedup-whole")
+    return members.join(whole, KEY).select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        (
+            F.col("doc_id").eqNullSafe(F.col("keep_id"))
+            & F.coalesce(F.col("row") == F.col("first_row"), F.lit(True))
+        ).alias("kept"),
+        F.lower(F.hex(KEY)).alias("text_sha256"),
     )

@@ -117,6 +117,27 @@ def test_a_third_of_the_rows_are_copies(spark):
     assert report.where("kept").count() == 6001
 
 
+def test_a_hot_class_is_split_in_the_final_join(spark, conf):
+    """Two thirds of the rows are one text, a tenth of them with the largest id; nothing is broadcast."""
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        adaptive__advisoryPartitionSizeInBytes="20k",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    docs = spark.range(60_000).select(
+        F.when(F.col("id") % 10 == 0, F.lit(10**6)).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("text"),
+    )
+    report = duplicate_report(docs.repartition(16))
+    rows = report.collect()
+    hot = [r for r in rows if r["group_size"] > 1]
+    assert len(rows) == 60_000 and len(hot) == 40_000
+    assert [r["doc_id"] for r in hot if r["kept"]] == [10**6]
+    assert "skew=true" in report._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("others", [0, 3])
 def test_copies_of_a_long_text_keep_to_the_memory_limit(monkeypatch, others):
     """Every copy has a larger id than the last and takes its place; the places given up are freed."""
