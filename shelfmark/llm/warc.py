@@ -76,7 +76,9 @@ def capture_records(pages: DataFrame, captured: Column, least_bytes: int = 0) ->
     Of pages with equal payloads of at least ``least_bytes`` the one with the
     largest page id, then URL, is the response. Copies of a payload are dropped
     below the shuffle, so a payload shared by very many pages is sent once per
-    task; revisits come from ids, URLs and digests alone.
+    task; revisits come from ids, URLs and digests alone, which are written, as
+    are the first of each payload: Spark can split the join of the two where one
+    payload has very many revisits.
     """
     payload = F.coalesce("html", F.lit("")).cast("binary")
     seen = pages.select(
@@ -92,10 +94,16 @@ def capture_records(pages: DataFrame, captured: Column, least_bytes: int = 0) ->
     responses = large.groupBy("content", "sha1", "bytes").agg(
         F.max(F.struct("page_id", "url", "captured", "html")).alias("r")
     )
-    members = large.groupBy("content", "sha1", "bytes", "page_id", "url", "captured").agg(F.count("*").alias("n"))
-    firsts = members.groupBy("content").agg(
-        F.max(F.struct("page_id", "url", "captured")).alias("r"), F.sum("n").alias("size")
-    ).where("size > 1")
+    members = stored(
+        large.groupBy("content", "sha1", "bytes", "page_id", "url", "captured").agg(F.count("*").alias("n")),
+        "warc-members",
+    )
+    firsts = stored(
+        members.groupBy("content")
+        .agg(F.max(F.struct("page_id", "url", "captured")).alias("r"), F.sum("n").alias("size"))
+        .where("size > 1"),
+        "warc-firsts",
+    )
     is_first = (
         F.col("page_id").eqNullSafe(F.col("r.page_id"))
         & F.col("url").eqNullSafe(F.col("r.url"))

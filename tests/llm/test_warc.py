@@ -56,6 +56,27 @@ def test_pages_read_back(spark, least):
     assert plain(archived(pages, least_bytes=least)) == expected(ROWS, least)
 
 
+def test_a_payload_with_very_many_revisits_is_split(spark, conf):
+    """Two thirds of the pages have one payload; nothing is broadcast."""
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        adaptive__advisoryPartitionSizeInBytes="20k",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    pages = spark.range(30_000).select(
+        F.col("id").alias("page_id"),
+        F.concat(F.lit("http://h/"), F.col("id").cast("string")).alias("url"),
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("html"),
+    )
+    records = capture_records(pages.repartition(16), F.lit("20200101000000"))
+    rows = records.collect()
+    assert len(rows) == 30_000
+    assert sum(r["record_type"] == "revisit" and r["refers_to"] == 29_999 for r in rows) == 19_999
+    assert "skew=true" in records._jdf.queryExecution().executedPlan().toString()
+
+
 def test_table_reads_back_and_no_rows(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rows = [(r["page_id"], r["url"], r["html"]) for r in pages.collect()]
