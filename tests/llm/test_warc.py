@@ -64,6 +64,7 @@ def test_a_payload_with_very_many_revisits_is_split(spark, conf):
         adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
         adaptive__advisoryPartitionSizeInBytes="20k",
         adaptive__skewJoin__skewedPartitionFactor="2",
+        adaptive__coalescePartitions__enabled="false",
     )
     pages = spark.range(30_000).select(
         F.col("id").alias("page_id"),
