@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import remainder_of
+from shelfmark.llm.common import give_back_memory, remainder_of
 
 BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = 50_000
@@ -90,8 +90,8 @@ def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     ordered = keys[order]
     new = np.append(True, ordered[1:] != ordered[:-1])[: len(keys)]
-    numbers = np.empty(len(keys), np.int64)
-    numbers[order] = np.cumsum(new) - 1
+    numbers = np.empty(len(keys), np.int32)
+    numbers[order] = np.cumsum(new, dtype=np.int32) - 1
     return numbers, order[new]
 
 
@@ -107,7 +107,7 @@ class BlockText:
         for text in texts:
             words = (text or "").encode().lower().split()
             words.append(END)
-            tokens.append(np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64))
+            tokens.append(np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int32))
             lengths.append(len(words))
         self.lengths = np.array(lengths, np.int64)
         self.tokens = np.concatenate(tokens)
@@ -171,6 +171,8 @@ def _answered(frame: pd.DataFrame) -> pd.DataFrame:
             tokens, types = int(totals[real].sum()), int((totals[real] > 0).sum())
         ends = np.cumsum([len(k) for k in keys])
         answers[f"{order}_totals"] = [_packed(totals[p]) for p in np.split(place, ends[:-1])]
+        del keys, counts, place, where, totals
+    give_back_memory()
     first = np.arange(len(frame)) == 0
     return pd.DataFrame(
         {
@@ -215,17 +217,17 @@ class BackoffAutomaton:
         self.root = np.log10(root)
         self.weight = np.concatenate([self.root, np.log10(from_word), np.log10(from_pair)])
         self.exists = np.concatenate([np.ones(w, bool), pairs > 0, triples > 0])
-        word_state = np.where(self.seen, 1 + np.arange(w), 0)
-        self.target = np.concatenate([word_state, 1 + w + np.arange(p), 1 + w + short])
+        word_state = np.where(self.seen, 1 + np.arange(w), 0).astype(np.int32)
+        self.target = np.concatenate([word_state, np.arange(1 + w, 1 + w + p, dtype=np.int32), 1 + w + short])
 
-        self.level = np.repeat(np.arange(3), [1, w, p])
-        self.fail_to = np.concatenate([np.zeros(1 + w, np.int64), word_state[right]])
+        self.level = np.repeat(np.arange(3, dtype=np.int8), [1, w, p])
+        self.fail_to = np.concatenate([np.zeros(1 + w, np.int32), word_state[right]])
         self.fail = np.log10(
             np.concatenate([[1.0], priors[0] / (words + priors[0]), priors[1] / (pairs + priors[1])])
         )
         self.start = word_state[1]
         # By the level of the state, the arc that a token asks for.
-        self.arc = np.zeros((3, len(text.tokens)), np.int64)
+        self.arc = np.zeros((3, len(text.tokens)), np.int32)
         self.arc[0], self.arc[1] = text.tokens, w + pair
         self.arc[2, places] = w + p + inner
 
@@ -240,7 +242,7 @@ class BackoffAutomaton:
         longest_first = np.argsort(-size, kind="stable")
         place = (starts[text] + offset - early)[longest_first]
         early, size = early[longest_first], size[longest_first]
-        state = np.where(early > 0, 0, self.start)
+        state = np.where(early > 0, 0, self.start).astype(np.int32)
         for step in range(int(size[0]) if len(size) else 0):
             active = np.searchsorted(-size, -step, side="left")
             state, here = state[:active], place[:active] + step
@@ -288,6 +290,7 @@ def scored(
         block = table.column("block")[0].as_py()
         train = [not h for h in table.column("held_out").to_pylist()]
         asked = _asked(block, BlockText(table.column("text").to_pylist(), train), blocks)
+        give_back_memory()
         return pa.Table.from_pandas(asked, schema=pa.schema(asked_types), preserve_index=False)
 
     asked_types = [("part", pa.int32()), ("block", pa.int32())]
@@ -333,6 +336,8 @@ def scored(
         totals = totals.sort_by("part")
         got = [np.concatenate([_unpacked(b) for b in totals.column(f"{o}_totals").to_pylist()]) for o in ORDERS]
         automaton = BackoffAutomaton(block, got, n + v + 1, priors)
+        del got, totals, block.pairs, block.triples
+        give_back_memory()
         steps = automaton.walk(block.starts, block.lengths)
         base = automaton.root[block.tokens]
         known_tokens = automaton.seen[block.tokens].astype(np.int64)
