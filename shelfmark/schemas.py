@@ -97,3 +97,9 @@ MANIFEST = _struct(
 
 # Where the rows of an order lie, as of the version that put them there.
 ORDER_MONTHS = _struct(order_id=STRING, year=INT, month=INT, since=LONG)
+
+# One row per finished step of a run.
+JOURNAL = _struct(run=STRING, number=LONG, step=STRING, fingerprint=STRING, metrics=STRING)
+
+# One row per column of a version of a delivered table's types.
+TYPE_VERSIONS = _struct(table_name=STRING, version=LONG, position=INT, column_name=STRING, form=STRING)

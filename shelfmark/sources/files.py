@@ -48,6 +48,12 @@ def read_csv(
     )
 
 
+def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header, all cells as text, and the file each row is from; one pass over it, no inference."""
+    rows = spark.read.options(**CSV_OPTIONS).csv(path)
+    return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+
+
 def inferred_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with types inferred from the data, for drift checks: one extra pass over the file."""
     return spark.read.options(**CSV_OPTIONS, multiLine=multiline, inferSchema=True).csv(path)

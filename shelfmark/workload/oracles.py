@@ -328,6 +328,55 @@ DELIVERED = {
         FROM lineitem""",
 }
 
+# --- three deliveries of orders, as text
+
+DELIVERED_TEXT = """
+    WITH numbered AS (
+        SELECT *, CAST(o_orderkey % 3 + 1 AS INTEGER) AS delivery,
+               CAST(o_totalprice AS DECIMAL(15, 2)) AS cents, strftime(o_orderdate, '%Y-%m-%d') AS day
+        FROM orders),
+    delivered AS (
+        SELECT delivery, CAST(o_orderkey AS VARCHAR) AS order_id,
+               CASE WHEN delivery = 3 AND o_orderkey % 100 = 7 THEN 'n/a'
+                    WHEN delivery = 1 THEN CAST(CAST(floor(cents) AS BIGINT) AS VARCHAR)
+                    ELSE CAST(cents AS VARCHAR) END AS total,
+               CASE WHEN delivery = 3 THEN day || ' 12:30:00' ELSE day END AS ordered,
+               CASE delivery WHEN 1 THEN CAST(o_orderkey % 10 AS VARCHAR) WHEN 3 THEN o_orderstatus END AS note
+        FROM numbered)"""
+
+# The least type of the cells of each column so far; versions are kept where a type is new.
+TYPE_VERSIONS = f"""{DELIVERED_TEXT},
+    cells AS (
+        SELECT delivery, column_name, cell
+        FROM (UNPIVOT delivered ON order_id, total, ordered, note INTO NAME column_name VALUE cell)),
+    forms AS (
+        SELECT DISTINCT delivery, column_name,
+               CASE WHEN regexp_full_match(cell, '[+-]?[0-9]{{1,18}}') THEN 'long'
+                    WHEN regexp_full_match(cell, '[+-]?[0-9]+[.][0-9]*') THEN 'double'
+                    WHEN regexp_full_match(cell, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN 'date'
+                    WHEN regexp_full_match(cell, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} .*') THEN 'timestamp'
+                    ELSE 'text' END AS form
+        FROM cells),
+    upto AS (
+        SELECT n.delivery, f.column_name, list(DISTINCT f.form) AS seen
+        FROM (SELECT DISTINCT delivery FROM delivered) n JOIN forms f ON f.delivery <= n.delivery
+        GROUP BY n.delivery, f.column_name),
+    types AS (
+        SELECT delivery, column_name,
+               CASE WHEN column_name = 'note' AND list_contains(seen, 'text') THEN 'text'
+                    WHEN column_name = 'ordered' AND list_contains(seen, 'timestamp') THEN 'timestamp'
+                    WHEN column_name = 'ordered' THEN 'date'
+                    WHEN list_contains(seen, 'double') THEN 'double' ELSE 'long' END AS form
+        FROM upto),
+    wholes AS (
+        SELECT delivery, string_agg(column_name || ' ' || form, ',' ORDER BY column_name) AS whole
+        FROM types GROUP BY delivery),
+    versions AS (
+        SELECT delivery, ROW_NUMBER() OVER (ORDER BY delivery) AS version
+        FROM (SELECT *, LAG(whole) OVER (ORDER BY delivery) AS earlier FROM wholes)
+        WHERE whole IS DISTINCT FROM earlier)
+    SELECT version, column_name, form FROM types JOIN versions USING (delivery)"""
+
 ORACLES: dict[str, str] = {
     # sources
     "src_csv": RAW["order_items"],
@@ -355,6 +404,14 @@ ORACLES: dict[str, str] = {
            FROM raw_orders"""
     ),
     "schema_drift": with_raw(_union(_inferred(*row) for row in _DRIFT)),
+    "delivered_types": TYPE_VERSIONS,
+    "delivered_rows_typed": f"""{DELIVERED_TEXT}
+        SELECT delivery, CAST(order_id AS BIGINT) AS order_id, CAST(total AS DOUBLE) AS total,
+               CAST(ordered AS TIMESTAMP) AS ordered, note
+        FROM delivered WHERE total <> 'n/a'""",
+    "delivered_rows_quarantined": f"""{DELIVERED_TEXT}
+        SELECT delivery, order_id, total, ordered, note, 'total' AS columns
+        FROM delivered WHERE total = 'n/a'""",
     # sinks
     "sink_parquet_roundtrip": with_raw(STAGED["orders"]),
     "sink_partitioned_roundtrip": with_staged(STAR["fact_sales"]),

@@ -11,7 +11,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DateType, DoubleType, LongType, StructType
 
 from shelfmark.functions import (
     id_prefix,
@@ -22,7 +22,7 @@ from shelfmark.functions import (
 )
 from shelfmark.functions import stock_status as status_of
 from shelfmark.functions.cleaning import DATE_PATTERN, TIMESTAMP_PATTERN
-from shelfmark.operators import conform, incremental, profiles, quality, snapshots, synth
+from shelfmark.operators import conform, incremental, profiles, quality, snapshots, synth, widening
 from shelfmark.operators.dedup import having_keys, latest_per_key, one_per_key
 from shelfmark.plans import colocated, delivery, history, refresh, staging, star
 from shelfmark.plans.refresh import staged_table, star_table
@@ -31,14 +31,17 @@ from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import write_csv, write_parquet
 from shelfmark.sources.files import (
     CORRUPT,
+    SOURCE_FILE,
     bad_record_count,
     data_columns,
     inferred_csv,
     read_csv,
     read_parquet,
+    read_text_csv,
 )
 from shelfmark.sources.multiline import read_multiline_csv
 from shelfmark.sources.payloads import read_payloads
+from shelfmark.sources.types import type_versions, widen_types
 from shelfmark.streaming.landing import land_csv
 from shelfmark.workload import inputs
 
@@ -204,6 +207,64 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _union(reports)
 
 
+# What three deliveries of orders are declared to hold, and which of their totals are unreadable.
+DELIVERED_ORDERS = StructType().add("order_id", LongType()).add("total", LongType()).add("ordered", DateType())
+UNREADABLE = 7
+
+
+def _widening_orders(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, dict[str, str]]:
+    """Three deliveries of orders, each of other types; where the versions are, all rows as text, the last types.
+
+    The first has whole totals and dates, the second totals with cents, the third
+    times, unreadable totals, and text in a column that was not declared.
+    """
+    root = scratch_dir(spark, "widening")
+    key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    delivery = key % 3 + 1
+    cents = F.col("o_totalprice").cast("decimal(15,2)")
+    orders = inputs.table(spark, sf_dir, "orders").select(
+        delivery.alias("delivery"),
+        key.cast("string").alias("order_id"),
+        F.when((delivery == 3) & (key % 100 == UNREADABLE), F.lit("n/a"))
+        .when(delivery == 1, F.floor(cents).cast("string"))
+        .otherwise(cents.cast("string"))
+        .alias("total"),
+        F.when(delivery == 3, F.concat(day, F.lit(" 12:30:00"))).otherwise(day).alias("ordered"),
+        F.when(delivery == 1, (key % 10).cast("string")).when(delivery == 3, F.col("o_orderstatus")).alias("note"),
+    )
+    delivered = []
+    for number in (1, 2, 3):
+        path = f"{root}/delivery{number}"
+        write_csv(orders.where(F.col("delivery") == number).drop("delivery"), path)
+        rows = read_text_csv(spark, path)
+        counts = widening.form_counts(rows, [SOURCE_FILE])
+        _, forms = widen_types(spark, f"{root}/types", "orders", counts, DELIVERED_ORDERS)
+        delivered.append(rows.drop(SOURCE_FILE).withColumn("delivery", F.lit(number)))
+    return f"{root}/types", _union(delivered), forms
+
+
+@query
+def delivered_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version of the types of a table that widen over three deliveries."""
+    path, _, _ = _widening_orders(spark, sf_dir)
+    return type_versions(spark, path).select("version", "column_name", "form")
+
+
+@query
+def delivered_rows_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of three deliveries, in the types that hold them all."""
+    _, rows, forms = _widening_orders(spark, sf_dir)
+    return widening.typed(rows, forms, keep=["delivery"])[0]
+
+
+@query
+def delivered_rows_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows with cells that no compatible type holds, as text, and the columns that don't fit."""
+    _, rows, forms = _widening_orders(spark, sf_dir)
+    others = widening.typed(rows, forms, keep=["delivery"])[1]
+    return others.withColumn("columns", F.array_join(widening.REASONS, ",")).drop(widening.REASONS)
+
+
 # --- sinks
 
 
