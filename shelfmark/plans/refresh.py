@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators.quality import gate, key_report, reject_report
 from shelfmark.plans import staging, star
 from shelfmark.plans.incremental import current_snapshot, extract_increment
+from shelfmark.plans.journal import Journal, NoJournal
 from shelfmark.schemas import RAW, STAR
 from shelfmark.sinks.files import write_parquet
 from shelfmark.sources import catalog
@@ -84,6 +85,10 @@ class Layout:
     def modes(self) -> str:
         return f"{self.root}/landing_modes"
 
+    @property
+    def journal(self) -> str:
+        return f"{self.root}/journal"
+
     def checkpoint(self, table: str) -> str:
         return f"{self.root}/landing/{table}"
 
@@ -113,6 +118,7 @@ def land(
     new_files_only: bool = False,
     delivered: Column | None = None,
     load_number: int | None = None,
+    journal: Journal | NoJournal = NoJournal(),
 ) -> Metrics:
     """Bring all sources into the raw layer as Parquet.
 
@@ -154,7 +160,26 @@ def land(
 
     mode = MERGED if load_number is not None else DELIVERIES if new_files_only else EXTRACT
     claim_mode(spark, layout.modes, CSV_TABLES, mode)
-    return write_each(spark, write, STAGED_TABLES)
+
+    def step(table):
+        # Tables of the database and the service have no files: landed once in a run.
+        reads = [f"{csv_root}/{table}.csv"] if table in CSV_TABLES else []
+        return journal.once(f"land.{table}", lambda: write(table), reads)
+
+    return write_each(spark, step, STAGED_TABLES)
+
+
+def raw_paths(spark: SparkSession, layout: Layout, tables: Iterable[str]) -> list[str]:
+    """The folders that hold the landed tables."""
+    modes = landing_modes(spark, layout.modes)
+    paths = []
+    for table in tables:
+        if table == "inventory":
+            paths += [layout.snapshots, layout.control]
+        else:
+            delivered = modes.get(table) in (DELIVERIES, MERGED)
+            paths.append(layout.deliveries(table) if delivered else layout.raw(table))
+    return paths
 
 
 def raw_reader(spark: SparkSession, layout: Layout) -> Callable[[str], DataFrame]:
@@ -198,7 +223,7 @@ def star_table(name: str, staged: Callable[[str], DataFrame]) -> DataFrame:
     return make(*map(staged, needs))
 
 
-def stage(spark: SparkSession, layout: Layout) -> Metrics:
+def stage(spark: SparkSession, layout: Layout, journal: Journal | NoJournal = NoJournal()) -> Metrics:
     undated = {"orders": "order_date", "inventory": "last_updated"}
     landed = raw_reader(spark, layout)
 
@@ -214,7 +239,10 @@ def stage(spark: SparkSession, layout: Layout) -> Metrics:
         metrics = [F.count_if(F.col(date).isNull()).alias("undated")] if date else []
         return write_parquet(staged_table(table, raw), layout.staging(table), metrics=metrics)
 
-    return write_each(spark, write, STAGED_FROM)
+    def step(table):
+        return journal.once(f"stage.{table}", lambda: write(table), raw_paths(spark, layout, STAGED_FROM[table][1]))
+
+    return write_each(spark, step, STAGED_FROM)
 
 
 def check(spark: SparkSession, layout: Layout, allowed_rejects: int = 0) -> None:
@@ -267,14 +295,23 @@ def read_star(
 
 
 def load(
-    spark: SparkSession, layout: Layout, sink: Callable[[DataFrame, str], int]
+    spark: SparkSession,
+    layout: Layout,
+    sink: Callable[[DataFrame, str], int],
+    journal: Journal | NoJournal = NoJournal(),
 ) -> Mapping[str, int]:
     """Hand every star table to ``sink``, one after the other, to spare the database.
 
     All are of one version, also while another run publishes the next.
     """
-    star_of = read_star(spark, layout)
-    return {t: sink(star_of(t), t) for t in STAR_TABLES}
+    version = catalog.version_of(spark, layout.manifest, STAR_LAYER)
+    star_of = read_star(spark, layout, version if version.number else None)
+
+    def step(table):
+        done = journal.once(f"load.{table}", lambda: {"rows": sink(star_of(table), table)}, state=str(version.number))
+        return done["rows"]
+
+    return {t: step(t) for t in STAR_TABLES}
 
 
 def run_daily(
@@ -287,19 +324,27 @@ def run_daily(
     new_files_only: bool = False,
     delivered: Column | None = None,
     allowed_rejects: int = 0,
+    run: str | None = None,
 ) -> Metrics:
     """All steps in order; a failed check stops the run before the star is touched.
 
+    With the name of a ``run``, such as the day, finished steps are noted in a journal: when a
+    run that was cut off is repeated under its name, it skips the steps that are done and whose
+    input has not changed since. See ``plans.journal``.
+
     Returns what was written: of staging and star under the tables' names, of
     the raw layer under ``raw.<table>``.
     """
+    journal = Journal(spark, layout.journal, run) if run else NoJournal()
     landed = land(
-        spark, layout, csv_root, source_table, product_metadata, new_files_only, delivered
+        spark, layout, csv_root, source_table, product_metadata, new_files_only, delivered, journal=journal
     )
     written = {f"raw.{table}": metrics for table, metrics in landed.items()}
-    written.update(stage(spark, layout))
-    check(spark, layout, allowed_rejects)
-    written.update(build_star(spark, layout))
+    written.update(stage(spark, layout, journal))
+    staged = [layout.staging(t) for t in STAGED_TABLES]
+    checked = [*staged, *raw_paths(spark, layout, [*CSV_TABLES, "product_metadata"])]
+    journal.once("check", lambda: check(spark, layout, allowed_rejects), checked, str(allowed_rejects))
+    written.update(journal.once("star", lambda: build_star(spark, layout), staged))
     if sink:
-        load(spark, layout, sink)
+        load(spark, layout, sink, journal)
     return written
