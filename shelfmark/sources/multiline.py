@@ -4,9 +4,11 @@ Spark's own multi-line reader takes a file as a whole. Here a file is read as
 lines, which can be done from any place in it, and records are put together
 again: a quoted cell is open wherever the number of quotes before is odd. The
 quotes of every block (a part of a file that one task reads) are counted first;
-sums over the blocks before say whether a block begins inside a cell. Then lines
-are dealt by block, a record begins with every line that is not inside a cell,
-and only the records that a block border cuts are put together across blocks.
+sums over the blocks before say whether a block begins inside a cell. Then a
+record begins with every line that is not inside a cell. Tasks read the lines of
+a block in their order and put its records together as they come, so that no
+line is shuffled or sorted; only the records that a block border cuts, two pieces
+of every block at most, are put together across blocks.
 """
 
 from __future__ import annotations
@@ -62,31 +64,90 @@ def _joined(parts: str, *order: str) -> Column:
     return F.array_join(F.transform(rows, lambda r: r["_part"]), "\n")
 
 
+_PIECE = "_text string, _file string, _block long, _number long, _crlf boolean"
+
+
+def _assembled(cut: bool):
+    """From lines in the order of their blocks: the whole records, or the pieces of those that block borders cut.
+
+    Lines before the first beginning in a block have number 0: they go on with a
+    record of a block before. Texts are joined in Arrow; only the record that a
+    batch of lines leaves open is held.
+    """
+
+    def pieces(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        schema = pa.schema(
+            [("_text", pa.string()), ("_file", pa.string()), ("_block", pa.int64()), ("_number", pa.int64()), ("_crlf", pa.bool_())]
+        )
+        # The block, whether it ends inside a cell, the quotes so far, the beginnings so far, the open record's texts.
+        block, goes_on, quotes, number, parts = None, False, 0, 0, []
+
+        def piece(texts, first):
+            n = len(texts)
+            file, start, crlf = (pa.repeat(pa.scalar(v, schema.field(c).type), n) for c, v in zip(("_file", "_block", "_crlf"), block))
+            return pa.RecordBatch.from_arrays([texts, file, start, pa.array(np.arange(first, first + n)), crlf], schema=schema)
+
+        def ended(last):
+            """The open record, if it is one to be given."""
+            if parts and (number == 0 or (last and goes_on)) == cut:
+                yield piece(pa.array(["\n".join(parts)], pa.string()), number)
+
+        for batch in batches:
+            texts = batch.column("_value")
+            counts = batch.column("_quotes").to_numpy()
+            files, starts = batch.column("_file"), batch.column("_block")
+            new = np.zeros(len(batch), bool)
+            if len(batch):
+                at = np.arange(1, len(batch))
+                new[at] = pc.or_(
+                    pc.not_equal(files.slice(1), files.slice(0, len(at))), pc.not_equal(starts.slice(1), starts.slice(0, len(at)))
+                ).to_numpy(zero_copy_only=False)
+                new[0] = block is None or (files[0].as_py(), starts[0].as_py()) != block[:2]
+            bounds = [*np.unique([0, *np.flatnonzero(new)]).tolist(), len(batch)]
+            for low, high in zip(bounds, bounds[1:]):
+                if new[low]:
+                    yield from ended(True)
+                    block = (files[low].as_py(), starts[low].as_py(), batch.column("_crlf")[low].as_py())
+                    goes_on = batch.column("_goes_on")[low].as_py()
+                    quotes, number, parts = batch.column("_inside")[low].as_py(), 0, []
+                upto = quotes + np.cumsum(counts[low:high])
+                begins = low + np.flatnonzero((upto - counts[low:high]) % 2 == 0)
+                quotes = int(upto[-1])
+                end = int(begins[0]) if len(begins) else high
+                parts += texts.slice(low, end - low).to_pylist()
+                if not len(begins):
+                    continue
+                yield from ended(False)
+                if len(begins) > 1 and not cut:
+                    lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), texts)
+                    yield piece(pc.binary_join(lists, "\n"), number + 1)
+                number += len(begins)
+                parts = texts.slice(int(begins[-1]), high - int(begins[-1])).to_pylist()
+        yield from ended(True)
+
+    return pieces
+
+
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
-    """A row per record, as text, with ``_is_header`` for the first of each file; empty lines are left out."""
+    """A row per record, as text, with ``_is_header`` for the first of each file; empty lines are left out.
+
+    What is known of the blocks, a row for each, goes to every task.
+    """
     lines = _lines(spark, path)
-    placed = lines.join(_blocks(lines), _BLOCK)
-    order = Window.partitionBy(*_BLOCK).orderBy("_line")
-    earlier = F.sum("_quotes").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    outside = (F.coalesce(earlier, F.lit(0)) + F.col("_inside")) % 2 == 0
-    number = F.sum(F.col("_begins").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Lines before the first beginning have number 0: they go on with a record of a block before.
-    numbered = placed.withColumn("_begins", outside).withColumn("_number", number)
-    in_block = numbered.groupBy(*_BLOCK, "_number").agg(
-        _joined("_value", "_line").alias("_text"),
-        F.first("_goes_on").alias("_goes_on"),
-        F.first("_crlf").alias("_crlf"),
+    placed = lines.join(F.broadcast(_blocks(lines)), _BLOCK).select(
+        "_value", *_BLOCK, F.col("_quotes").cast("long"), F.col("_inside").cast("long"), "_goes_on", "_crlf"
     )
-    last = F.col("_number") == F.max("_number").over(Window.partitionBy(*_BLOCK))
-    pieces = in_block.withColumn("_cut", (F.col("_number") == 0) | (last & F.col("_goes_on")))
-
     first = (F.col("_block") == 0) & (F.col("_number") == 1)
-    whole = pieces.where(~F.col("_cut")).select("_text", "_crlf", first.alias("_is_header"))
+    whole = placed.mapInArrow(_assembled(cut=False), _PIECE).select("_text", "_crlf", first.alias("_is_header"))
     # Of every block two pieces at most: the end of one record and the beginning of another.
     in_file = Window.partitionBy("_file").orderBy("_block", "_number")
     record = F.sum((F.col("_number") > 0).cast("long")).over(in_file)
     mended = (
-        pieces.where("_cut")
+        placed.mapInArrow(_assembled(cut=True), _PIECE)
         .withColumn("_first", first)
         .withColumn("_record", record)
         .groupBy("_file", "_record")

@@ -113,3 +113,22 @@ def test_a_header_alone_a_mark_and_no_line_end(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_bytes(b"id,brand\n1,x")
     (tmp_path / "b.csv").write_bytes(b"")
     assert rows(read_multiline_csv(spark, str(tmp_path), SCHEMA), "id", "brand") == [("1", "x")]
+
+
+def test_lines_are_neither_shuffled_nor_sorted(spark, tmp_path):
+    (tmp_path / "one.csv").write_bytes(some_file(1, 40, "\n").encode())
+    records = csv_records(spark, str(tmp_path))
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    # Lines by block, the blocks of a file and the cut records of a file: no window or group over the lines themselves.
+    assert "Window [sum(_quotes" not in plan and "_line ASC" not in plan
+    assert plan.count("MapInArrow") == 2
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_records_longer_than_a_batch_of_lines(spark, tmp_path, rows, blocks, conf, batch):
+    conf(execution__arrow__maxRecordsPerBatch=str(batch))
+    for n in range(3):
+        (tmp_path / f"{n}.csv").write_bytes(some_file(n, 30, "\n").encode())
+    blocks(300)
+    ours, theirs = both(spark, str(tmp_path), rows)
+    assert ours == theirs and len(ours) > 20
