@@ -185,17 +185,16 @@ def _merge_sales(run: Staging) -> DataFrame | None:
     lines_like = lines_new.withColumn(FIRST, F.lit(True)).withColumns({c: F.lit(None).cast("int") for c in MONTHS})
     undated = (None, None)
     lines_old = run.work(of_touched(run.old("order_items", lines_like, before | {undated})), "lines_old")
-    rows = staging.newest_delivered(
-        lines_old.drop(FIRST, *MONTHS).unionByName(lines_new), *LINE_KEY
-    )
     place = F.row_number().over(
         Window.partitionBy(*LINE_KEY).orderBy(*order_within_keys(lines_new, LINE_KEY, versions))
     )
     first = (place == 1) & F.col("order_item_id").isNotNull()
+    rows = staging.newest_delivered(
+        lines_old.drop(FIRST, *MONTHS).unionByName(lines_new), *LINE_KEY, each=lambda df: df.withColumn(FIRST, first)
+    )
     of_order = orders_now.select(F.col("order_id").alias("of_order"), *MONTHS)
     lines_now = run.work(
-        rows.withColumn(FIRST, first)
-        .join(of_order, F.col("order_id") == F.col("of_order"), "left")
+        rows.join(of_order, F.col("order_id") == F.col("of_order"), "left")
         .select(*lines_like.columns),
         "lines_now",
     )

@@ -6,6 +6,7 @@ a key before anything is shuffled, then keeps one row per key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -34,20 +35,25 @@ def _newest(df: DataFrame, keys: list[str], *versions: str) -> DataFrame:
     return newest.drop(DELIVERED, SOURCE_FILE)
 
 
-def newest_delivered(raw: DataFrame, *keys: str) -> DataFrame:
+def newest_delivered(
+    raw: DataFrame, *keys: str, each: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """All rows of the newest file that has a key, so copies within a file count.
 
     Rows of a key in older files are superseded. Rows without a key have nothing
     to supersede and stay, as does everything where no delivery is noted.
+
+    ``each`` is done to the rows with all keys and to those without one apart: a
+    window over ``keys`` then needs no shuffle after the one here.
     """
     versions = delivery_columns(raw)
     if not versions:
-        return raw
+        return each(raw)
     order = [F.col(name).desc_nulls_last() for name in versions]
     rank = F.rank().over(Window.partitionBy(*keys).orderBy(*order))
     newest = having_keys(raw, *keys).withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
     keyless = reduce(or_, [F.col(name).isNull() for name in keys])
-    return newest.unionByName(raw.filter(keyless))
+    return each(newest).unionByName(each(raw.filter(keyless)))
 
 
 def named_customers(raw: DataFrame) -> DataFrame:

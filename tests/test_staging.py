@@ -6,11 +6,13 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfmark.plans import staging
 from shelfmark.plans.refresh import staged_table
 from shelfmark.schemas import RAW, STAGING
+from shelfmark.sources.files import DELIVERED, SOURCE_FILE
 
 DAY = datetime.date
 
@@ -184,3 +186,17 @@ def test_staged_columns(spark):
         df = staged_table(name, empty.__getitem__)
         assert dict(df.dtypes) == {f.name: f.dataType.simpleString() for f in STAGING[name]}
         assert df.count() == 0
+
+
+def test_a_window_over_the_newest_lines_needs_no_shuffle_of_its_own(spark, rows, conf):
+    conf(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    keys = ["order_id", "order_item_id"]
+    data = [("o1", 1, 5, 1, "a"), ("o1", 1, 4, 2, "b"), ("o1", 1, 3, 2, "b"), ("o1", 2, 1, 1, "a"), ("o2", 1, 7, 1, None)]
+    data += [(None, 1, 8, 1, "a"), (None, 1, 9, 2, "b"), ("o1", None, 6, 1, "a"), (None, None, 2, 1, "a"), ("o2", 1, 7, 1, None)]
+    lines = spark.createDataFrame(data, f"order_id string, order_item_id int, price int, {DELIVERED} int, {SOURCE_FILE} string")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(DELIVERED), "price"))
+    apart = staging.newest_delivered(lines, *keys, each=lambda df: df.withColumn("place", place))
+    assert rows(apart) == rows(staging.newest_delivered(lines, *keys).withColumn("place", place))
+    assert rows(apart.where("order_id = 'o1' and order_item_id = 1"), "price", "place") == [(3, 1), (4, 2)]
+    shuffles = apart._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles == 2  # the rows with all keys, and those without one
