@@ -572,13 +572,17 @@ def profile_history(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.struct(
                     F.lit(c).alias("name"),
                     F.countDistinct(c).alias("values"),
-                    F.avg((F.col(c).try_cast("double") <= medians[c]).cast("int")).alias("below"),
+                    F.avg((F.col(c).try_cast("double") < medians[c]).cast("int")).alias("below"),
+                    F.avg((F.col(c).try_cast("double") <= medians[c]).cast("int")).alias("upto"),
                 )
                 for c in PROFILED
             ]
         ).alias("all")
     )
     off = F.abs(F.col("distinct_values") - F.col("values")) / F.col("values")
+    # Rows that equal the median take up all ranks from below to upto.
+    near = 2 * profiles.RANK_ERROR
+    fits = (F.col("below") <= 0.5 + near) & (F.col("upto") >= 0.5 - near)
     return (
         whole.join(exact.select(F.inline("all")), F.col("name") == F.col("column_name"))
         .select(
@@ -586,7 +590,7 @@ def profile_history(spark: SparkSession, sf_dir: str) -> DataFrame:
             "row_count",
             "null_count",
             (off <= 3 * profiles.DISTINCT_ERROR).alias("distinct_fits"),
-            F.coalesce(F.abs(F.col("below") - 0.5) <= 2 * profiles.RANK_ERROR, F.lit(True)).alias("median_fits"),
+            F.coalesce(fits, F.lit(True)).alias("median_fits"),
         )
     )
 
